@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ragtables.functions.text import PUNCTUATION, chunk_words
+from ragtables.sources.tables import balanced
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +41,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def qa(spark: SparkSession, folder: str) -> DataFrame:
     """User turns with the assistant's next turn: ``row_id, conv_id, turn, query,
     answer``. The join key is unique even where one conversation is huge."""
-    turns = table(spark, folder, "conversations")
+    turns = balanced(table(spark, folder, "conversations"))
     users = turns.filter("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("query")
     )
@@ -72,14 +73,14 @@ def predictions(rows: DataFrame) -> DataFrame:
 
 def passages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with all their 50-word pieces: ``doc_id, source, passages``."""
-    return table(spark, folder, "documents").select(
+    return balanced(table(spark, folder, "documents")).select(
         "doc_id", "source", chunk_words("text", 50, 0).alias("passages")
     )
 
 
 def titled(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as ``doc_id, title, content``; some have no title."""
-    return table(spark, folder, "documents").select(
+    return balanced(table(spark, folder, "documents")).select(
         "doc_id",
         F.nullif(F.col("source"), F.lit("src0")).alias("title"),
         F.col("text").alias("content"),

@@ -21,6 +21,7 @@ from ragtables.functions import templates
 from ragtables.functions.text import normalize_text, tokenize
 from ragtables.operators import columns, normalizers, prompts, sampling
 from ragtables.plans.prepare import Step, run_steps
+from ragtables.sources.tables import balanced
 
 
 def _joined(name: str) -> F.Column:
@@ -189,7 +190,7 @@ def filter_selected(spark: SparkSession, folder: str) -> DataFrame:
         FROM documents"""
 )
 def normalize_tokenize(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return balanced(table(spark, folder, "documents")).select(
         "doc_id",
         normalize_text("text").alias("normalized"),
         F.array_join(tokenize("text"), " ").alias("tokens"),

@@ -173,24 +173,21 @@ _ROUGE12 = {
 
 @check(_sql_scores(_ROUGE, _ROUGE12))
 def score_rouge12(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scores(_aligned(spark, folder), evaluation.rouge("answers"))
-    return scored.select("row_id", "rouge1", "rouge2")
+    metric = evaluation.rouge("answers", names=["rouge1", "rouge2"])
+    return _scores(_aligned(spark, folder), metric)
 
 
 @check(_sql_means(_ROUGE, _ROUGE12))
 def eval_rouge12(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = [evaluation.rouge("answers")]
-    results = evaluation.evaluate(_aligned(spark, folder), metrics)
-    return _round(results.filter(F.col("metric").isin("rouge1", "rouge2")))
+    metric = evaluation.rouge("answers", names=["rouge1", "rouge2"])
+    return _round(evaluation.evaluate(_aligned(spark, folder), [metric]))
 
 
 @check()
 def eval_rouge_l(spark: SparkSession, folder: str) -> DataFrame:
     """Longest common subsequences; SQL has no short form of them."""
-    results = evaluation.evaluate(
-        _aligned(spark, folder), [evaluation.rouge("answers")]
-    )
-    return _round(results.filter(F.col("metric").isin("rougeL", "rougeLsum")))
+    metric = evaluation.rouge("answers", names=["rougeL", "rougeLsum"])
+    return _round(evaluation.evaluate(_aligned(spark, folder), [metric]))
 
 
 @check(

@@ -25,6 +25,7 @@ ARTICLES = ("a", "an", "the")
 # Token classes of the recall tokenizer.
 TOKEN_PATTERN = r"[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}]"
 
+_PUNCTUATION = "[" + "".join("\\" + mark for mark in PUNCTUATION) + "]+"
 _WHITESPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 _ARTICLE = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(ARTICLES)})(?![\p{{L}}\p{{N}}])"
 
@@ -49,7 +50,7 @@ def squeeze(text: Column) -> Column:
 
 def normalize_text(text: Column | str) -> Column:
     """Lowercase, drop punctuation and articles, squeeze whitespace."""
-    bare = F.translate(F.lower(as_column(text)), PUNCTUATION, "")
+    bare = F.regexp_replace(F.lower(as_column(text)), _PUNCTUATION, "")
     return squeeze(F.regexp_replace(bare, _ARTICLE, " "))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -78,6 +77,21 @@ def embed(
     return df.withColumn(output_key, vectors(text))
 
 
+class _Codes(dict):
+    """Token to twice its dimension plus its sign bit, worked out on first use."""
+
+    def __init__(self, dimension: int):
+        self.dimension = dimension
+
+    def __missing__(self, token: str) -> int:
+        number = int(hashlib.md5(token.encode()).hexdigest()[:15], 16)
+        code = number // 2 % self.dimension * 2 + number % 2
+        if len(self) > 500_000:
+            self.clear()
+        self[token] = code
+        return code
+
+
 class HashingEmbedder:
     """Deterministic embedder without a model: signed token hashing.
 
@@ -87,19 +101,15 @@ class HashingEmbedder:
 
     def __init__(self, dimension: int = 64):
         self.dimension = dimension
-        self.place = lru_cache(maxsize=200_000)(self._place)
-
-    def _place(self, token: str) -> tuple[int, float]:
-        number = int(hashlib.md5(token.encode()).hexdigest()[:15], 16)
-        return number // 2 % self.dimension, 1.0 if number % 2 else -1.0
+        self.codes = _Codes(dimension)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         result = []
         for text in texts:
-            vector = np.zeros(self.dimension)
-            for token in text.lower().split():
-                position, sign = self.place(token)
-                vector[position] += sign
+            codes = np.array([self.codes[t] for t in text.lower().split()], np.int64)
+            counts = np.bincount(codes, minlength=2 * self.dimension)
+            signed = counts.reshape(-1, 2).astype(np.int64)
+            vector = (signed[:, 1] - signed[:, 0]).astype(float)
             norm = np.sqrt(np.dot(vector, vector))
             result.append(vector / norm if norm else vector)
         return result

@@ -148,32 +148,18 @@ def string_match(label: str, generated: str = "generated") -> LocalMetric:
     return Prepared(dict([said]), measure)
 
 
-def _rouge_tokens(column: str) -> tuple[str, Callable[[DataFrame], Column]]:
-    def make(df: DataFrame) -> Column:
-        if _is_list(df, column):
-            return F.transform(quoted(column), scores.rouge_words)
-        return scores.rouge_words(quoted(column))
-
-    return f"_rouge_{column}", make
-
-
-def rouge(label: str, generated: str = "generated") -> LocalMetric:
-    """``rouge1``, ``rouge2``, ``rougeL`` and ``rougeLsum``, each the best reference."""
-    said, wanted = _rouge_tokens(generated), _rouge_tokens(label)
+def rouge(
+    label: str, generated: str = "generated", names: Sequence[str] = scores.ROUGE
+) -> LocalMetric:
+    """ROUGE F-measures, each of the best reference; all in one call per batch."""
+    column = f"_rouge_{label}_{'_'.join(names)}"
 
-    def measure(df: DataFrame) -> dict[str, Column]:
-        goal = quoted(wanted[0])
-        if not _is_list(df, label):
-            goal = F.array(goal)
-        longest = scores.rouge_l(quoted(generated), references(df, label))
-        return {
-            "rouge1": scores.rouge_n_words(quoted(said[0]), goal, 1),
-            "rouge2": scores.rouge_n_words(quoted(said[0]), goal, 2),
-            "rougeL": longest["rouge_l"],
-            "rougeLsum": longest["rouge_lsum"],
-        }
+    def make(df: DataFrame) -> Column:
+        return scores.rouge(quoted(generated), references(df, label), names)
 
-    return Prepared(dict([said, wanted]), measure)
+    return Prepared(
+        {column: make}, lambda df: {name: quoted(column)[name] for name in names}
+    )
 
 
 def embedding_similarity(

@@ -44,6 +44,17 @@ def load_table(
     return df.filter(F.col(split_column) == split)
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a table over the cores if its files have far fewer splits than that.
+
+    For a few files that cannot be split, read by a job that computes much per
+    row. A table with enough splits, as any large one has, is left as it is. Call
+    it on a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def load_json(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
