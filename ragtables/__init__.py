@@ -1,0 +1,9 @@
+"""Preparing and scoring retrieval-augmented question answering data on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so that executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -178,17 +178,16 @@ def lcs_positions(wanted: list[str], said: list[str]) -> list[int]:
     Walks back from both ends: take a match, else step to the larger neighbour;
     on a tie the wanted token is dropped.
     """
-    rows = list(_lcs_rows(said, wanted))
-
-    def length(i: int, j: int) -> int:
-        return j - (rows[i] & ((1 << j) - 1)).bit_count()
-
+    across = list(_lcs_rows(said, wanted))
+    down = list(_lcs_rows(wanted, said))
     i, j, kept = len(wanted), len(said), []
     while i and j:
         if wanted[i - 1] == said[j - 1]:
             i, j = i - 1, j - 1
             kept.append(i)
-        elif length(i, j - 1) > length(i - 1, j):
+        # The left neighbour is larger if the length does not grow along the row
+        # but does grow down the column.
+        elif across[i] >> (j - 1) & 1 and not down[j] >> (i - 1) & 1:
             j -= 1
         else:
             i -= 1
@@ -209,7 +208,13 @@ def lcs_lines_f(said: list[list[str]], wanted: list[list[str]]) -> float:
     sizes = spare.total(), open_.total()
     hits = 0
     for line in wanted:
-        kept = {p for other in said for p in lcs_positions(line, other)}
+        tokens = set(line)
+        kept = {
+            position
+            for other in said
+            if not tokens.isdisjoint(other)
+            for position in lcs_positions(line, other)
+        }
         for token in (line[p] for p in sorted(kept)):
             if spare[token] > 0 and open_[token] > 0:
                 spare[token] -= 1

@@ -38,18 +38,21 @@ def _hash_bucket(key: str, seed: int) -> tuple[Column, Column]:
     return h, F.shiftright(h, DRAW_BITS - INDEX_BITS).cast("int")
 
 
-def _literals(numbers: Sequence) -> Column:
-    return F.expr(f"array({', '.join(map(str, numbers))})")
+def _numbers(values: Sequence, dtype: T.DataType) -> Column:
+    """A constant array. From one string, since thousands of literals would slow
+    every step of the optimizer."""
+    text = F.lit(",".join(map(str, values)))
+    return F.split(text, ",").cast(T.ArrayType(dtype))
 
 
 def _key_bucket(df: DataFrame, key: str) -> Column:
     """Number of the quantile range a numeric key lies in, by binary search."""
     count = 1 << KEY_BITS
-    shares = _literals([i / count for i in range(1, count)])
+    shares = _numbers([i / count for i in range(1, count)], T.DoubleType())
     found = df.select(F.percentile_approx(quoted(key), shares, 20 * count)).first()[0]
     if not found:
         return F.lit(0)
-    bounds = _literals(found).cast(T.ArrayType(df.schema[key].dataType))
+    bounds = _numbers(found, df.schema[key].dataType)
     steps = F.array(*[F.lit(1 << b) for b in reversed(range(KEY_BITS))])
     return F.aggregate(
         steps,
