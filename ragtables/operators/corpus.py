@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,15 +64,20 @@ def embed(
     if prefix:
         text = F.concat(F.lit(prefix), text)
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = make_model()
-        for texts in batches:
-            texts = texts.fillna("").tolist()
-            made: list = []
-            for start in range(0, len(texts), batch_size):
-                made.extend(model(texts[start : start + batch_size]))
-            yield pd.Series([np.asarray(v, dtype=np.float32) for v in made])
+        for batch in batches:
+            texts = [t or "" for t in batch.to_pylist()]
+            parts = [
+                np.asarray(model(texts[start : start + batch_size]), np.float32)
+                for start in range(0, len(texts), batch_size)
+            ]
+            made = np.concatenate(parts) if parts else np.zeros((0, 0), np.float32)
+            if len(made) != len(texts):
+                raise ValueError(f"{len(made)} vectors for {len(texts)} texts")
+            offsets = np.arange(len(made) + 1, dtype=np.int32) * made.shape[1]
+            yield pa.ListArray.from_arrays(offsets, made.ravel())
 
     return df.withColumn(output_key, vectors(text))
 
