@@ -68,6 +68,8 @@ def describe(value: Any) -> Any:
         return source_identity(value)
     if isinstance(value, Column):
         return ["column", str(value)]
+    if isinstance(value, SparkSession):
+        return ["session"]
     if isinstance(value, Mapping):
         return {str(k): describe(v) for k, v in value.items()}
     if isinstance(value, (list, tuple)):
@@ -80,7 +82,8 @@ def describe(value: Any) -> Any:
     if code is None:
         raise TypeError(f"cannot fingerprint {value!r}")
     cells = [c.cell_contents for c in value.__closure__ or ()]
-    return ["function", value.__module__, value.__qualname__, *_code(code), describe(cells)]
+    name = [value.__module__, value.__qualname__]
+    return ["function", *name, *_code(code), describe(cells), describe(value.__defaults__)]
 
 
 def _code(code: Any) -> list[Any]:
