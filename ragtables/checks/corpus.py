@@ -189,10 +189,8 @@ def retrieve_prompt(spark: SparkSession, folder: str) -> DataFrame:
     """Index the documents, find passages for every question, build its prompt."""
     index = materialize(corpus.build_index(titled(spark, folder), corpus.HashingEmbedder))
     rows = qa(spark, folder).select("row_id", "query")
-    asked = corpus.embed(rows, "query", corpus.HashingEmbedder, prefix=_PREFIX)
-    hits = retrieval.dense_topk(asked, index, 3, "row_id", "chunk_id")
-    rows = retrieval.attach_documents(
-        rows, hits, index, "row_id", "chunk_id", "positive_passages"
+    rows = retrieval.retrieve(
+        rows, index, corpus.HashingEmbedder, "row_id", k=3, prefix=_PREFIX
     )
     rows = columns.title_documents(rows, "positive_passages")
     rows = columns.join_documents(rows, "positive_passages")

@@ -50,13 +50,13 @@ def _scores(df: DataFrame, *metrics: evaluation.LocalMetric) -> DataFrame:
 
 
 def _sql_scores(ctes: str, expressions: dict[str, str]) -> str:
-    columns = ", ".join(f"round({e}, 6) AS {n}" for n, e in expressions.items())
+    columns = ", ".join(f"round(CAST({e} AS DOUBLE), 6) AS {n}" for n, e in expressions.items())
     return f"WITH {SQL_QA}, {SQL_PRED}, {ctes} SELECT row_id, {columns} FROM prepared"
 
 
 def _sql_means(ctes: str, expressions: dict[str, str]) -> str:
     """SQL for the means as ``(scope, metric, value)`` rows."""
-    columns = ", ".join(f"{e} AS {n}" for n, e in expressions.items())
+    columns = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in expressions.items())
     parts = " UNION ALL ".join(
         f"SELECT 'local' AS scope, '{n}' AS metric, round(avg({n}), 6) AS value FROM scored"
         for n in expressions

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ragtables.functions import scores
 from ragtables.functions.text import decompose, decompose_all, normalize_text
 from ragtables.operators.columns import quoted, require
+from ragtables.operators.sampling import shuffle_select
 
 log = logging.getLogger(__name__)
 
@@ -48,7 +49,7 @@ def align_predictions(
     """
     require(data, [key])
     if limit is not None:
-        data = data.orderBy(quoted(key)).limit(limit)
+        data = shuffle_select(data, key, limit=limit)
     answer = F.col(text_key)
     if processor is not None:
         answer = processor(answer)

@@ -17,7 +17,7 @@ fixed order of summation, so ties and results do not depend on block borders.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ragtables.functions.draws import keyed_hash
 from ragtables.operators.columns import quoted, require
+from ragtables.operators.corpus import Embedder, embed
 from ragtables.operators.joins import lookup_join
 from ragtables.sources.storage import materialize
 
@@ -430,6 +431,44 @@ def attach_documents(
     return joined.withColumn(output_key, F.coalesce(docs, empty)).drop("_hits")
 
 
+def retrieve(
+    df: DataFrame,
+    index: DataFrame,
+    make_model: Callable[[], Embedder],
+    key: str,
+    query_key: str = "query",
+    docs_key: str = "positive_passages",
+    k: int = 10,
+    prefix: str = "",
+    batch_size: int = 64,
+    centres: np.ndarray | None = None,
+    probes: int = 4,
+) -> DataFrame:
+    """Add the ``k`` best chunks for each row's query, as ``{content, title}``.
+
+    ``index`` is a stored chunk table. With ``centres`` the search is limited to
+    the nearest cells; write the index with ``assign_cells`` then.
+    """
+    require(df, [key, query_key])
+    asked = embed(
+        df.select(quoted(key), quoted(query_key)),
+        query_key,
+        make_model,
+        "_embedding",
+        prefix=prefix,
+        batch_size=batch_size,
+    )
+    if centres is None:
+        hits = dense_topk(asked, index, k, key, "chunk_id", "_embedding")
+    else:
+        # Queries are counted per cell before they are matched: embed them once.
+        asked = materialize(asked)
+        hits = cell_topk(
+            asked, index, centres, k, probes, key, "chunk_id", "_embedding"
+        )
+    return attach_documents(df, hits, index, key, "chunk_id", docs_key)
+
+
 def concat_branches(
     df: DataFrame, branch_keys: Sequence[str], output_key: str = "docs"
 ) -> DataFrame:

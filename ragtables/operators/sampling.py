@@ -22,14 +22,15 @@ from ragtables.functions.draws import (
 )
 from ragtables.operators.columns import quoted, require, tag
 from ragtables.operators.joins import copies_for
+from ragtables.sources.storage import materialize
 
 # Rows are numbered bucket by bucket. 65,536 buckets cut 100 TB into pieces of
 # about 1.5 GB, and the table of bucket sizes never has more rows than that.
 INDEX_BITS = 16
 KEY_BITS = 12
 
-# Up to this many rows a seeded limit keeps the best rows of every task and
-# merges them; beyond it the rows are numbered instead.
+# Up to this many rows a limit keeps the best rows of every task and merges
+# them in one; beyond it the rows are chosen by a threshold.
 TOP_ROWS = 100_000
 
 
@@ -63,28 +64,46 @@ def _key_bucket(df: DataFrame, key: str) -> Column:
     )
 
 
+def _range_bucket(df: DataFrame, key: str) -> tuple[DataFrame, Column]:
+    """Number of the sorted range a key of any type lies in.
+
+    The keys alone are spread by range and written, so that their ranges stay
+    what they are; the rows find theirs by key.
+    """
+    ranges = (
+        df.select(quoted(key).alias("_range_key"))
+        .repartitionByRange("_range_key")
+        .withColumn("_range", F.spark_partition_id())
+    )
+    placed = df.join(materialize(ranges), quoted(key) == F.col("_range_key"))
+    return placed.drop("_range_key"), F.col("_range")
+
+
 def row_index(
     df: DataFrame, key: str, seed: int = 0, order: str = "hash", output: str = "idx"
 ) -> DataFrame:
-    """Number the rows 0, 1, 2, ... without gaps.
-
-    ``order="hash"`` numbers them in seeded random order and works for every key
-    type; ``order="key"`` follows a numeric key. Rows fall into many small,
-    even buckets by hash or by key quantile; a first pass counts the buckets, and
-    the second numbers each bucket from its offset. No task sees all rows, and
-    nothing depends on how rows are spread over partitions.
+    """Number the rows 0, 1, 2, ... without gaps; ``key`` must be unique.
+
+    ``order="hash"`` numbers them in seeded random order, ``order="key"`` by key.
+    Rows fall into many small, even buckets by hash or by range; a first pass
+    counts the buckets, and the second numbers each bucket from its offset. No
+    task sees all rows, and nothing depends on how rows are spread over
+    partitions. Only the columns of ``df`` are moved: give it the key alone where
+    that is enough.
     """
     require(df, [key])
     if order == "hash":
         rank, bucket = _hash_bucket(key, seed)
     elif order == "key":
-        if not isinstance(df.schema[key].dataType, T.NumericType):
-            raise TypeError('order="key" needs a numeric key; use order="hash"')
-        rank, bucket = quoted(key), _key_bucket(df, key)
+        rank = quoted(key)
+        if isinstance(df.schema[key].dataType, T.NumericType):
+            bucket = _key_bucket(df, key)
+        else:
+            df, bucket = _range_bucket(df, key)
     else:
         raise ValueError('order must be "hash" or "key"')
     sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
-    # At most 2**INDEX_BITS rows of two numbers, for any input.
+    # At most 2**INDEX_BITS rows of two numbers (or one per range), for any input.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
@@ -96,10 +115,45 @@ def row_index(
         .withColumn(
             output, F.col("_offset") + F.row_number().over(inside).cast("bigint") - 1
         )
-        .drop("_bucket", "_rank", "_offset")
+        .drop("_bucket", "_rank", "_offset", "_range")
     )
 
 
+def first_by_hash(df: DataFrame, key: str, seed: int, wanted: int) -> Column:
+    """A condition that holds for the ``wanted`` rows that come first in the seeded
+    order, and for no others.
+
+    It compares with the last of those rows, which is found from the bucket sizes
+    and one bucket's keys. So any number of rows is chosen by a plain filter,
+    without moving or sorting the table.
+    """
+    h, bucket = _hash_bucket(key, seed)
+    keys = df.select(h.alias("h"), bucket.alias("bucket"), quoted(key).alias("key"))
+    # At most 2**INDEX_BITS rows.
+    sizes = keys.groupBy("bucket").count().collect()
+    left = wanted
+    for number, size in sorted((r["bucket"], r["count"]) for r in sizes):
+        if left <= size:
+            break
+        left -= size
+    else:
+        return F.lit(wanted > 0)
+    if left < 1:
+        return F.lit(False)
+    inside = keys.filter(F.col("bucket") == number).orderBy("h", "key").limit(left)
+    last = inside.agg(F.max(F.struct("h", "key")).alias("last")).first()["last"]
+    return (h < last["h"]) | ((h == last["h"]) & (quoted(key) <= F.lit(last["key"])))
+
+
+def first_by_key(df: DataFrame, key: str, wanted: int) -> Column:
+    """A condition that holds for the ``wanted`` rows with the lowest keys."""
+    if wanted < 1:
+        return F.lit(False)
+    numbered = row_index(df.select(quoted(key)), key, order="key")
+    last = numbered.filter(F.col("idx") == wanted - 1).first()
+    return F.lit(True) if last is None else quoted(key) <= F.lit(last[key])
+
+
 def shuffle_select(
     df: DataFrame, key: str, seed: int | None = None, limit: int | None = None
 ) -> DataFrame:
@@ -114,13 +168,9 @@ def shuffle_select(
         return df if seed is None else df.orderBy(*order)
     if limit <= TOP_ROWS:
         return df.orderBy(*order).limit(limit)
-    if seed is not None:
-        numbered = row_index(df, key, seed, output="_position")
-    elif isinstance(df.schema[key].dataType, T.NumericType):
-        numbered = row_index(df, key, order="key", output="_position")
-    else:
-        return df.orderBy(*order).limit(limit)
-    return numbered.filter(F.col("_position") < limit).drop("_position")
+    if seed is None:
+        return df.filter(first_by_key(df, key, limit)).orderBy(*order)
+    return df.filter(first_by_hash(df, key, seed, limit)).orderBy(*order)
 
 
 def split_column(
@@ -131,23 +181,21 @@ def split_column(
     exact: bool = True,
     output: str = "split",
 ) -> DataFrame:
-    """Add ``train`` or ``dev``.
+    """Add ``train`` or ``dev``; no row is moved for it.
 
-    ``exact`` gives the dev part ``ceil(rows * dev_share)`` rows; otherwise each
-    row is drawn on its own, which needs no shuffle at all.
+    ``exact`` gives the dev part ``ceil(rows * dev_share)`` rows, after two passes
+    over the keys; otherwise each row is drawn on its own, without any.
     """
     if not 0 < dev_share < 1:
         raise ValueError("dev_share must lie between 0 and 1")
+    require(df, [key])
     if exact:
-        rows = df.count()
-        # A ratio like 0.07 * 100 must not be rounded up by its last bit.
-        wanted = math.ceil(round(rows * dev_share, 9))
-        marked = row_index(df, key, seed, output="_position")
-        is_dev = F.col("_position") < wanted
+        # A product like 0.07 * 100 must not be rounded up by its last bit.
+        wanted = math.ceil(round(df.select(quoted(key)).count() * dev_share, 9))
+        is_dev = first_by_hash(df, key, seed, wanted)
     else:
-        marked, is_dev = df, keyed_uniform(seed, quoted(key)) < dev_share
-    marked = marked.withColumn(output, F.when(is_dev, "dev").otherwise("train"))
-    return marked.drop("_position")
+        is_dev = keyed_uniform(seed, quoted(key)) < dev_share
+    return df.withColumn(output, F.when(is_dev, "dev").otherwise("train"))
 
 
 def train_dev_split(

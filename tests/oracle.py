@@ -27,23 +27,39 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
-def sql_rows(db: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], list[tuple]]:
+# The SQL type that goes with a Spark type.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+}
+
+
+def sql_rows(
+    db: duckdb.DuckDBPyConnection, sql: str
+) -> tuple[list[str], list[str], list[tuple]]:
     result = db.execute(sql)
-    return [c[0] for c in result.description], result.fetchall()
+    names, types = zip(*[(c[0], str(c[1])) for c in result.description])
+    return list(names), list(types), result.fetchall()
 
 
-def difference(df, columns: list[str], rows: list[tuple]) -> str | None:
+def difference(df, columns: list[str], types: list[str], rows: list[tuple]) -> str | None:
     """Why the tables differ, or None."""
     names = sorted(columns)
     if sorted(df.columns) != names:
         return f"columns {sorted(df.columns)} <> {names}"
+    wanted_types = dict(zip(columns, types))
+    for name, dtype in df.dtypes:
+        if TYPES.get(dtype) != wanted_types[name]:
+            return f"type of {name}: {dtype} <> {wanted_types[name]}"
     order = [columns.index(n) for n in names]
     wanted = collections.Counter(tuple(r[i] for i in order) for r in rows)
-    found = collections.Counter(tuple(r) for r in df.select(*[f"`{n}`" for n in names]).collect())
+    found = collections.Counter(
+        tuple(r) for r in df.select(*[f"`{n}`" for n in names]).collect()
+    )
     if wanted == found:
-        types = {n: {type(r[columns.index(n)]) for r in rows} for n in names}
-        mixed = [n for n, t in types.items() if len(t - {type(None)}) > 1]
-        return f"mixed types in {mixed}" if mixed else None
+        return None
     missing, extra = wanted - found, found - wanted
     return (
         f"rows {found.total()} <> {wanted.total()}; missing {missing.total()}, e.g."

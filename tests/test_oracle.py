@@ -24,8 +24,8 @@ def test_query(spark, db, name):
     if sql is None:
         assert df.count() > 0
     else:
-        columns, rows = sql_rows(db, sql)
-        assert rows and difference(df, columns, rows) is None
+        columns, types, rows = sql_rows(db, sql)
+        assert rows and difference(df, columns, types, rows) is None
 
 
 def test_only_searches_without_short_sql_go_unchecked():

@@ -41,8 +41,11 @@ def test_row_index_is_dense_in_either_order(spark, docs):
     assert [r.idx for r in rows] == list(range(60))
     rows = sampling.row_index(docs, "x", order="key").orderBy("x").collect()
     assert [r.idx for r in rows] == list(range(60))
-    with pytest.raises(TypeError):
-        sampling.row_index(docs, "name", order="key")
+    rows = sampling.row_index(docs, "name", order="key").orderBy("name").collect()
+    assert [r.idx for r in rows] == list(range(60))
+    assert rows[0].asDict().keys() == {"id", "name", "passages", "x", "idx"}
+    with pytest.raises(ValueError):
+        sampling.row_index(docs, "id", order="other")
     same_for_any_partitioning(spark, lambda: sampling.row_index(docs, "id", 3))
 
 
@@ -76,9 +79,24 @@ def test_limit(docs, monkeypatch):
     assert take(docs, "id", 1, 0).count() == 0
     assert sorted(r.id for r in take(docs, "id", None, 3).collect()) == [0, 7, 14]
     assert take(docs, "id").count() == 60
-    few = collected(take(docs, "id", 4, 10)), collected(take(docs, "id", None, 10))
+    cases = [(key, seed, n) for key in ("id", "name") for seed in (4, None) for n in (10, 59, 60, 61)]
+    few = [collected(take(docs, *case)) for case in cases]
     monkeypatch.setattr(sampling, "TOP_ROWS", 5)
-    assert (collected(take(docs, "id", 4, 10)), collected(take(docs, "id", None, 10))) == few
+    assert [collected(take(docs, *case)) for case in cases] == few
+    assert [len(rows) for rows in few] == [min(n, 60) for _, _, n in cases]
+
+
+def test_first_by_hash_with_full_buckets(docs, monkeypatch):
+    monkeypatch.setattr(sampling, "INDEX_BITS", 2)
+    order = [r.id for r in sampling.shuffle_select(docs, "id", 9).collect()]
+    for wanted in (0, 1, 14, 15, 16, 59, 60, 100):
+        found = docs.filter(sampling.first_by_hash(docs, "id", 9, wanted)).collect()
+        assert {r.id for r in found} == set(order[:wanted])
+
+
+def test_splits_and_large_limits_move_no_rows(docs):
+    df = sampling.split_column(docs.repartition(3).coalesce(2), "id", 0.1)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
 @pytest.mark.parametrize("share", [0.1, 0.05, 0.5, 0.07])
