@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +123,51 @@ def dense_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_SQL_CELLS = """centres AS (
+  SELECT label, list(m ORDER BY p) AS c FROM (
+    SELECT label, p, avg(CAST(embedding[p] AS DOUBLE)) AS m
+    FROM (SELECT label, embedding, unnest(range(1, 65)) AS p FROM embeddings)
+    GROUP BY label, p) GROUP BY label),
+near AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, label AS cell, row_number() OVER (
+           PARTITION BY vec_id ORDER BY list_dot_product(embedding::DOUBLE[], c)
+             - list_dot_product(c, c) / 2 DESC, label) AS place
+  FROM (SELECT e.vec_id, e.embedding, c.label, c.c FROM embeddings e CROSS JOIN centres c)),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS doc_id, list_dot_product(a.e, b.e) AS score
+  FROM near a JOIN near b ON a.cell = b.cell AND a.vec_id <> b.vec_id
+  WHERE a.place <= 3 AND b.place = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+  FROM pairs)"""
+
+
+@check(
+    f"""WITH {_SQL_CELLS}
+        SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE rank <= 10"""
+)
+def cell_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Cell-wise search around the mean vector of every label."""
+    vectors = table(spark, folder, "embeddings")
+    parts = vectors.select("label", F.posexplode("embedding").alias("p", "x"))
+    means = parts.groupBy("label", "p").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    # One row per label.
+    rows = (
+        means.groupBy("label")
+        .agg(F.sort_array(F.collect_list(F.struct("p", "m"))).alias("c"))
+        .orderBy("label")
+        .select("c.m")
+        .collect()
+    )
+    centres = np.array([r["m"] for r in rows])
+    return _rounded(
+        retrieval.cell_topk(
+            vectors, vectors, centres, 10, 3, "vec_id", "vec_id", skip_equal_ids=True
+        )
+    )
+
+
 @check()
 def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
     """Approximate search; the cells come from iterative clustering."""

@@ -183,9 +183,42 @@ def eval_rouge12(spark: SparkSession, folder: str) -> DataFrame:
     return _round(evaluation.evaluate(_aligned(spark, folder), [metric]))
 
 
+def _sql_common(left: str, right: str) -> str:
+    """SQL for the longest common subsequence of two word lists.
+
+    It is the longest rising run of right positions over all matches, ordered by
+    left position and, within it, by falling right position. The state holds the
+    least end of a run of each length.
+    """
+    matches = (
+        f"flatten(list_transform({left}, lambda w: list_transform(list_filter("
+        f"range(len({right}), 0, -1), lambda j: {right}[j] = w), lambda j: [j])))"
+    )
+    return (
+        f"len(list_reduce({matches}, lambda ends, j:"
+        " list_concat(list_filter(ends, lambda e: e < j[1]), j,"
+        " list_filter(ends, lambda e: e >= j[1])[2:]), CAST([] AS BIGINT[])))"
+    )
+
+
+def _sql_common_f(left: str, right: str) -> str:
+    return f"coalesce(2.0 * {_sql_common(left, right)} / (len({left}) + len({right})), 0)"
+
+
+@check(
+    _sql_scores(
+        _ROUGE,
+        {"rougeL": f"greatest({_sql_common_f('p1', 'a1')}, {_sql_common_f('p1', 'q1')})"},
+    )
+)
+def score_rouge_l(spark: SparkSession, folder: str) -> DataFrame:
+    metric = evaluation.rouge("answers", names=["rougeL"])
+    return _scores(_aligned(spark, folder), metric)
+
+
 @check()
 def eval_rouge_l(spark: SparkSession, folder: str) -> DataFrame:
-    """Longest common subsequences; SQL has no short form of them."""
+    """With ROUGE-Lsum, the union over lines, which has no short form in SQL."""
     metric = evaluation.rouge("answers", names=["rougeL", "rougeLsum"])
     return _round(evaluation.evaluate(_aligned(spark, folder), [metric]))
 

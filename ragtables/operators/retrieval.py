@@ -34,12 +34,18 @@ from ragtables.operators.corpus import Embedder, embed
 from ragtables.operators.joins import lookup_join
 from ragtables.sources.storage import materialize
 
-# Vectors per block on either side of a matrix product.
-QUERY_BLOCK = 1024
-CORPUS_BLOCK = 8192
+# Rows on either side of one matrix product.
+QUERY_ROWS = 1024
+DOC_ROWS = 8192
+# Vector components in one block of a side (64 MB in double precision), and the
+# rows below which a block is not cut further to occupy more cores.
+BLOCK_COMPONENTS = 8_000_000
+SMALL_BLOCK = 2048
 # Queries are sent to all tasks up to this many rows and vector components (32 MB).
 SENT_ROWS = 16_384
 SENT_COMPONENTS = 4_000_000
+# Hits are sent to all tasks up to this many bytes.
+SENT_BYTES = 32_000_000
 # Pairs scored again at a time.
 _SLICE = 200_000
 # The matrix product may differ from the ordered sum by far less than this,
@@ -94,6 +100,39 @@ def best_per_row(found: pd.DataFrame, k: int) -> pd.DataFrame:
     return found[found.groupby("row").cumcount() < k]
 
 
+class _Search:
+    """The best ``k`` documents per query over all documents seen so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip: bool):
+        self.ids, self.vectors, self.k, self.skip = ids, vectors, k, skip
+        starts = range(0, len(ids), QUERY_ROWS)
+        self.parts = [slice(start, start + QUERY_ROWS) for start in starts]
+        self.kept: list[pd.DataFrame | None] = [None] * len(self.parts)
+
+    def see(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
+        for start in range(0, len(doc_ids), DOC_ROWS):
+            rows = slice(start, start + DOC_ROWS)
+            for number, part in enumerate(self.parts):
+                found = block_topk(
+                    self.ids[part],
+                    self.vectors[part],
+                    doc_ids[rows],
+                    docs[rows],
+                    self.k,
+                    self.skip,
+                )
+                if self.kept[number] is not None:
+                    found = best_per_row(pd.concat([self.kept[number], found]), self.k)
+                self.kept[number] = found
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for part, found in zip(self.parts, self.kept):
+            if found is not None and len(found):
+                columns = [self.ids[part][found["row"]], found["doc_id"], found["score"]]
+                arrays = [pa.array(c, type=f.type) for c, f in zip(columns, schema)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
 def _result_schema(
     queries: DataFrame, query_key: str, corpus: DataFrame, doc_key: str
 ) -> T.StructType:
@@ -171,6 +210,7 @@ def dense_topk(
             k,
             skip_equal_ids,
             schema,
+            dimension,
         )
     return _ranked(found, k)
 
@@ -183,39 +223,19 @@ def _scan(
     schema: T.StructType,
 ) -> DataFrame:
     """Send the few queries to every task and read the corpus in place."""
+    # At most SENT_ROWS rows and SENT_COMPONENTS components: the caller counted.
     table = queries.toArrow()
     sent = corpus.sparkSession.sparkContext.broadcast(
         (table["query_id"].to_numpy(), _matrix(table["query_vector"]))
     )
-    arrow = pa.schema(
-        [
-            ("query_id", table.schema.field("query_id").type),
-            ("doc_id", _arrow_type(schema["doc_id"].dataType)),
-            ("score", pa.float64()),
-        ]
-    )
+    arrow = _arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = sent.value
-        blocks = [
-            slice(start, start + QUERY_BLOCK) for start in range(0, len(ids), QUERY_BLOCK)
-        ]
-        kept: list[pd.DataFrame | None] = [None] * len(blocks)
+        search = _Search(*sent.value, k, skip_equal_ids)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             doc_ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            docs = _matrix(batch.column("doc_vector"))
-            for number, block in enumerate(blocks):
-                found = block_topk(
-                    ids[block], matrix[block], doc_ids, docs, k, skip_equal_ids
-                )
-                if kept[number] is not None:
-                    found = best_per_row(pd.concat([kept[number], found]), k)
-                kept[number] = found
-        for block, found in zip(blocks, kept):
-            if found is not None and len(found):
-                yield _batch(ids[block][found["row"]], found, arrow)
+            search.see(doc_ids, _matrix(batch.column("doc_vector")))
+        yield from search.batches(arrow)
 
     return corpus.mapInArrow(scan, schema)
 
@@ -231,12 +251,13 @@ def _arrow_type(dtype: T.DataType) -> pa.DataType:
     return known[dtype]
 
 
-def _batch(
-    query_ids: Sequence, found: pd.DataFrame, schema: pa.Schema
-) -> pa.RecordBatch:
-    columns = [query_ids, found["doc_id"].to_numpy(), found["score"].to_numpy()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    return pa.schema(
+        [
+            ("query_id", _arrow_type(schema["query_id"].dataType)),
+            ("doc_id", _arrow_type(schema["doc_id"].dataType)),
+            ("score", pa.float64()),
+        ]
     )
 
 
@@ -246,24 +267,29 @@ def _grid(
     k: int,
     skip_equal_ids: bool,
     schema: T.StructType,
+    dimension: int,
 ) -> DataFrame:
     """Cut each cell's queries and documents into blocks and match block with block.
 
     The number of blocks follows the counted size of a cell, on either side, so
-    every group is bounded however full its cell is. The counts have one row per
-    cell, a number the caller chose.
+    every group is bounded however full its cell is. Every block of documents is
+    sent to each block of queries and the other way round, so blocks are as large
+    as a task can hold, and only a small corpus is cut finer, to use all cores.
+    The counts have one row per cell, a number the caller chose.
     """
-    sizes = (
-        queries.groupBy("cell")
-        .agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("query_blocks"))
-        .join(
-            corpus.groupBy("cell").agg(
-                F.ceil(F.count(F.lit(1)) / CORPUS_BLOCK).alias("doc_blocks")
-            ),
-            "cell",
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    most = max(1, BLOCK_COMPONENTS // dimension)
+    share = math.ceil(corpus.count() / (2 * cores))
+    doc_rows = min(most, max(SMALL_BLOCK, share))
+
+    def blocks(side: DataFrame, rows: int, name: str) -> DataFrame:
+        return side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).alias(name))
+
+    sizes = F.broadcast(
+        blocks(queries, most, "query_blocks").join(
+            blocks(corpus, doc_rows, "doc_blocks"), "cell"
         )
     )
-    sizes = F.broadcast(sizes)
 
     def own_block(id_key: str, blocks: str) -> Column:
         return F.pmod(F.xxhash64(id_key), F.col(blocks))
@@ -285,24 +311,16 @@ def _grid(
         "doc_id",
         "doc_vector",
     )
-    arrow = pa.schema(
-        [
-            ("query_id", _arrow_type(schema["query_id"].dataType)),
-            ("doc_id", _arrow_type(schema["doc_id"].dataType)),
-            ("score", pa.float64()),
-        ]
-    )
+    arrow = _arrow_schema(schema)
 
     def match(one: pa.Table, other: pa.Table) -> pa.Table:
         if not one.num_rows or not other.num_rows:
             return arrow.empty_table()
-        ids = one["query_id"].to_numpy()
-        matrix = _matrix(one["query_vector"])
-        doc_ids = other["doc_id"].to_numpy()
-        found = block_topk(
-            ids, matrix, doc_ids, _matrix(other["doc_vector"]), k, skip_equal_ids
+        search = _Search(
+            one["query_id"].to_numpy(), _matrix(one["query_vector"]), k, skip_equal_ids
         )
-        return pa.Table.from_batches([_batch(ids[found["row"]], found, arrow)])
+        search.see(other["doc_id"].to_numpy(), _matrix(other["doc_vector"]))
+        return pa.Table.from_batches(search.batches(arrow), schema=arrow)
 
     on = ["cell", "query_block", "doc_block"]
     return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(match, schema)
@@ -384,7 +402,8 @@ def cell_topk(
     left = left.withColumn(
         "cell", F.explode(nearest_cells(F.col("query_vector"), centres, probes))
     )
-    return _ranked(_grid(left, right, k, skip_equal_ids, schema), k)
+    found = _grid(left, right, k, skip_equal_ids, schema, centres.shape[1])
+    return _ranked(found, k)
 
 
 def recall_at_k(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -405,12 +424,14 @@ def attach_documents(
     output_key: str = "docs",
     title_key: str = "title",
     text_key: str = "content",
+    sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """Add the hits of each query as an array of ``{content, title}``, best first.
 
-    The hits are written once, so that counting and joining them does not search
-    twice. A document that very many queries hit is copied to several tasks. A
-    query without hits gets an empty array.
+    The hits are written once, so that measuring and joining them does not search
+    twice. Few hits are sent to the documents, which then are read in place. With
+    many, the documents are shuffled, and one that very many queries hit is copied
+    to several tasks. A query without hits gets an empty array.
     """
     hits = materialize(hits.select("query_id", "doc_id", "rank"))
     texts = documents.select(
@@ -419,7 +440,12 @@ def attach_documents(
             quoted(text_key).alias("content"), quoted(title_key).alias("title")
         ).alias("_doc"),
     )
-    found = lookup_join(hits, texts, "doc_id")
+    width = F.octet_length(F.concat_ws(",", "query_id", "doc_id")) + 32
+    size = hits.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    if size <= sent_bytes:
+        found = texts.join(F.broadcast(hits), "doc_id")
+    else:
+        found = lookup_join(hits, texts, "doc_id")
     lists = found.groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "_doc"))).alias("_hits")
     )

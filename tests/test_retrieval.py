@@ -42,8 +42,10 @@ def vectors():
 @pytest.mark.parametrize("sent", [retrieval.SENT_COMPONENTS, 0])
 @pytest.mark.parametrize("k", [1, 7, 200])
 def test_exact_search_in_both_ways(spark, vectors, monkeypatch, sent, k):
-    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 16)
-    monkeypatch.setattr(retrieval, "CORPUS_BLOCK", 16)
+    # Several products per block, and several blocks on either side.
+    monkeypatch.setattr(retrieval, "QUERY_ROWS", 7)
+    monkeypatch.setattr(retrieval, "DOC_ROWS", 9)
+    monkeypatch.setattr(retrieval, "BLOCK_COMPONENTS", 16 * 12)
     ids = list(range(120))
     df = frame(spark, ids, vectors)
     found = retrieval.dense_topk(df, df, k, "id", "id", skip_equal_ids=True, sent_components=sent)
@@ -67,7 +69,8 @@ def test_search_without_queries_or_documents(spark, vectors):
 
 
 def test_cells_are_exact_with_all_probes(spark, vectors, monkeypatch):
-    monkeypatch.setattr(retrieval, "CORPUS_BLOCK", 8)  # the copies fill several blocks
+    # The copies fill several blocks.
+    monkeypatch.setattr(retrieval, "BLOCK_COMPONENTS", 8 * 12)
     ids = list(range(120))
     df = frame(spark, ids, vectors)
     centres = retrieval.cell_centres(df, 5, "id")
@@ -100,7 +103,8 @@ def test_top_k_is_cut_before_the_shuffle(spark, vectors):
     assert "NestedLoop" not in text
 
 
-def test_attach_documents(spark):
+@pytest.mark.parametrize("sent", [retrieval.SENT_BYTES, 0])
+def test_attach_documents(spark, sent):
     queries = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "qid long, query string")
     hits = spark.createDataFrame(
         [(1, "x", 2, 0.1), (1, "y", 1, 0.2), (2, "x", 1, 0.3), (2, "gone", 2, 0.1)],
@@ -110,7 +114,7 @@ def test_attach_documents(spark):
         [("x", "X", None), ("y", "Y", "why"), ("z", "Z", "zed")],
         "id string, content string, title string",
     )
-    df = retrieval.attach_documents(queries, hits, docs, "qid", "id")
+    df = retrieval.attach_documents(queries, hits, docs, "qid", "id", sent_bytes=sent)
     assert df.columns == ["qid", "query", "docs"]
     found = {r.qid: [tuple(d) for d in r.docs] for r in df.collect()}
     assert found == {1: [("Y", "why"), ("X", None)], 2: [("X", None)], 3: []}

@@ -124,6 +124,26 @@ def test_rouge_lsum_by_hand():
     assert scores.lcs_lines_f([["a"], ["b"], ["a"]], [["a", "b"]]) == 0.8
 
 
+def test_rouge_lsum_equals_the_plain_union():
+    rng = random.Random(5)
+
+    def lines():
+        return [rng.choices("abcdef", k=rng.randint(1, 8)) for _ in range(rng.randint(1, 4))]
+
+    for _ in range(300):
+        said, wanted = lines(), lines()
+        spare, open_ = Counter(sum(said, [])), Counter(sum(wanted, []))
+        sizes, hits = (spare.total(), open_.total()), 0
+        for line in wanted:
+            for p in sorted(set().union(*[walk(line, other) for other in said])):
+                if spare[line[p]] and open_[line[p]]:
+                    spare[line[p]] -= 1
+                    open_[line[p]] -= 1
+                    hits += 1
+        wanted_f = scores.f_measure(hits, *sizes)
+        assert scores.lcs_lines_f(said, wanted) == wanted_f
+
+
 def test_rouge(spark):
     rows = [
         ("The cat sat on the mat.", ["the cat was on the mat", "x"]),
