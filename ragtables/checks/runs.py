@@ -117,6 +117,23 @@ def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.load_json(spark, paths["documents"], docs.schema)
 
 
+@check(
+    """SELECT item_id AS doc_id, CAST(NULL AS VARCHAR) AS title,
+              array_to_string(list_filter(list_transform(string_split(text, chr(10)),
+                lambda l: trim(regexp_replace(l, '[ \\t]+', ' ', 'g'))),
+                lambda l: l <> ''), chr(10)) AS content
+       FROM benchmark"""
+)
+def text_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark text as a file of its own, read back whole and cleaned."""
+    path = storage.fresh_path(spark, "texts")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    items.write.partitionBy("item_id").text(path)
+    files = corpus.clean_documents(tables.read_text_folder(spark, path))
+    number = F.regexp_extract("doc_id", r"item_id=(\d+)", 1).cast("bigint")
+    return files.select(number.alias("doc_id"), "title", "content")
+
+
 @check("SELECT doc_id, text, n_chars FROM documents WHERE lang = 'fr'")
 def publish_and_load(spark: SparkSession, folder: str) -> DataFrame:
     """A table published in the catalog, of which one split is loaded."""

@@ -77,7 +77,12 @@ def describe(value: Any) -> Any:
     if isinstance(value, (str, int, float, bool, type(None))):
         return value
     if hasattr(value, "func") and hasattr(value, "keywords"):
-        return ["partial", describe(value.func), describe(value.args), value.keywords]
+        return ["partial", *map(describe, (value.func, value.args, value.keywords))]
+    if isinstance(value, type):
+        members = {n: v for n, v in vars(value).items() if hasattr(v, "__code__")}
+        return ["class", value.__module__, value.__qualname__, describe(members)]
+    if hasattr(value, "tobytes"):
+        return ["array", list(value.shape), hashlib.md5(value.tobytes()).hexdigest()]
     code = getattr(value, "__code__", None)
     if code is None:
         raise TypeError(f"cannot fingerprint {value!r}")

@@ -9,6 +9,8 @@ from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# The folder of a local session that names none, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,9 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="ragtables-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="ragtables-")
+    return _LOCAL[app]
 
 
 def _path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:

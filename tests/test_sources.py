@@ -1,5 +1,7 @@
 import os
+from functools import partial
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,9 @@ def test_two_functions_never_share_a_fingerprint():
     assert len(marks) == 4 and fingerprint(make(1)) in marks
     with pytest.raises(TypeError):
         describe(object())
+    assert describe(np.zeros(2)) != describe(np.ones(2))
+    assert fingerprint(corpus.HashingEmbedder) == fingerprint(corpus.HashingEmbedder)
+    assert describe(partial(make, 1)) != describe(partial(make, 2))
 
 
 def test_steps_over_several_tables(docs):
@@ -211,19 +216,20 @@ def test_steps_over_several_tables(docs):
         run_steps({"a": docs}, [Step(lambda f: {"x": f["a"]}, "a", whole=True)])
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
-    folder = spark.conf.get("spark.checkpoint.dir")
-    assert storage.shared_dir(spark) == folder
-
+def test_shared_folder_is_required_on_a_cluster():
     class Conf:
         def get(self, name, default):
             return default
 
-    class Cluster:
+    class Session:
         conf = Conf()
 
         class sparkContext:
             master = "spark://somewhere"
+            applicationId = "test"
 
     with pytest.raises(RuntimeError):
-        storage.shared_dir(Cluster())
+        storage.shared_dir(Session())
+    Session.sparkContext.master = "local[2]"
+    local = storage.shared_dir(Session())
+    assert os.path.isdir(local) and storage.shared_dir(Session()) == local
