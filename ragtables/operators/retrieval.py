@@ -37,10 +37,8 @@ from ragtables.sources.storage import materialize
 # Rows on either side of one matrix product.
 QUERY_ROWS = 1024
 DOC_ROWS = 8192
-# Vector components in one block of a side (64 MB in double precision), and the
-# rows below which a block is not cut further to occupy more cores.
+# Vector components in one block of a side (64 MB in double precision).
 BLOCK_COMPONENTS = 8_000_000
-SMALL_BLOCK = 2048
 # Queries are sent to all tasks up to this many rows and vector components (32 MB).
 SENT_ROWS = 16_384
 SENT_COMPONENTS = 4_000_000
@@ -65,6 +63,22 @@ def _ordered_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.cumsum(left * right, axis=1)[:, -1]
 
 
+def _lower_edge(scores: np.ndarray, k: int) -> np.ndarray:
+    """A value per row that at least ``k`` scores of the row reach.
+
+    The best of each of many strips is a score, so the ``k``-th of those bests will
+    do; finding it reads the scores once instead of sorting them in part.
+    """
+    rows, columns = scores.shape
+    if columns <= k:
+        return np.full(rows, -np.inf)
+    width = columns // (8 * k)
+    if width > 1:
+        whole = columns - columns % width
+        scores = scores[:, :whole].reshape(rows, -1, width).max(axis=2)
+    return np.partition(scores, -k, axis=1)[:, -k]
+
+
 def block_topk(
     query_ids: np.ndarray,
     queries: np.ndarray,
@@ -72,19 +86,25 @@ def block_topk(
     docs: np.ndarray,
     k: int,
     skip_equal_ids: bool,
+    floor: np.ndarray | float = -np.inf,
 ) -> pd.DataFrame:
-    """Best ``k`` documents of a block per query: position, id and exact score."""
+    """Best ``k`` documents of a block per query: position, id and exact score.
+
+    Documents that score below a query's ``floor`` are of no interest.
+    """
     scores = queries @ docs.T
     if skip_equal_ids:
-        scores[query_ids[:, None] == doc_ids[None, :]] = -np.inf
-    if scores.shape[1] > k:
-        edge = np.partition(scores, -k, axis=1)[:, -k]
-    else:
-        edge = np.full(len(scores), -np.inf)
+        own = pd.merge(
+            pd.DataFrame({"id": query_ids, "row": np.arange(len(query_ids))}),
+            pd.DataFrame({"id": doc_ids, "column": np.arange(len(doc_ids))}),
+            on="id",
+        )
+        scores[own["row"], own["column"]] = -np.inf
     lengths = np.linalg.norm(queries, axis=1) * np.linalg.norm(docs, axis=1).max()
-    mask = scores >= (edge - _SLACK * lengths)[:, None]
-    mask &= scores > -np.inf
-    rows, columns = np.nonzero(mask)
+    edge = np.maximum(_lower_edge(scores, k), floor) - _SLACK * lengths
+    # Skipped pairs lie below every finite edge.
+    edge = np.maximum(edge, np.finfo(np.float64).min)
+    rows, columns = np.divmod(np.flatnonzero(scores >= edge[:, None]), len(doc_ids))
     exact = np.empty(len(rows))
     for start in range(0, len(rows), _SLICE):
         part = slice(start, start + _SLICE)
@@ -109,20 +129,31 @@ class _Search:
         self.parts = [slice(start, start + QUERY_ROWS) for start in starts]
         self.kept: list[pd.DataFrame | None] = [None] * len(self.parts)
 
+    def _floor(self, kept: pd.DataFrame | None, rows: int) -> np.ndarray:
+        """The worst score of each query that has ``k`` documents already."""
+        floor = np.full(rows, -np.inf)
+        if kept is not None:
+            full = kept.groupby("row")["score"].agg(["size", "min"])
+            full = full[full["size"] == self.k]
+            floor[full.index] = full["min"]
+        return floor
+
     def see(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
         for start in range(0, len(doc_ids), DOC_ROWS):
             rows = slice(start, start + DOC_ROWS)
             for number, part in enumerate(self.parts):
+                ids, kept = self.ids[part], self.kept[number]
                 found = block_topk(
-                    self.ids[part],
+                    ids,
                     self.vectors[part],
                     doc_ids[rows],
                     docs[rows],
                     self.k,
                     self.skip,
+                    self._floor(kept, len(ids)),
                 )
-                if self.kept[number] is not None:
-                    found = best_per_row(pd.concat([self.kept[number], found]), self.k)
+                if kept is not None:
+                    found = best_per_row(pd.concat([kept, found]), self.k)
                 self.kept[number] = found
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -274,19 +305,21 @@ def _grid(
     The number of blocks follows the counted size of a cell, on either side, so
     every group is bounded however full its cell is. Every block of documents is
     sent to each block of queries and the other way round, so blocks are as large
-    as a task can hold, and only a small corpus is cut finer, to use all cores.
-    The counts have one row per cell, a number the caller chose.
+    as a task can hold; only small tables are cut finer, to use all cores. The
+    counts have one row per cell, a number the caller chose.
     """
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    tasks = 2 * corpus.sparkSession.sparkContext.defaultParallelism
     most = max(1, BLOCK_COMPONENTS // dimension)
-    share = math.ceil(corpus.count() / (2 * cores))
-    doc_rows = min(most, max(SMALL_BLOCK, share))
+    docs = corpus.count()
+    doc_rows = min(most, max(DOC_ROWS, math.ceil(docs / tasks)))
+    share = queries.count() * math.ceil(docs / doc_rows) / tasks
+    query_rows = min(most, max(QUERY_ROWS, math.ceil(share)))
 
     def blocks(side: DataFrame, rows: int, name: str) -> DataFrame:
         return side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).alias(name))
 
     sizes = F.broadcast(
-        blocks(queries, most, "query_blocks").join(
+        blocks(queries, query_rows, "query_blocks").join(
             blocks(corpus, doc_rows, "doc_blocks"), "cell"
         )
     )
