@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from ragtables.checks.base import (
     SQL_QA,
-    SQL_TITLED,
     check,
     qa,
-    sql_hash,
     table,
     titled,
 )
-from ragtables.checks.corpus import SQL_CHUNKS
-from ragtables.operators import columns, corpus, generation, sampling
+from ragtables.checks.corpus import SQL_CHUNKS, SQL_CLEAN
+from ragtables.operators import columns, corpus, generation
 from ragtables.plans.prepare import Checkpoints, Step, run_steps
 from ragtables.sources import storage, tables
 from ragtables.streaming.generation import stream_generate
@@ -176,21 +174,15 @@ def index_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @check(
-    f"""WITH {SQL_TITLED}, kept AS (
-          SELECT doc_id, title, content FROM titled
-          ORDER BY {sql_hash(2, "doc_id")}, doc_id LIMIT 150)
-        SELECT doc_id, title, content, 'second' AS stage FROM kept"""
+    f"""WITH {SQL_CLEAN}
+        SELECT doc_id, title, content, 'cleaned' AS stage FROM cleaned"""
 )
 def checkpoint_reuse(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs of the same steps; the second one reads what the first one kept."""
     frames = {"docs": titled(spark, folder)}
     steps = [
-        Step(
-            sampling.shuffle_select,
-            "docs",
-            {"key": "doc_id", "seed": 2, "limit": 150},
-        ),
-        Step(columns.set_field, "docs", {"key": "stage", "value": "second"}),
+        Step(corpus.clean_documents, "docs"),
+        Step(columns.set_field, "docs", {"key": "stage", "value": "cleaned"}),
     ]
     kept = Checkpoints(spark, "checked", storage.fresh_path(spark, "steps"))
     run_steps(frames, steps, kept)

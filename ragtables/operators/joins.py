@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ragtables.operators.columns import quoted
+
 # A key used by more than 1/HOT_SHARE of the rows is hot, so there are fewer
 # than HOT_SHARE hot keys whatever the table size: their list is safe to
 # broadcast.
@@ -32,23 +34,21 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    per_key = uses.groupBy(key).count()
+    column = quoted(key)
     total = uses.count()
     floor = max(hot_rows, total // HOT_SHARE)
     if total <= floor:
         return uses.join(lookup, key, how)
+    per_key = uses.filter(column.isNotNull()).groupBy(column).count()
     salts = F.ceil(F.col("count") / floor).cast("int").alias("_salts")
-    hot = per_key.filter((F.col("count") > floor) & F.col(key).isNotNull())
-    hot = F.broadcast(hot.select(key, salts))
+    hot = F.broadcast(per_key.filter(F.col("count") > floor).select(column, salts))
+    # Null keys match nothing but must not all land in one task either.
+    wanted = F.when(column.isNull(), HOT_SHARE).otherwise(
+        F.coalesce(F.col("_salts"), F.lit(1))
+    )
+    whole_row = F.xxhash64(*[quoted(c) for c in uses.columns])
     spread = uses.join(hot, key, "left").withColumn(
-        "_salt",
-        # Null keys match nothing but must not all land in one task either.
-        F.pmod(
-            F.xxhash64(*uses.columns),
-            F.when(F.col(key).isNull(), HOT_SHARE).otherwise(
-                F.coalesce(F.col("_salts"), F.lit(1))
-            ),
-        ).cast("int"),
+        "_salt", F.pmod(whole_row, wanted).cast("int")
     )
     copied = lookup.join(hot, key, "left").withColumn(
         "_salt",
