@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ragtables.checks.base import ORACLES, QUERIES
 from oracle import connect, difference, sql_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,10 +18,10 @@ def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
-    sql = entry.oracle_sql().get(name)
+    df = QUERIES[name](spark, FOLDER)
+    sql = ORACLES.get(name)
     if sql is None:
         assert df.count() > 0
     else:
@@ -29,7 +30,7 @@ def test_query(spark, db, name):
 
 
 def test_only_searches_without_short_sql_go_unchecked():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"ann_topk", "eval_rouge_l"}
+    assert set(QUERIES) - set(ORACLES) == {"ann_topk", "eval_rouge_l"}
 
 
 def test_entry(spark):
