@@ -33,6 +33,7 @@ TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
 }
 
 
