@@ -45,3 +45,15 @@ def put(df: DataFrame, **columns: Column) -> DataFrame:
     taken = {name.lower() for name in columns}
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
     return df.select(*kept, *[value.alias(name) for name, value in columns.items()])
+
+
+# A table of at most this many narrow rows (some tens of bytes) may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def sent(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is.
+
+    Counts the rows, so give it a stored table of narrow rows.
+    """
+    return F.broadcast(df) if df.count() <= rows else df

@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragtables.llm.base import ORACLES, QUERIES, crc_remainder, query, table
+from ragtables.llm.base import ORACLES, QUERIES, UPPER, crc_remainder, query, table
+from ragtables.llm.decontaminate import contamination
+from ragtables.llm.fair_queue import SEED, fair_mix
+from ragtables.llm.ngram_join import ngram_join
 from ragtables.llm.toxicity import DECISION, learn_lexicon, score_toxicity
 
 __all__ = ["ORACLES", "QUERIES"]
 
+SQL_LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+SQL_SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+SQL_LETTERS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 
 def learnable(df: DataFrame) -> DataFrame:
     """Rows whose labels and languages may be learned from."""
@@ -28,3 +35,120 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "n_hits",
         "n_words",
     )
+
+
+@query(
+    f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {SQL_SPACED.format(SQL_LOWER)} AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    END) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s
+"""
+)
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(table(spark, folder, "documents"))
+
+
+@query(
+    f"""
+WITH iw AS (SELECT item_id, {SQL_LETTERS.format(SQL_LOWER)} AS w FROM benchmark),
+win AS (
+  SELECT item_id, least(len(w), 13) AS n,
+         unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2),
+                lambda i: array_to_string(w[i : i + least(len(w), 13) - 1], ' '))) AS s
+  FROM iw WHERE len(w) > 0),
+lens AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, {SQL_LETTERS.format(SQL_LOWER)} AS w FROM documents),
+dn AS (
+  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i
+  FROM dw CROSS JOIN lens WHERE len(w) >= n),
+hit AS (
+  SELECT DISTINCT d.doc_id, d.i, d.n, v.item_id
+  FROM dn d JOIN win v ON v.n = d.n AND v.s = array_to_string(d.w[d.i : d.i + d.n - 1], ' ')),
+pos AS (
+  SELECT doc_id, count(*) AS n_hit FROM (
+    SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items,
+         string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+)
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query(
+    f"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CAST(len({SQL_SPACED.format("coalesce(text, '')")}) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('{SEED}:' || doc_id), 1, 15) AS BIGINT) AS place
+  FROM documents),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
+  FROM sized GROUP BY source),
+lev AS (
+  SELECT *, source_size * 2.0::DOUBLE AS cap, ([3.0::DOUBLE, 1.0, 2.0])[sid % 3 + 1] AS weight
+  FROM src),
+open_ AS (
+  SELECT *, cap / weight AS level,
+         (sum(source_size) OVER () * 1.5::DOUBLE
+          - coalesce(sum(cap) OVER (ORDER BY cap / weight, sid
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+         / sum(weight) OVER (ORDER BY cap / weight, sid
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_level
+  FROM lev),
+tgt AS (
+  SELECT source, sid, source_size,
+         least(cap, weight * coalesce(min(CASE WHEN level > open_level THEN open_level END)
+                                      OVER (), 'infinity'::DOUBLE)) AS target
+  FROM open_),
+cum AS (
+  SELECT doc_id, s.size, s.place, t.*,
+         CAST(sum(s.size) OVER (PARTITION BY t.sid ORDER BY s.place) AS BIGINT) AS upto
+  FROM sized s JOIN tgt t ON s.source IS NOT DISTINCT FROM t.source),
+times AS (
+  SELECT *, CASE WHEN target > 0 THEN (upto + p * source_size) / target ELSE 0.0 END AS finish
+  FROM cum CROSS JOIN (SELECT unnest([0, 1]) AS p)),
+run AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, sid, p) AS upto_all,
+         sum(size) OVER () / 2 * 1.5 AS most
+  FROM times)
+SELECT doc_id, size, source_size, target,
+       CAST(sum(CASE WHEN upto_all <= most THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM run GROUP BY doc_id, size, source_size, target
+"""
+)
+def op9_fair_queue_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return fair_mix(table(spark, folder, "documents")).drop("copies")
