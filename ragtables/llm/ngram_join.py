@@ -8,6 +8,10 @@ prefix costs more lookups but asks for more shared shingles before a pair is
 verified, so the choice weighs both by estimated shingle frequencies. A pair is
 verified if it shares ``min(l, l')`` emitted shingles.
 
+Before sets are compared, signatures are: a bit is the parity of the shingles that
+hash to it, so two signatures differ in at most as many bits as the sets differ in
+shingles. A pair whose signatures differ in too many bits cannot be a link.
+
 Frequencies come from one pass over all documents into counters of a fixed number
 (``BUCKETS``). They set the order and the lengths, thus the cost, never the result.
 
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragtables.llm import words
+from ragtables.llm.base import sent
 from ragtables.llm.connected import components
 from ragtables.sources.storage import materialize
 
@@ -46,6 +51,7 @@ LONGEST_EXTRA = 6
 # Cost of verifying a pair, in units of looking up one posting.
 VERIFY_COST = 8.0
 BLOOM_BITS = 1 << 24
+SIGNATURE_BITS = 1024
 
 
 def _sets(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray]]:
@@ -135,6 +141,12 @@ def _prefix(found: np.ndarray, levels: np.ndarray) -> tuple[int, np.ndarray, np.
     return chosen, found[order], level[order]
 
 
+def _signature(found: np.ndarray) -> np.ndarray:
+    bit = (words.mix(~found) >> np.uint64(32)) % np.uint64(SIGNATURE_BITS)
+    parity = np.bincount(bit.astype(np.int64), minlength=SIGNATURE_BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def _describe(levels) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = levels.value
@@ -142,10 +154,12 @@ def _describe(levels) -> object:
             n = np.zeros(batch.num_rows, np.int64)
             c = np.zeros((2, batch.num_rows), np.int64)
             extra = np.zeros(batch.num_rows, np.int32)
+            bits = np.zeros((batch.num_rows, SIGNATURE_BITS // 64), np.int64)
             tokens, salts, sizes = [], [], np.zeros(batch.num_rows + 1, np.int32)
             for i, found in _sets(batch, "text"):
                 n[i] = len(found)
                 if len(found):
+                    bits[i] = _signature(found)
                     c[0, i] = words.mix(found).sum(dtype=np.uint64).astype(np.int64)
                     c[1, i] = np.bitwise_xor.reduce(words.mix(~found)).astype(np.int64)
                     extra[i], own, level = _prefix(found, known)
@@ -160,15 +174,19 @@ def _describe(levels) -> object:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
+                    batch["text_hash"],
                     pa.array(n),
                     pa.array(c[0], mask=n == 0),
                     pa.array(c[1], mask=n == 0),
                     pa.array(extra),
+                    pa.FixedSizeListArray.from_arrays(
+                        pa.array(bits.reshape(-1)), bits.shape[1]
+                    ).cast(pa.list_(pa.int64())),
                     pa.ListArray.from_arrays(
                         offsets, pa.StructArray.from_arrays([pa.array(flat), pa.array(salt)], ["token", "salt"])
                     ),
                 ],
-                ["doc_id", "n", "c", "c2", "extra", "prefix"],
+                ["doc_id", "text_hash", "n", "c", "c2", "extra", "bits", "prefix"],
             )
 
     return run
@@ -177,8 +195,8 @@ def _describe(levels) -> object:
 def _bloom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(BLOOM_BITS, bool)
     for batch in batches:
-        c = batch["c"].to_numpy(zero_copy_only=False).astype(np.uint64)
-        bits[(words.mix(c) % np.uint64(BLOOM_BITS)).astype(np.int64)] = True
+        keys = batch["key"].to_numpy(zero_copy_only=False).astype(np.uint64)
+        bits[(words.mix(keys) % np.uint64(BLOOM_BITS)).astype(np.int64)] = True
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 
 
@@ -194,20 +212,54 @@ def _wanted_sets(wanted) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).astype(bool)
         for batch in batches:
-            ids, sets = [], []
-            for _, found in _sets(batch, "text"):
-                if len(found):
-                    c = words.mix(found).sum(dtype=np.uint64, keepdims=True)
-                    if bits[int(words.mix(c)[0] % np.uint64(BLOOM_BITS))]:
-                        ids.append(int(c.astype(np.int64)[0]))
-                        sets.append(found.tobytes())
+            keys = batch["key"].to_numpy(zero_copy_only=False).astype(np.uint64)
+            keep = bits[(words.mix(keys) % np.uint64(BLOOM_BITS)).astype(np.int64)]
+            batch = batch.filter(pa.array(keep))
+            sets = [found.tobytes() for _, found in _sets(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["c", "found"]
+                [batch["key"], pa.array(sets, pa.binary())], ["key", "found"]
             )
 
     return run
 
 
+def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``c, found``: the sets of the classes in ``pairs``, from one document of each.
+
+    A filter of a fixed number of bits picks the documents where they are read, so
+    that few other sets are made; a join by key is exact.
+    """
+    spark = pairs.sparkSession
+    named = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    wanted = materialize(classes.select("c", "key").join(named, "c", "left_semi"))
+    bits = wanted.mapInArrow(_bloom, "bits binary").repartition(1).mapInArrow(_or, "bits binary").first()
+    shared = spark.sparkContext.broadcast(bits["bits"] if bits else bytes(BLOOM_BITS // 8))
+    return materialize(
+        rows.select("key", "text")
+        .mapInArrow(_wanted_sets(shared), "key long, found binary")
+        .join(sent(wanted), "key")
+        .select("c", "found")
+        .dropDuplicates(["c"])
+    )
+
+
+def _signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose signatures do not rule out a link."""
+    for side in ("a", "b"):
+        own = classes.select(
+            F.col("c").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}")
+        )
+        pairs = pairs.join(own, side)
+    apart = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda n, x: n + x,
+    )
+    return pairs.filter(
+        (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("size_a") + F.col("size_b"))
+    ).select("a", "b")
+
+
 def _verify(percent: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,8 +274,10 @@ def _verify(percent: int) -> object:
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough."""
+    pairs = materialize(_signed(pairs, classes))
+    sets = _sets_of(pairs, classes, rows)
     left = sets.select(F.col("c").alias("b"), F.col("found").alias("found_b"))
     right = sets.select(F.col("c").alias("a"), F.col("found").alias("found_a"))
     full = pairs.join(left, "b").join(right, "a")
@@ -284,39 +338,47 @@ def _candidates(shared: DataFrame) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``: set size, and
-    least id among the documents reachable by links."""
+    """``doc_id, n_shingles, component_id, text_hash`` for every row of ``docs``: set
+    size, and least id among the documents reachable by links."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    texts = rows.select("text")
-    levels = spark.sparkContext.broadcast(frequencies(texts))  # BUCKETS bytes
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+        F.xxhash64(f"`{text}`").alias("text_hash"),
+    )
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    levels = spark.sparkContext.broadcast(frequencies(rows.select("text")))  # BUCKETS bytes
     id_type = rows.schema["doc_id"].dataType.simpleString()
     described = materialize(
-        rows.mapInArrow(
+        rows.drop("key").mapInArrow(
             _describe(levels),
-            f"doc_id {id_type}, n long, c long, c2 long, extra int,"
-            " prefix array<struct<token: long, salt: int>>",
+            f"doc_id {id_type}, text_hash long, n long, c long, c2 long, extra int,"
+            " bits array<long>, prefix array<struct<token: long, salt: int>>",
         )
     )
-    classes = (
+    first = (
         described.filter("n > 0")
         .groupBy("c", "c2")
         .agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     )
-    again = (
+    again = materialize(
         described.filter("n > 0")
         .select("doc_id", "c", "c2")
-        .join(classes.filter("copies > 1"), ["c", "c2"])
+        .join(first.filter("copies > 1"), ["c", "c2"])
         .filter("doc_id <> least")
         .select("doc_id", "c")
     )
-    postings = (
-        described.filter("n > 0")
-        .select("doc_id", "c", "prefix")
-        .join(again, ["doc_id", "c"], "left_anti")
-        .select("c", F.explode("prefix").alias("p"))
-        .select("p.token", "p.salt", "c")
+    only = described.filter("n > 0").join(sent(again), ["doc_id", "c"], "left_anti")
+    classes = materialize(
+        only.select(
+            "c",
+            F.xxhash64("doc_id", "text_hash").alias("key"),
+            F.col("n").alias("size"),
+            "extra",
+            "bits",
+        ).dropDuplicates(["c"])
     )
+    postings = only.select("c", F.explode("prefix").alias("p")).select("p.token", "p.salt", "c")
     in_list = Window.partitionBy("token", "salt").orderBy("c")
     shared = postings.select(
         "token",
@@ -324,40 +386,48 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         "c",
         F.coalesce(F.lag("c").over(in_list), F.lead("c").over(in_list)).alias("other"),
     ).filter("other is not null or salt > 0")
-    sizes = described.filter("n > 0").groupBy("c").agg(
-        F.first("n").alias("size"), F.first("extra").alias("extra")
-    )
-    shared = materialize(shared.drop("other").distinct().join(sizes, "c"))
-    bits = (
-        shared.select("c").distinct().mapInArrow(_bloom, "bits binary")
-        .repartition(1).mapInArrow(_or, "bits binary").first()
-    )
-    wanted = spark.sparkContext.broadcast(bits["bits"] if bits else bytes(BLOOM_BITS // 8))
-    sets = materialize(
-        texts.mapInArrow(_wanted_sets(wanted), "c long, found binary")
-        .join(shared.select("c").distinct(), "c", "left_semi")
-        .groupBy("c")
-        .agg(F.first("found").alias("found"))
+    shared = materialize(
+        shared.select("token", "salt", "c").distinct().join(classes.select("c", "size", "extra"), "c")
     )
-    links = materialize(_linked(_proposals(shared), sets))
+    links = materialize(_linked(_proposals(shared), classes, rows))
     roots = materialize(components(links))
     labelled = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn(
         "root", F.coalesce("root", "c")
     )
-    more = _linked(_candidates(labelled), sets)
+    more = _linked(_candidates(labelled), classes, rows)
     roots = materialize(components(materialize(links.union(more))))
     least = (
-        classes.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
+        first.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
         .select("c", "c2", "least", F.coalesce("root", "c").alias("root"))
     )
     by_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = least.join(by_root, "root").select("c", "c2", "component_id")
     return (
-        described.select("doc_id", F.col("n").alias("n_shingles"), "c", "c2")
+        described.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "c", "c2")
         .join(by_class, ["c", "c2"], "left")
         .select(
             F.col("doc_id").alias(doc_id),
             "n_shingles",
             F.coalesce("component_id", "doc_id").alias("component_id"),
+            "text_hash",
         )
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text``, and what else there is) with one
+    document of each component: that with the least id. Rows that agree in id and
+    text are one document."""
+    found = materialize(ngram_join(docs))
+    extra = materialize(
+        found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("extra_id_"), F.col("text_hash").alias("extra_hash_"))
+        .distinct()
+    )
+    own = docs["doc_id"].eqNullSafe(F.col("extra_id_")) & (
+        F.xxhash64(docs["text"]) == F.col("extra_hash_")
+    )
+    kept = docs.join(sent(extra), own, "left_anti")
+    if found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates(["doc_id", "text"])
