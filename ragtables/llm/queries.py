@@ -9,7 +9,9 @@ from ragtables.llm.base import ORACLES, QUERIES, UPPER, crc_remainder, query, ta
 from ragtables.llm.decontaminate import contamination
 from ragtables.llm.fair_queue import SEED, fair_mix
 from ragtables.llm.ngram_join import ngram_join
+from ragtables.llm.token_store import read_tokens, write_tokens
 from ragtables.llm.toxicity import DECISION, learn_lexicon, score_toxicity
+from ragtables.sources.storage import fresh_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -18,6 +20,13 @@ SQL_SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 SQL_LETTERS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file, which every machine has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def learnable(df: DataFrame) -> DataFrame:
     """Rows whose labels and languages may be learned from."""
     return df.filter(crc_remainder(F.col("doc_id")) != 2)
@@ -59,7 +68,7 @@ FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s
 """
 )
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join(table(spark, folder, "documents"))
+    return ngram_join(table(spark, folder, "documents")).drop("text_hash")
 
 
 @query(
@@ -152,3 +161,10 @@ FROM run GROUP BY doc_id, size, source_size, target
 )
 def op9_fair_queue_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return fair_mix(table(spark, folder, "documents")).drop("copies")
+
+
+@query()
+def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "token_stores")
+    write_tokens(table(spark, folder, "documents"), path, tokenizer_path())
+    return read_tokens(spark, path)
