@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ragtables.llm.base import table
-from ragtables.llm.queries import learnable
+from ragtables.llm.decontaminate import clean_documents
+from ragtables.llm.fair_queue import mixed_documents
+from ragtables.llm.ngram_join import one_of_each
+from ragtables.llm.queries import learnable, tokenizer_path
+from ragtables.llm.token_store import read_tokens, write_tokens
 from ragtables.llm.toxicity import DECISION, learn_lexicon, score_toxicity
-from ragtables.sources.storage import materialize
+from ragtables.sources.storage import fresh_path, materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +27,34 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixed_documents(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of each document's ids, read from the written store."""
+    path = fresh_path(spark, "token_stores")
+    write_tokens(docs, path, tokenizer_path())
+    return read_tokens(spark, path)
+
+
 STAGES = [
     ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_ids", token_ids),
 ]
 
 # The stages score and code in ways that SQL does not express.
