@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ragtables.llm.base import ORACLES, QUERIES, UPPER, crc_remainder, query, table
 from ragtables.llm.decontaminate import contamination
+from ragtables.llm.digest_index import DigestIndex, deduplicate
 from ragtables.llm.fair_queue import SEED, fair_mix
+from ragtables.llm.language import identify_language, learn_languages
+from ragtables.llm.licenses import license_scan
 from ragtables.llm.ngram_join import ngram_join
 from ragtables.llm.token_store import read_tokens, write_tokens
 from ragtables.llm.toxicity import DECISION, learn_lexicon, score_toxicity
+from ragtables.llm.warc import BASE32, page_records, read_archives, resolved_headers, write_archives
 from ragtables.sources.storage import fresh_path
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -32,13 +36,17 @@ def learnable(df: DataFrame) -> DataFrame:
     return df.filter(crc_remainder(F.col("doc_id")) != 2)
 
 
+def held_out() -> Column:
+    return F.coalesce(crc_remainder(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
+
+
 @query()
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lexicon = learn_lexicon(docs, learnable(table(spark, folder, "labels")))
     return score_toxicity(docs.select("doc_id", "text"), lexicon).select(
         "doc_id",
-        F.coalesce(crc_remainder(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"),
+        held_out(),
         "score",
         (F.col("score") >= DECISION).cast("int").alias("predicted"),
         "n_hits",
@@ -168,3 +176,58 @@ def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "token_stores")
     write_tokens(table(spark, folder, "documents"), path, tokenizer_path())
     return read_tokens(spark, path)
+
+
+@query(
+    f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         CAST(unhex(sha1(coalesce(html, ''))) AS BIT)::VARCHAR AS bits FROM pages),
+d AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('{BASE32}',
+           list_sum(list_transform(range(0, 5), lambda j:
+             CAST(substr(bits, 5 * i + j + 1, 1) AS INTEGER) * (16 >> j)))::INTEGER + 1, 1)), '')
+           AS payload_digest
+  FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+)
+def op6_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    write_archives(page_records(table(spark, folder, "pages")), path)
+    return resolved_headers(read_archives(spark, path)).drop("url")
+
+
+@query(
+    r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+         AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
+)
+def op8_digest_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    index = DigestIndex(spark, fresh_path(spark, "digest_indexes"))
+    found = deduplicate(table(spark, folder, "documents"), index, "documents")
+    return found
+
+
+@query()
+def op4_language_kernels(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = learn_languages(learnable(docs))
+    found = identify_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(), "lang_pred", "score")
+
+
+@query()
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.drop("text", "spans")
