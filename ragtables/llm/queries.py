@@ -12,6 +12,7 @@ from ragtables.llm.fair_queue import SEED, fair_mix
 from ragtables.llm.language import identify_language, learn_languages
 from ragtables.llm.licenses import license_scan
 from ragtables.llm.ngram_join import ngram_join
+from ragtables.llm.sparse_suffix import shared_passages
 from ragtables.llm.token_store import read_tokens, write_tokens
 from ragtables.llm.toxicity import DECISION, learn_lexicon, score_toxicity
 from ragtables.llm.warc import BASE32, page_records, read_archives, resolved_headers, write_archives
@@ -231,3 +232,22 @@ def op4_language_kernels(spark: SparkSession, folder: str) -> DataFrame:
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = license_scan(table(spark, folder, "documents").select("doc_id", "text"))
     return found.drop("text", "spans")
+
+
+@query(
+    f"""
+WITH w AS (SELECT doc_id, {SQL_SPACED.format(SQL_LOWER)} AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1 : i + 50], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM w WHERE len(w) >= 50)),
+many AS (SELECT h FROM win GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT doc_id, i FROM win SEMI JOIN many USING (h)),
+marked AS (
+  SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit)
+SELECT doc_id, min(i) AS first_word, max(i) + 49 AS last_word,
+       max(i) - min(i) + 50 AS n_words
+FROM marked GROUP BY doc_id, run
+"""
+)
+def op10_sparse_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_passages(table(spark, folder, "documents")).drop("copies")
