@@ -78,7 +78,10 @@ def source_targets(
             / F.sum("weight").over(rest),
         )
         .withColumn(
-            "common", F.min(F.when(F.col("level") > F.col("open_level"), F.col("open_level"))).over(whole)
+            "common",  # the open level of the first source that it does not fill
+            F.min(
+                F.when(F.col("level") > F.col("open_level"), F.struct("level", "sid", "open_level"))
+            ).over(whole)["open_level"],
         )
         .withColumn(
             "target",

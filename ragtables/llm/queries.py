@@ -149,8 +149,9 @@ open_ AS (
   FROM lev),
 tgt AS (
   SELECT source, sid, source_size,
-         least(cap, weight * coalesce(min(CASE WHEN level > open_level THEN open_level END)
-                                      OVER (), 'infinity'::DOUBLE)) AS target
+         least(cap, weight * coalesce((min(CASE WHEN level > open_level THEN
+           struct_pack(l := level, s := sid, o := open_level) END) OVER ()).o,
+           'infinity'::DOUBLE)) AS target
   FROM open_),
 cum AS (
   SELECT doc_id, s.size, s.place, t.*,
