@@ -51,7 +51,8 @@ LONGEST_EXTRA = 6
 # Cost of verifying a pair, in units of looking up one posting.
 VERIFY_COST = 8.0
 BLOOM_BITS = 1 << 24
-SIGNATURE_BITS = 1024
+# Bits of a signature for each shingle, at least.
+SIGNATURE_SHARE = 4
 
 
 def _sets(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray]]:
@@ -141,10 +142,21 @@ def _prefix(found: np.ndarray, levels: np.ndarray) -> tuple[int, np.ndarray, np.
     return chosen, found[order], level[order]
 
 
-def _signature(found: np.ndarray) -> np.ndarray:
-    bit = (words.mix(~found) >> np.uint64(32)) % np.uint64(SIGNATURE_BITS)
-    parity = np.bincount(bit.astype(np.int64), minlength=SIGNATURE_BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+def _signature(found: np.ndarray) -> bytes:
+    """Parity bits; their number is a power of two, so a longer signature folds to
+    the length of a shorter one."""
+    size = max(64, 1 << (SIGNATURE_SHARE * len(found) - 1).bit_length())
+    bit = (words.mix(~found) >> np.uint64(20)) & np.uint64(size - 1)
+    parity = np.bincount(bit.astype(np.int64), minlength=size) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """A number of shingles that two sets differ in at least."""
+    one, other = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(one), len(other))
+    one, other = (np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) for x in (one, other))
+    return int(np.bitwise_count(one ^ other).sum())
 
 
 def _describe(levels) -> object:
@@ -154,7 +166,7 @@ def _describe(levels) -> object:
             n = np.zeros(batch.num_rows, np.int64)
             c = np.zeros((2, batch.num_rows), np.int64)
             extra = np.zeros(batch.num_rows, np.int32)
-            bits = np.zeros((batch.num_rows, SIGNATURE_BITS // 64), np.int64)
+            bits: list[bytes | None] = [None] * batch.num_rows
             tokens, salts, sizes = [], [], np.zeros(batch.num_rows + 1, np.int32)
             for i, found in _sets(batch, "text"):
                 n[i] = len(found)
@@ -179,9 +191,7 @@ def _describe(levels) -> object:
                     pa.array(c[0], mask=n == 0),
                     pa.array(c[1], mask=n == 0),
                     pa.array(extra),
-                    pa.FixedSizeListArray.from_arrays(
-                        pa.array(bits.reshape(-1)), bits.shape[1]
-                    ).cast(pa.list_(pa.int64())),
+                    pa.array(bits, pa.binary()),
                     pa.ListArray.from_arrays(
                         offsets, pa.StructArray.from_arrays([pa.array(flat), pa.array(salt)], ["token", "salt"])
                     ),
@@ -243,6 +253,17 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     )
 
 
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = zip(batch["size_a"].to_pylist(), batch["size_b"].to_pylist())
+        bits = zip(batch["bits_a"].to_pylist(), batch["bits_b"].to_pylist())
+        keep = [
+            (100 + PERCENT) * _apart(a, b) <= (100 - PERCENT) * (m + n)
+            for (a, b), (m, n) in zip(bits, sizes)
+        ]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose signatures do not rule out a link."""
     for side in ("a", "b"):
@@ -250,14 +271,7 @@ def _signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             F.col("c").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}")
         )
         pairs = pairs.join(own, side)
-    apart = F.aggregate(
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0),
-        lambda n, x: n + x,
-    )
-    return pairs.filter(
-        (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("size_a") + F.col("size_b"))
-    ).select("a", "b")
+    return pairs.mapInArrow(_possible, "a long, b long")
 
 
 def _verify(percent: int) -> object:
@@ -353,7 +367,7 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         rows.drop("key").mapInArrow(
             _describe(levels),
             f"doc_id {id_type}, text_hash long, n long, c long, c2 long, extra int,"
-            " bits array<long>, prefix array<struct<token: long, salt: int>>",
+            " bits binary, prefix array<struct<token: long, salt: int>>",
         )
     )
     first = (

@@ -73,7 +73,8 @@ def test_similar_sets_share_enough_of_their_prefixes(seed):
         la, pa, _ = nj._prefix(a, levels)
         lb, pb, _ = nj._prefix(b, levels)
         assert len(np.intersect1d(pa, pb)) >= min(la, lb)
-        apart = np.unpackbits((nj._signature(a) ^ nj._signature(b)).view(np.uint8)).sum()
+        apart = nj._apart(nj._signature(a), nj._signature(b))
+        assert apart <= len(a) + len(b) - 2 * shared
         assert 180 * apart <= 20 * (len(a) + len(b))
 
 

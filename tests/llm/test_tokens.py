@@ -72,7 +72,7 @@ def test_words_encode_like_whole_texts(texts):
 
 def test_store_matches_the_library(spark, odd, tokenizer):
     path = fresh_path(spark, "test")
-    write_tokens(odd, path, PATH, block_ids=3_000)
+    write_tokens(odd, path, PATH, block_ids=1_000)
     rows = sorted(fixtures.rows(), key=lambda r: (r[0] is not None, r[0] or 0))
     want, start, whole = {}, 0, []
     wide = []
