@@ -16,7 +16,9 @@ empty store.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ from ragtables.sources.storage import materialize
 
 BLOCK_IDS = 1 << 20
 # Distinct words that a task remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 
 class _Memo(dict):
@@ -57,31 +59,49 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Lower-cased words of these letters pass the tokenizer's text steps as they
+        # are, so its model can be asked directly; its bytes have one character each
+        # there. ASCII marks after them, but for the apostrophe, are a word of their own.
+        self.parts = re.compile(
+            "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)"
+        ).fullmatch
+        letters = "".join(map(chr, range(0xDF, 0x100)))
+        marks = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.bytes = {ord(c): "".join(p for p, _ in marks(c)) for c in letters}
         self._clear()
 
     def _clear(self) -> None:
         self.memo = _Memo()
+        self.units: dict[str, list[int]] = {}
         self.flat = np.zeros(0, np.uint32)
         self.starts = self.sizes = np.zeros(0, np.int64)
 
+    def _unit(self, unit: str, plain: bool) -> list[int]:
+        found = self.units.get(unit)
+        if found is None:
+            if plain:
+                shown = unit if unit.isascii() else unit.translate(self.bytes)
+                found = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            else:
+                found = self.tokenizer.encode(unit, add_special_tokens=False).ids
+            self.units[unit] = found
+        return found
+
     def _learn(self) -> None:
-        """Encodes the new words. ASCII ones share their lower-case form, and marks
-        that end a word after a letter or digit are words of their own."""
-        units = _Memo()
-        split = []
+        """Encodes the new words."""
+        parts = []
+        unit, split = self._unit, self.parts
         for word in self.memo.new:
-            core = word.rstrip(b".,")
-            if not (core and len(core) < len(word) and core[-1:].isalnum()):
-                core = word
-            tail = word[len(core) :]
-            split.append((units[core.lower() if core.isascii() else core], units[tail] if tail else -1))
-        found = self.tokenizer.encode_batch_fast(
-            [u.decode() for u in units.new], add_special_tokens=False
-        )
-        ids = [e.ids for e in found]
-        parts = [ids[a] + ids[b] if b >= 0 else ids[a] for a, b in split]
+            text = word.decode()
+            match = split(text)
+            if match is None:
+                parts.append(unit(text, False))
+            else:
+                core, tail = match.groups()
+                ids = unit(core.lower(), True)
+                parts.append(ids + unit(tail, False) if tail else ids)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.fromiter((i for p in parts for i in p), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(parts), np.uint32, int(sizes.sum()))
         starts = len(self.flat) + np.cumsum(sizes) - sizes
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, starts])
@@ -92,12 +112,12 @@ class WordEncoder:
         """The ids of each text with the end id."""
         if len(self.memo) > REMEMBERED:
             self._clear()
-        memo = self.memo
+        number = self.memo.__getitem__
         rows = []
         for text in texts:
             words = (text or "").encode("utf-8", "replace").split()
-            rows.append(np.array([memo[w] for w in words], dtype=np.int64))
-        if memo.new:
+            rows.append(np.fromiter(map(number, words), np.int64, len(words)))
+        if self.memo.new:
             self._learn()
         out = []
         for row in rows:
@@ -111,6 +131,18 @@ class WordEncoder:
         return out
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in a cell between steps: their width, then compressed."""
+    kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
+    return kind[-1].encode() + pa.compress(ids.astype(kind).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(cell: bytes, n: int) -> np.ndarray:
+    kind = "<u" + cell[:1].decode()
+    raw = pa.decompress(cell[1:], n * int(kind[-1]), "zstd", asbytes=True)
+    return np.frombuffer(raw, kind).astype(np.uint32)
+
+
 def _groups(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Slices of rows of about ``limit`` bytes."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -131,7 +163,7 @@ def _tokenise(path: str, end: int):
                     [
                         part["doc_id"],
                         pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
+                        pa.array([_packed(i) for i in ids], pa.binary()),
                     ],
                     ["doc_id", "n_tokens", "ids"],
                 )
@@ -142,8 +174,8 @@ def _tokenise(path: str, end: int):
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch["ids"]:
-            found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+        for cell, n in zip(batch["ids"], batch["n_tokens"].to_pylist()):
+            found = np.bincount(_unpacked(cell.as_py(), n))
             if len(found) > len(counts):
                 counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
             counts[: len(found)] += found
@@ -180,9 +212,10 @@ def _blocks(table, block_ids: int):
         held = 0
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for name, ids in zip(batch["doc_id"], batch["ids"]):
-                names.append(name.as_py())
-                docs.append(np.frombuffer(ids.as_py(), "<u4"))
+            cells = zip(batch["doc_id"].to_pylist(), batch["ids"], batch["n_tokens"].to_pylist())
+            for name, cell, n in cells:
+                names.append(name)
+                docs.append(_unpacked(cell.as_py(), n))
                 held += len(docs[-1])
                 if held >= block_ids:
                     yield block()
@@ -206,7 +239,7 @@ def write_tokens(
         )
     )
     counted = (
-        tokens.select("ids").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        tokens.select("ids", "n_tokens").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     ).collect()  # a row per id of the vocabulary
     counts = np.zeros(max([r["id"] for r in counted], default=0) + 1, np.int64)
     for r in counted:
@@ -221,7 +254,7 @@ def write_tokens(
         " sizes array<long>, payload binary"
     )
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.select("doc_id", "ids").mapInArrow(_blocks(shared, block_ids), kind).write.option(
+    ordered.mapInArrow(_blocks(shared, block_ids), kind).write.option(
         "compression", "none"
     ).parquet(f"{path}/blocks")
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "n_tokens")
