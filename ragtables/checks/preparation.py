@@ -182,6 +182,17 @@ def filter_selected(spark: SparkSession, folder: str) -> DataFrame:
     return columns.filter_rows(raw, "MSMARCO").select("doc_id", "quality", "toxic")
 
 
+@check("SELECT doc_id, lang, n_chars FROM documents WHERE lang <> 'en' AND n_chars > 400")
+def filter_registered(spark: SparkSession, folder: str) -> DataFrame:
+    """A predicate of the user's own, by its registered name."""
+    if "long_foreign" not in columns.FILTERS:
+        columns.register_filter(
+            "long_foreign", lambda: (F.col("lang") != "en") & (F.col("n_chars") > 400)
+        )
+    docs = columns.filter_rows(table(spark, folder, "documents"), "long_foreign")
+    return docs.select("doc_id", "lang", "n_chars")
+
+
 @check(
     f"""SELECT doc_id, {sql_normalize("text")} AS normalized,
                array_to_string(list_transform(
@@ -203,13 +214,16 @@ def normalize_tokenize(spark: SparkSession, folder: str) -> DataFrame:
 @check(
     f"""SELECT doc_id,
                row_number() OVER (ORDER BY {sql_hash(3, "doc_id")}, doc_id) - 1 AS shuffled,
-               row_number() OVER (ORDER BY doc_id) - 1 AS ordered
+               row_number() OVER (ORDER BY doc_id) - 1 AS ordered,
+               row_number() OVER (ORDER BY CAST(doc_id AS VARCHAR)) - 1 AS by_text
         FROM documents"""
 )
 def row_numbers(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id")
     df = sampling.row_index(docs, "doc_id", 3, output="shuffled")
-    return sampling.row_index(df, "doc_id", order="key", output="ordered")
+    df = sampling.row_index(df, "doc_id", order="key", output="ordered")
+    df = df.withColumn("name", F.col("doc_id").cast("string"))
+    return sampling.row_index(df, "name", order="key", output="by_text").drop("name")
 
 
 @check(
@@ -221,6 +235,32 @@ def shuffle_limit(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.shuffle_select(docs, "doc_id", 42, 100)
 
 
+@check(
+    f"""(SELECT 'shuffled' AS kind, CAST(doc_id AS VARCHAR) AS name, n_chars FROM documents
+         ORDER BY {sql_hash(42, "doc_id")}, doc_id LIMIT 900)
+        UNION ALL
+        (SELECT 'by number', CAST(doc_id AS VARCHAR), n_chars FROM documents
+         ORDER BY doc_id LIMIT 350)
+        UNION ALL
+        (SELECT 'by name', CAST(doc_id AS VARCHAR), n_chars FROM documents
+         ORDER BY CAST(doc_id AS VARCHAR) LIMIT 350)"""
+)
+def shuffle_limit_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Large limits: of a shuffle, and without a seed of a number and a text key."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", F.col("doc_id").cast("string").alias("name"), "n_chars"
+    )
+    cases = [("shuffled", "doc_id", 42, 900), ("by number", "doc_id", None, 350)]
+    cases.append(("by name", "name", None, 350))
+    parts = [
+        sampling.shuffle_select(docs, key, seed, limit).select(
+            F.lit(kind).alias("kind"), "name", "n_chars"
+        )
+        for kind, key, seed, limit in cases
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @check(
     f"""WITH {SQL_QA}, ranked AS (
           SELECT row_id, row_number() OVER (ORDER BY {sql_hash(5, "row_id")}, row_id) AS r,

@@ -13,7 +13,7 @@ from ragtables.checks.base import (
     titled,
 )
 from ragtables.checks.corpus import SQL_CHUNKS, SQL_CLEAN
-from ragtables.operators import columns, corpus, generation
+from ragtables.operators import columns, corpus, generation, prompts, retrieval
 from ragtables.plans.prepare import Checkpoints, Step, run_steps
 from ragtables.sources import storage, tables
 from ragtables.streaming.generation import stream_generate
@@ -47,7 +47,8 @@ _SQL_ECHO = "len(string_split(query, ' ')) || ' words: ' || query"
     f"""WITH {SQL_QA}
         SELECT row_id, {_SQL_ECHO} AS output,
                CASE WHEN length(query) > 200 THEN '' ELSE 'Be kind. ' || query END AS reply,
-               CASE WHEN length(query) > 200 THEN 'RuntimeError: too long' END AS error
+               CASE WHEN length(query) > 200 THEN 'RuntimeError: too long' END AS error,
+               CASE WHEN length(query) > 200 THEN '' ELSE 'Be brief. ' || query END AS asked
         FROM qa"""
 )
 def generate_batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +64,11 @@ def generate_batch(spark: SparkSession, folder: str) -> DataFrame:
         pause=0.0,
         error_key="error",
     )
-    return rows.select("row_id", "output", "reply", "error")
+    messages = prompts.inference_messages(rows, "query", "Be brief.")
+    rows = generation.chat(
+        messages, "messages", "asked", picky_chat, batch_size=8, pause=0.0
+    )
+    return rows.select("row_id", "output", "reply", "error", "asked")
 
 
 @check(
@@ -81,6 +86,43 @@ def resume_generate(spark: SparkSession, folder: str) -> DataFrame:
     tables.append_predictions(earlier, path)
     return generation.generate_resumable(
         rows, path, "query", "answer", echo_model, rounds=2
+    ).drop("error")
+
+
+def flaky_model():
+    """Stand-in for a model that is down for some prompts."""
+
+    def answer(prompts: list[str]) -> list[str]:
+        if any(len(p) % 3 == 0 for p in prompts):
+            raise RuntimeError("down")
+        return [f"first run: {p}" for p in prompts]
+
+    return answer
+
+
+@check(
+    f"""WITH {SQL_QA}
+        SELECT row_id, answer AS target, CAST(NULL AS VARCHAR) AS error,
+               length(query) % 3 = 0 AS failed_first,
+               CASE WHEN length(query) % 3 = 0 THEN {_SQL_ECHO}
+                    ELSE 'first run: ' || query END AS text FROM qa"""
+)
+def resume_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The first run fails for some rows; the second one asks for those alone."""
+    rows = qa(spark, folder)
+    path = storage.fresh_path(spark, "predictions")
+    first = generation.generate_resumable(
+        rows, path, "query", "answer", flaky_model, failed_share=1.0
+    )
+    failed = _failures(first)
+    second = generation.generate_resumable(rows, path, "query", "answer", echo_model)
+    return second.join(failed, "row_id")
+
+
+def _failures(predictions: DataFrame) -> DataFrame:
+    """Which rows failed, kept apart from later runs."""
+    return storage.materialize(
+        predictions.select("row_id", F.col("error").isNotNull().alias("failed_first"))
     )
 
 
@@ -104,7 +146,7 @@ def stream_generated(spark: SparkSession, folder: str) -> DataFrame:
         stream_generate(
             rows, f"{base}/out", f"{base}/progress", "text", "role", echo_model
         ).awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.parquet(f"{base}/out").drop("error")
 
 
 @check("SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -173,6 +215,35 @@ def index_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@check(
+    f"""WITH {SQL_CHUNKS}
+        SELECT chunk_id, CAST(doc_id AS VARCHAR) AS doc_id, title, content,
+               doc_id % 5 = 0 AS written_again, true AS has_cell
+        FROM chunks"""
+)
+def index_by_cell(spark: SparkSession, folder: str) -> DataFrame:
+    """An index stored by cell. Every fifth document is first written with another
+    title, and then again; its chunks are replaced, not doubled."""
+    path = storage.fresh_path(spark, "index")
+    docs = titled(spark, folder).withColumn("doc_id", F.col("doc_id").cast("string"))
+    again = F.col("doc_id") % 5 == 0
+    first = docs.withColumn("title", F.when(again, "old").otherwise(F.col("title")))
+    chunks = storage.materialize(corpus.build_index(first, corpus.HashingEmbedder))
+    centres = retrieval.cell_centres(chunks, 8, "chunk_id")
+    tables.write_index(retrieval.assign_cells(chunks, centres), path, recreate=True)
+    for _ in range(2):
+        part = corpus.build_index(docs.filter(again), corpus.HashingEmbedder)
+        tables.write_index(retrieval.assign_cells(part, centres), path)
+    return tables.read_index(spark, path).select(
+        "chunk_id",
+        "doc_id",
+        "title",
+        "content",
+        again.alias("written_again"),
+        F.col("cell").isNotNull().alias("has_cell"),
+    )
+
+
 @check(
     f"""WITH {SQL_CLEAN}
         SELECT doc_id, title, content, 'cleaned' AS stage FROM cleaned"""

@@ -13,13 +13,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Our own wording; the placeholder names are part of the interface.
-QA = "Context:\n{context}\n\nQuestion: {question}"
+# The plain layouts, whose text and placeholder names are part of the
+# interface.
+QA = "Question: {question}\nContext:\n{context}"
 QA_SHORT = "Question: {query}"
-QA_WITH_ANSWER = "Context:\n{context}\n\nQuestion: {question}\nAnswer: {answer}"
-QA_FEWSHOT = (
-    "Solved examples:\n{fewshot}\n\nContext:\n{context}\n\nQuestion: {question}"
-)
+QA_WITH_ANSWER = "Question: {question}\nContext:\n{context}\nAnswer: {answer}"
+QA_FEWSHOT = "Examples:\n{fewshot}\n\nQuestion: {question}\nContext:\n{context}"
+
+# Our own wording, but for the fixed marks ##begin_quote##, ##end_quote## and <ANSWER>:.
 _REASONING = (
     "\n\nUse only the context. Explain your reasoning first and put every"
     " sentence copied from the context between ##begin_quote## and"

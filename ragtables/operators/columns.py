@@ -115,7 +115,8 @@ def has_selected_passage() -> Column:
     return F.array_contains(F.col("passages.is_selected"), 1)
 
 
-# Named row predicates; users add their own with ``register_filter``.
+# Named row predicates; users add their own with ``register_filter``. Fixed value: the
+# name of the first.
 FILTERS: dict[str, Callable[[], Column]] = {"MSMARCO": has_selected_passage}
 
 

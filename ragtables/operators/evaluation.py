@@ -20,6 +20,7 @@ from ragtables.functions import scores
 from ragtables.functions.text import decompose, decompose_all, normalize_text
 from ragtables.operators.columns import quoted, require
 from ragtables.operators.sampling import shuffle_select
+from ragtables.sources.storage import materialize
 
 log = logging.getLogger(__name__)
 
@@ -44,8 +45,8 @@ def align_predictions(
 ) -> DataFrame:
     """Add each row's prediction, by key; the processor works on it alone.
 
-    A row without a prediction fails the job, inside the one plan. Predictions
-    for other rows are ignored.
+    A row without a prediction, or with more than one, fails the job, inside the
+    one plan. Predictions for other rows are ignored.
     """
     require(data, [key])
     if limit is not None:
@@ -53,17 +54,25 @@ def align_predictions(
     answer = F.col(text_key)
     if processor is not None:
         answer = processor(answer)
-    answers = predictions.select(
-        quoted(key).alias("_key"), F.struct(answer.alias("text")).alias("_said")
+    answers = predictions.groupBy(quoted(key).alias("_key")).agg(
+        F.struct(
+            F.any_value(quoted(text_key)).alias(text_key), F.count(F.lit(1)).alias("_rows")
+        ).alias("_said")
     )
+    answers = answers.select("_key", "_said", quoted("_said")[text_key].alias(text_key))
+    answers = answers.select("_key", "_said", answer.alias("_text"))
     joined = data.join(answers, quoted(key) == F.col("_key"), "left")
-    missing = F.raise_error(
-        F.concat(F.lit("no prediction for row "), quoted(key).cast("string"))
-    )
-    said = F.when(F.col("_said").isNull(), missing.cast("string")).otherwise(
-        F.col("_said.text")
+
+    def failure(what: str) -> Column:
+        named = F.concat(F.lit(f"{what} for row "), quoted(key).cast("string"))
+        return F.raise_error(named).cast("string")
+
+    said = (
+        F.when(F.col("_said").isNull(), failure("no prediction"))
+        .when(F.col("_said._rows") > 1, failure("more than one prediction"))
+        .otherwise(F.col("_text"))
     )
-    return joined.withColumn(generated, said).drop("_key", "_said")
+    return joined.withColumn(generated, said).drop("_key", "_said", "_text")
 
 
 def references(df: DataFrame, label: str) -> Column:
@@ -173,21 +182,25 @@ def embedding_similarity(
 Scorer = Callable[..., Sequence[float]]
 
 
-def _safe_scores(scorer: Scorer, columns: list[list]) -> list[float]:
-    """Scores of a batch; a failed or undefined one is 0. A failed batch is tried
-    again row by row."""
+def _scores(
+    scorer: Scorer, columns: list[list], forgiving: bool
+) -> list[tuple[float, bool]]:
+    """Scores of a batch, and whether each failed; an undefined one is 0. With
+    ``forgiving`` a failed batch is tried again row by row, and a failed row is 0."""
     size = len(columns[0])
     try:
         made = [float(v) for v in scorer(*columns)]
         if len(made) != size:
             raise ValueError(f"{len(made)} scores for {size} rows")
-        return [0.0 if math.isnan(v) else v for v in made]
+        return [(0.0 if math.isnan(v) else v, False) for v in made]
     except Exception as error:
+        if not forgiving:
+            raise
         if size == 1:
-            log.info("scoring failed: %s", error)
-            return [0.0]
+            log.warning("scoring failed: %s", error)
+            return [(0.0, True)]
         rows = zip(*columns)
-        return [_safe_scores(scorer, [[v] for v in row])[0] for row in rows]
+        return [_scores(scorer, [[v] for v in row], True)[0] for row in rows]
 
 
 def scored_metric(
@@ -196,17 +209,21 @@ def scored_metric(
     inputs: Sequence[Callable[[DataFrame], Column]],
     best_over: int | None = None,
     batch_size: int = 64,
+    forgiving: bool = False,
 ) -> LocalMetric:
     """A metric computed by a user-supplied model.
 
+    An exception of the scorer ends the run; with ``forgiving`` the row scores 0, and
+    ``{name}_failed`` tells the share of such rows.
+
     The scorer gets one list per input. ``best_over`` is the position of an input
     that is an array of references: each is scored on its own, and the best counts.
     Pairs are flattened and regrouped inside a batch, so no shuffle is needed.
     ``make_scorer`` runs once per task.
     """
 
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("score double, failed double")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for batch in batches:
             columns = [list(s) for s in (batch if isinstance(batch, tuple) else (batch,))]
@@ -220,17 +237,29 @@ def scored_metric(
                     else [v for v, n in zip(column, sizes) for _ in range(n)]
                     for position, column in enumerate(columns)
                 ]
-            made: list[float] = []
+            made: list[tuple[float, bool]] = []
             for start in range(0, len(columns[0]), batch_size):
                 part = [c[start : start + batch_size] for c in columns]
-                made.extend(_safe_scores(scorer, part))
+                made.extend(_scores(scorer, part, forgiving))
             if sizes is not None:
                 ends = iter(made)
-                made = [max([next(ends) for _ in range(n)], default=0.0) for n in sizes]
-            yield pd.Series(made, dtype="float64")
+                groups = [[next(ends) for _ in range(n)] for n in sizes]
+                made = [
+                    (max([v for v, _ in g], default=0.0), any(f for _, f in g))
+                    for g in groups
+                ]
+            yield pd.DataFrame(made, columns=["score", "failed"]).astype("float64")
 
     score = score.asNondeterministic()
-    return lambda df: {name: score(*[get(df) for get in inputs])}
+    column = f"_scored_{name}"
+
+    def measure(df: DataFrame) -> Mapping[str, Column]:
+        found = {name: F.col(f"`{column}`.score")}
+        if forgiving:
+            found[f"{name}_failed"] = F.col(f"`{column}`.failed")
+        return found
+
+    return Prepared({column: lambda df: score(*[get(df) for get in inputs])}, measure)
 
 
 def _pair_metric(
@@ -272,7 +301,7 @@ def _judged(
         _answer_or_none(generated),
         lambda df: references(df, context),
     ]
-    return scored_metric(name, make_judge, inputs)
+    return scored_metric(name, make_judge, inputs, forgiving=True)
 
 
 def faithfulness(
@@ -302,7 +331,7 @@ def hallucination(
 ) -> LocalMetric:
     """A judge on (answer, context passages)."""
     inputs = [lambda df: quoted(generated), lambda df: references(df, context)]
-    return scored_metric("hallucination", make_judge, inputs)
+    return scored_metric("hallucination", make_judge, inputs, forgiving=True)
 
 
 def classification(
@@ -409,7 +438,13 @@ def evaluate(
     local: Sequence[LocalMetric] = (),
     whole: Sequence[GlobalMetric] = (),
 ) -> DataFrame:
-    """All metrics of a run as ``(scope, metric, value)`` rows."""
+    """All metrics of a run as ``(scope, metric, value)`` rows.
+
+    With whole-table metrics the aligned rows are stored once and read by each pass,
+    so that neither the answers nor a model call behind them are computed again.
+    """
+    if whole and len(whole) + bool(local) > 1:
+        aligned = materialize(aligned)
     parts = [("local", local_means(aligned, local))] if local else []
     parts += [("global", metric(aligned)) for metric in whole]
     if not parts:

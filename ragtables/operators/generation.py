@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,8 +88,15 @@ def chat(
     pause: float = 1.0,
     error_key: str | None = None,
 ) -> DataFrame:
-    """Ask a chat service with a system instruction; a failed call answers ``""``."""
-    asked = inference_messages(df, prompt_key, instruction, output_key="_messages")
+    """Ask a chat service with a system instruction; a failed call answers ``""``.
+
+    A prompt that is a list of messages already is sent as it is.
+    """
+    require(df, [prompt_key])
+    if isinstance(df.schema[prompt_key].dataType, T.ArrayType):
+        asked = df.withColumn("_messages", quoted(prompt_key))
+    else:
+        asked = inference_messages(df, prompt_key, instruction, output_key="_messages")
     done = generate(
         asked, "_messages", answer_key, make_model, batch_size, pause, error_key
     )
@@ -98,7 +105,9 @@ def chat(
 
 
 def remaining(df: DataFrame, done: DataFrame, key: str = "row_id") -> DataFrame:
-    """Rows without a prediction."""
+    """Rows without a prediction. A failed one does not count."""
+    if "error" in done.columns:
+        done = done.filter(F.col("error").isNull())
     return df.join(done.select(key), key, "left_anti")
 
 
@@ -112,12 +121,15 @@ def generate_resumable(
     rounds: int = 1,
     batch_size: int = 16,
     pause: float = 0.0,
+    failed_share: float = 0.0,
 ) -> DataFrame:
     """Generate what a prediction table lacks, append it, and return the table.
 
     Each of the ``rounds`` handles an even share of the keys and commits on its
     own, so that a broken run loses one round at most. A failed prompt is stored
-    as ``""``, like any other answer.
+    with its ``error`` and a null text, and counts as lacking: the next run asks
+    again. If more than ``failed_share`` of a round's prompts fail, the run ends
+    with an error once that round is stored.
     """
     spark: SparkSession = df.sparkSession
     require(df, [key, input_key, target_key])
@@ -127,6 +139,7 @@ def generate_resumable(
             T.StructField(key, df.schema[key].dataType),
             T.StructField("text", T.StringType()),
             T.StructField("target", df.schema[target_key].dataType),
+            T.StructField("error", T.StringType()),
         ]
     )
     share = F.pmod(F.xxhash64(quoted(key)), F.lit(rounds))
@@ -135,9 +148,20 @@ def generate_resumable(
         if storage.exists(spark, path):
             done = spark.read.schema(schema).parquet(path)
             todo = remaining(todo, done, key)
-        answered = generate(todo, input_key, "text", make_model, batch_size, pause)
-        answered = answered.withColumns(
-            {"text": F.coalesce("text", F.lit("")), "target": quoted(target_key)}
+        answered = generate(
+            todo, input_key, "text", make_model, batch_size, pause, error_key="error"
+        )
+        seen = Observation()
+        answered = answered.withColumn("target", quoted(target_key)).observe(
+            seen,
+            F.count(F.lit(1)).alias("asked"),
+            F.count("error").alias("failed"),
         )
         append_predictions(answered, path, key)
+        asked, failed = (seen.get.get(n, 0) for n in ("asked", "failed"))
+        if failed > failed_share * asked:
+            raise RuntimeError(
+                f"{failed} of {asked} prompts failed; answers are stored, and a"
+                " further run asks for the others"
+            )
     return read_predictions(spark, path, schema, key)

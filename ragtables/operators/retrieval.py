@@ -3,15 +3,20 @@
 Scores come from block matrix products, and a block gives out no more than its
 own best ``k`` per query, so no pair of vectors ever becomes a row.
 
-* ``dense_topk`` is exact. A small, counted set of queries is sent to the corpus,
-  which then is scanned in place without a shuffle. Beyond that size queries and
-  corpus are both cut into blocks, and each pair of blocks is one task's work.
+* ``dense_topk`` is exact. A counted set of queries is sent to the corpus, which
+  then is scanned in place without a shuffle. More queries than may be sent at once
+  go in several sets, with one scan each.
 * ``cell_topk`` is approximate. Vectors belong to the cell of their nearest
-  centre, and a query looks only into its nearest cells. A cell is cut into
-  blocks by its counted size, so a cell with a third of the corpus is no hot spot.
+  centre, and a query looks only into its nearest cells, and into further ones
+  until they hold ``k`` documents. A cell is cut into blocks by its counted size, so
+  a cell with a third of the corpus is no hot spot.
 
 Candidates are found with the fast matrix product and then scored again in a
 fixed order of summation, so ties and results do not depend on block borders.
+
+A vector that is null, has another length than the others or holds an undefined or
+infinite number ends the search with an error that names its id; with
+``skip_invalid`` such a document is no candidate, and such a query has no hits.
 """
 
 from __future__ import annotations
@@ -22,17 +27,19 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ragtables.functions.draws import keyed_hash
 from ragtables.operators.columns import quoted, require
 from ragtables.operators.corpus import Embedder, embed
 from ragtables.operators.joins import lookup_join
-from ragtables.sources.storage import materialize
+from ragtables.operators.sampling import row_index
+from ragtables.sources.storage import fresh_path, materialize
 
 # Rows on either side of one matrix product.
 QUERY_ROWS = 1024
@@ -51,11 +58,26 @@ _SLICE = 200_000
 _SLACK = 1e-9
 
 
-def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _checked(
+    ids: pa.Array | pa.ChunkedArray,
+    vectors: pa.Array | pa.ChunkedArray,
+    dimension: int,
+    skip_invalid: bool,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and the matrix of their vectors, all of them whole."""
     if isinstance(vectors, pa.ChunkedArray):
-        vectors = vectors.combine_chunks()
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
+        ids, vectors = ids.combine_chunks(), vectors.combine_chunks()
+    size = pa.compute.fill_null(pa.compute.list_value_length(vectors), -1)
+    fits = size.to_numpy(zero_copy_only=False) == dimension
+    kept = vectors.filter(pa.array(fits))
+    flat = kept.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    matrix = flat.reshape(-1, dimension)
+    whole = np.isfinite(matrix).all(axis=1)
+    names = ids.to_numpy(zero_copy_only=False)
+    if not skip_invalid and not (fits.all() and whole.all()):
+        bad = names[~fits][0] if not fits.all() else names[fits][~whole][0]
+        raise ValueError(f"the vector of {bad!r} is not {dimension} finite numbers")
+    return names[fits][whole], matrix[whole]
 
 
 def _ordered_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -123,22 +145,31 @@ def best_per_row(found: pd.DataFrame, k: int) -> pd.DataFrame:
 class _Search:
     """The best ``k`` documents per query over all documents seen so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip: bool):
+    def __init__(
+        self,
+        ids: np.ndarray,
+        vectors: np.ndarray,
+        k: int,
+        skip: bool,
+        floor: np.ndarray | None = None,
+    ):
         self.ids, self.vectors, self.k, self.skip = ids, vectors, k, skip
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor
         starts = range(0, len(ids), QUERY_ROWS)
         self.parts = [slice(start, start + QUERY_ROWS) for start in starts]
         self.kept: list[pd.DataFrame | None] = [None] * len(self.parts)
 
-    def _floor(self, kept: pd.DataFrame | None, rows: int) -> np.ndarray:
+    def _floor(self, kept: pd.DataFrame | None, part: slice) -> np.ndarray:
         """The worst score of each query that has ``k`` documents already."""
-        floor = np.full(rows, -np.inf)
+        floor = self.floor[part].copy()
         if kept is not None:
             full = kept.groupby("row")["score"].agg(["size", "min"])
             full = full[full["size"] == self.k]
-            floor[full.index] = full["min"]
+            floor[full.index] = np.maximum(floor[full.index], full["min"])
         return floor
 
     def see(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
+        """Searches some documents, if any."""
         for start in range(0, len(doc_ids), DOC_ROWS):
             rows = slice(start, start + DOC_ROWS)
             for number, part in enumerate(self.parts):
@@ -150,7 +181,7 @@ class _Search:
                     docs[rows],
                     self.k,
                     self.skip,
-                    self._floor(kept, len(ids)),
+                    self._floor(kept, part),
                 )
                 if kept is not None:
                     found = best_per_row(pd.concat([kept, found]), self.k)
@@ -187,8 +218,10 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def _dimension(df: DataFrame, vector_key: str) -> int:
-    first = df.select(F.size(quoted(vector_key))).first()
-    return first[0] if first else 0
+    """The usual length of a vector: that of most rows, the larger one of a tie."""
+    sizes = df.groupBy(F.array_size(quoted(vector_key)).alias("n")).count()
+    usual = sizes.filter("n > 0").orderBy(F.desc("count"), F.desc("n")).first()
+    return usual["n"] if usual else 1
 
 
 def _sides(
@@ -221,29 +254,40 @@ def dense_topk(
     doc_vector: str = "embedding",
     skip_equal_ids: bool = False,
     sent_components: int = SENT_COMPONENTS,
+    skip_invalid: bool = False,
 ) -> DataFrame:
     """Exact top ``k``: ``query_id, doc_id, score, rank``; ties go to the lower id.
 
-    ``skip_equal_ids`` leaves out a document with the query's own id.
+    ``skip_equal_ids`` leaves out a document with the query's own id. With more
+    queries than may be sent at once, each set's hits are computed and stored here.
     """
     schema = _result_schema(queries, query_key, corpus, doc_key)
     left, right = _sides(
         queries, corpus, query_key, doc_key, query_vector, doc_vector
     )
-    dimension = max(1, _dimension(left, "query_vector"))
-    allowed = min(SENT_ROWS, sent_components // dimension)
-    if left.limit(allowed + 1).count() <= allowed:
-        found = _scan(left, right, k, skip_equal_ids, schema)
-    else:
-        found = _grid(
-            left.withColumn("cell", F.lit(0)),
-            right.withColumn("cell", F.lit(0)),
-            k,
-            skip_equal_ids,
-            schema,
-            dimension,
-        )
-    return _ranked(found, k)
+    dimension = _dimension(left, "query_vector")
+    allowed = max(1, min(SENT_ROWS, sent_components // dimension))
+    options = (right, k, skip_equal_ids, skip_invalid, schema, dimension)
+    few = left.limit(allowed + 1).count()
+    if not few:
+        return _ranked(corpus.sparkSession.createDataFrame([], schema), k)
+    if few <= allowed:
+        return _ranked(_scan(left, *options), k)
+    # Sets of even hash ranges, the numbers of which bound their sizes.
+    numbered = materialize(row_index(left, "query_id"))
+    sets = math.ceil(numbered.count() / allowed)
+    path = fresh_path(corpus.sparkSession, "hits")
+    for number in range(sets):
+        first = number * allowed
+        part = numbered.filter((F.col("idx") >= first) & (F.col("idx") < first + allowed))
+        hits = _ranked(_scan(part.drop("idx"), *options), k)
+        hits.write.mode("append").parquet(path)
+    kind = _ranked(corpus.sparkSession.createDataFrame([], schema), k).schema
+    return corpus.sparkSession.read.schema(kind).parquet(path)
+
+
+# With fewer partitions than this, a floor for the scores is not worth a pass.
+FLOOR_PARTITIONS = 64
 
 
 def _scan(
@@ -251,24 +295,53 @@ def _scan(
     corpus: DataFrame,
     k: int,
     skip_equal_ids: bool,
+    skip_invalid: bool,
     schema: T.StructType,
+    dimension: int,
 ) -> DataFrame:
-    """Send the few queries to every task and read the corpus in place."""
+    """Send the few queries to every task and read the corpus in place.
+
+    Every task would hand out ``k`` hits a query. With many partitions, some of them
+    are searched first; their ``k``-th best score is a floor that the others need not
+    go below. It skips what cannot win, so the result is the same.
+    """
     # At most SENT_ROWS rows and SENT_COMPONENTS components: the caller counted.
     table = queries.toArrow()
-    sent = corpus.sparkSession.sparkContext.broadcast(
-        (table["query_id"].to_numpy(), _matrix(table["query_vector"]))
+    ids, vectors = _checked(
+        table["query_id"], table["query_vector"], dimension, skip_invalid
     )
+    context = corpus.sparkSession.sparkContext
+    sent = context.broadcast((ids, vectors))
     arrow = _arrow_schema(schema)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = _Search(*sent.value, k, skip_equal_ids)
-        for batch in batches:
-            doc_ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            search.see(doc_ids, _matrix(batch.column("doc_vector")))
-        yield from search.batches(arrow)
+    def searching(floors, step: int):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if step and TaskContext.get().partitionId() % step:
+                return
+            floor = None if floors is None else floors.value
+            search = _Search(*sent.value, k, skip_equal_ids, floor)
+            for batch in batches:
+                search.see(
+                    *_checked(
+                        batch.column("doc_id"),
+                        batch.column("doc_vector"),
+                        dimension,
+                        skip_invalid,
+                    )
+                )
+            yield from search.batches(arrow)
+
+        return scan
 
-    return corpus.mapInArrow(scan, schema)
+    partitions = corpus.rdd.getNumPartitions()
+    if partitions < FLOOR_PARTITIONS:
+        return corpus.mapInArrow(searching(None, 0), schema)
+    some = corpus.mapInArrow(searching(None, math.isqrt(partitions)), schema)
+    last = _ranked(some, k).filter(F.col("rank") == k).select("query_id", "score")
+    found = last.toArrow()  # a row per query sent
+    known = dict(zip(found["query_id"].to_pylist(), found["score"].to_pylist()))
+    floor = np.array([known.get(i, -np.inf) for i in ids.tolist()], np.float64)
+    return corpus.mapInArrow(searching(context.broadcast(floor), 0), schema)
 
 
 def _arrow_type(dtype: T.DataType) -> pa.DataType:
@@ -297,6 +370,7 @@ def _grid(
     corpus: DataFrame,
     k: int,
     skip_equal_ids: bool,
+    skip_invalid: bool,
     schema: T.StructType,
     dimension: int,
 ) -> DataFrame:
@@ -350,9 +424,13 @@ def _grid(
         if not one.num_rows or not other.num_rows:
             return arrow.empty_table()
         search = _Search(
-            one["query_id"].to_numpy(), _matrix(one["query_vector"]), k, skip_equal_ids
+            *_checked(one["query_id"], one["query_vector"], dimension, skip_invalid),
+            k,
+            skip_equal_ids,
+        )
+        search.see(
+            *_checked(other["doc_id"], other["doc_vector"], dimension, skip_invalid)
         )
-        search.see(other["doc_id"].to_numpy(), _matrix(other["doc_vector"]))
         return pa.Table.from_batches(search.batches(arrow), schema=arrow)
 
     on = ["cell", "query_block", "doc_block"]
@@ -365,34 +443,51 @@ def cell_centres(
     doc_key: str = "doc_id",
     doc_vector: str = "embedding",
     seed: int = 0,
-    train_rows_per_cell: int = 256,
     iterations: int = 10,
 ) -> np.ndarray:
-    """Centres of ``cells`` clusters, by k-means on a seeded sample of the corpus.
-
-    The sample only shapes the cells; every vector is assigned to one later. It
-    has a fixed number of rows per cell, so training does not grow with the corpus.
-    """
-    h = keyed_hash(seed, quoted(doc_key))
-    rows = corpus.count()
-    share = min(1.0, cells * train_rows_per_cell / max(1, rows))
-    sample = corpus.filter(h < int(share * 2**60)) if share < 1 else corpus
-    features = sample.select(array_to_vector(quoted(doc_vector)).alias("features"))
+    """Centres of ``cells`` clusters, by distributed k-means over all vectors."""
+    require(corpus, [doc_key, doc_vector])
+    features = corpus.select(array_to_vector(quoted(doc_vector)).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=iterations, initSteps=2).fit(features)
     return np.array(model.clusterCenters())
 
 
-def nearest_cells(vector: Column, centres: np.ndarray, probes: int) -> Column:
-    """The ``probes`` cells whose centres are nearest to a vector, nearest first."""
+# Scores of vectors against centres that are held at a time.
+_CELL_SCORES = 4_000_000
+
+
+def nearest_cells(
+    vector: Column,
+    centres: np.ndarray,
+    probes: int,
+    sizes: np.ndarray | None = None,
+    needed: int = 0,
+) -> Column:
+    """The ``probes`` cells whose centres are nearest to a vector, nearest first.
+
+    With the ``sizes`` of the cells, further ones follow until all hold ``needed``
+    documents. A vector that is not of the centres' length, or not finite, has none.
+    """
     half = (centres * centres).sum(axis=1) / 2
+    dimension = centres.shape[1]
+    probes = min(probes, len(centres))
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def cells(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        near = np.stack(vectors.to_numpy()).astype(np.float64) @ centres.T - half
-        order = np.argsort(-near, axis=1, kind="stable")[:, :probes]
-        return pd.Series(list(order.astype(np.int32)))
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def cells(vectors: pa.Array) -> pa.Array:
+        rows = pa.array(range(len(vectors)), pa.int64())
+        whole, matrix = _checked(rows, vectors, dimension, skip_invalid=True)
+        found: list[list[int]] = [[] for _ in range(len(vectors))]
+        step = max(1, _CELL_SCORES // len(centres))
+        for start in range(0, len(whole), step):
+            near = matrix[start : start + step] @ centres.T - half
+            order = np.argsort(-near, axis=1, kind="stable")
+            count = np.full(len(order), probes)
+            if sizes is not None:
+                held = np.cumsum(sizes[order], axis=1)
+                count = np.maximum(count, (held < needed).sum(axis=1) + 1)
+            for row, cell, n in zip(whole[start : start + step], order, count):
+                found[row] = cell[:n].tolist()
+        return pa.array(found, pa.list_(pa.int32()))
 
     return cells(vector)
 
@@ -400,9 +495,10 @@ def nearest_cells(vector: Column, centres: np.ndarray, probes: int) -> Column:
 def assign_cells(
     corpus: DataFrame, centres: np.ndarray, doc_vector: str = "embedding"
 ) -> DataFrame:
-    """Add the ``cell`` of each vector. Written partitioned by ``cell``, an index
-    lets a search read only the cells it probes."""
-    return corpus.withColumn("cell", nearest_cells(quoted(doc_vector), centres, 1)[0])
+    """Add the ``cell`` of each vector; null for one that is not whole. ``write_index``
+    stores the table by ``cell``, so that a search reads only the cells it probes."""
+    cell = F.get(nearest_cells(quoted(doc_vector), centres, 1), F.lit(0))
+    return corpus.withColumn("cell", cell)
 
 
 def cell_topk(
@@ -416,29 +512,51 @@ def cell_topk(
     query_vector: str = "embedding",
     doc_vector: str = "embedding",
     skip_equal_ids: bool = False,
+    skip_invalid: bool = False,
 ) -> DataFrame:
     """Approximate top ``k``: exact among the documents of the nearest cells.
 
     ``centres`` come from ``cell_centres``. A corpus without a ``cell`` column is
-    assigned on the fly.
+    assigned here, and stored. A query whose ``probes`` cells hold fewer than ``k``
+    documents looks into further cells.
     """
-    if "cell" not in corpus.columns:
-        corpus = assign_cells(corpus, centres, doc_vector)
     schema = _result_schema(queries, query_key, corpus, doc_key)
     left, _ = _sides(queries, corpus, query_key, doc_key, query_vector, doc_vector)
-    right = corpus.select(
-        "cell",
-        quoted(doc_key).alias("doc_id"),
-        quoted(doc_vector).alias("doc_vector"),
-    )
-    probes = min(probes, len(centres))
-    left = left.withColumn(
-        "cell", F.explode(nearest_cells(F.col("query_vector"), centres, probes))
+    names = [quoted(doc_key).alias("doc_id"), quoted(doc_vector).alias("doc_vector")]
+    if "cell" in corpus.columns:
+        right = corpus.select("cell", *names)
+    else:
+        right = materialize(assign_cells(corpus, centres, doc_vector).select("cell", *names))
+    dimension = centres.shape[1]
+    if not skip_invalid:
+        for side, name in ((left, "query"), (right.filter("cell is null"), "doc")):
+            _refuse(side, f"{name}_id", f"{name}_vector", dimension)
+    counted = right.groupBy("cell").count().collect()  # a row per cell
+    sizes = np.zeros(len(centres), np.int64)
+    for r in counted:
+        if r["cell"] is not None:
+            sizes[r["cell"]] = r["count"]
+    needed = min(k + skip_equal_ids, int(sizes.sum()))
+    near = nearest_cells(F.col("query_vector"), centres, probes, sizes, needed)
+    # Used for counts and for blocks: embedded and assigned once.
+    left = materialize(left.withColumn("cell", F.explode(near)))
+    found = _grid(
+        left, right, k, skip_equal_ids, skip_invalid, schema, dimension
     )
-    found = _grid(left, right, k, skip_equal_ids, schema, centres.shape[1])
     return _ranked(found, k)
 
 
+def _refuse(side: DataFrame, key: str, vector: str, dimension: int) -> None:
+    """An error that names a row whose vector is not whole, if there is one."""
+
+    def bad(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _checked(batch.column(key), batch.column(vector), dimension, False)
+            yield batch.slice(0, 0)
+
+    side.select(key, vector).mapInArrow(bad, side.select(key, vector).schema).count()
+
+
 def recall_at_k(found: DataFrame, exact: DataFrame) -> DataFrame:
     """Share of the exact hits that were found: one row ``recall``."""
     pair = ["query_id", "doc_id"]
@@ -506,7 +624,7 @@ def retrieve(
     """Add the ``k`` best chunks for each row's query, as ``{content, title}``.
 
     ``index`` is a stored chunk table. With ``centres`` the search is limited to
-    the nearest cells; write the index with ``assign_cells`` then.
+    the nearest cells; store the index with ``assign_cells`` then.
     """
     require(df, [key, query_key])
     asked = embed(
@@ -517,11 +635,11 @@ def retrieve(
         prefix=prefix,
         batch_size=batch_size,
     )
+    # Queries are counted before they are matched: embed them once.
+    asked = materialize(asked.select(key, "_embedding"))
     if centres is None:
         hits = dense_topk(asked, index, k, key, "chunk_id", "_embedding")
     else:
-        # Queries are counted per cell before they are matched: embed them once.
-        asked = materialize(asked)
         hits = cell_topk(
             asked, index, centres, k, probes, key, "chunk_id", "_embedding"
         )

@@ -27,11 +27,7 @@ from ragtables.sources.storage import materialize
 # Rows are numbered bucket by bucket. 65,536 buckets cut 100 TB into pieces of
 # about 1.5 GB, and the table of bucket sizes never has more rows than that.
 INDEX_BITS = 16
-KEY_BITS = 12
-
-# Up to this many rows a limit keeps the best rows of every task and merges
-# them in one; beyond it the rows are chosen by a threshold.
-TOP_ROWS = 100_000
+KEY_BITS = 16
 
 
 def _hash_bucket(key: str, seed: int) -> tuple[Column, Column]:
@@ -68,21 +64,42 @@ def _range_bucket(df: DataFrame, key: str) -> tuple[DataFrame, Column]:
     """Number of the sorted range a key of any type lies in.
 
     The keys alone are spread by range and written, so that their ranges stay
-    what they are; the rows find theirs by key.
+    what they are; the rows find theirs by key. A null key finds none.
     """
     ranges = (
         df.select(quoted(key).alias("_range_key"))
         .repartitionByRange("_range_key")
         .withColumn("_range", F.spark_partition_id())
     )
-    placed = df.join(materialize(ranges), quoted(key) == F.col("_range_key"))
+    ranges = materialize(ranges.distinct())
+    placed = df.join(ranges, quoted(key) == F.col("_range_key"), "left")
     return placed.drop("_range_key"), F.col("_range")
 
 
+def _one_row(key: Column, repeated: Column, value: Column) -> Column:
+    """``value``, or an error that names a key that is null or not the only one."""
+    null = F.raise_error(F.lit("a row has no key")).cast("bigint")
+    again = F.concat(F.lit("more than one row has the key "), key.cast("string"))
+    return (
+        F.when(key.isNull(), null)
+        .when(repeated, F.raise_error(again).cast("bigint"))
+        .otherwise(value)
+    )
+
+
+def unique_keys(df: DataFrame, key: str, output: str = "_key") -> DataFrame:
+    """The keys alone; a key that is null or repeated is an error in the plan."""
+    counted = df.groupBy(quoted(key).alias("_each")).agg(F.count(F.lit(1)).alias("_rows"))
+    fine = _one_row(F.col("_each"), F.col("_rows") > 1, F.lit(1).cast("bigint"))
+    # The check is part of what is kept, so that it cannot be left out.
+    return counted.filter(fine == 1).select(F.col("_each").alias(output))
+
+
 def row_index(
     df: DataFrame, key: str, seed: int = 0, order: str = "hash", output: str = "idx"
 ) -> DataFrame:
-    """Number the rows 0, 1, 2, ... without gaps; ``key`` must be unique.
+    """Number the rows 0, 1, 2, ... without gaps; ``key`` must be unique. A null or
+    repeated key is an error when the rows are read.
 
     ``order="hash"`` numbers them in seeded random order, ``order="key"`` by key.
     Rows fall into many small, even buckets by hash or by range; a first pass
@@ -102,6 +119,7 @@ def row_index(
             df, bucket = _range_bucket(df, key)
     else:
         raise ValueError('order must be "hash" or "key"')
+    bucket = F.coalesce(bucket, F.lit(0))
     sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     # At most 2**INDEX_BITS rows of two numbers (or one per range), for any input.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +131,12 @@ def row_index(
         df.withColumns({"_bucket": bucket, "_rank": rank})
         .join(F.broadcast(offsets), "_bucket")
         .withColumn(
-            output, F.col("_offset") + F.row_number().over(inside).cast("bigint") - 1
+            output,
+            _one_row(
+                quoted(key),
+                F.coalesce(F.lag(quoted(key)).over(inside) == quoted(key), F.lit(False)),
+                F.col("_offset") + F.row_number().over(inside).cast("bigint") - 1,
+            ),
         )
         .drop("_bucket", "_rank", "_offset", "_range")
     )
@@ -142,6 +165,8 @@ def first_by_hash(df: DataFrame, key: str, seed: int, wanted: int) -> Column:
         return F.lit(False)
     inside = keys.filter(F.col("bucket") == number).orderBy("h", "key").limit(left)
     last = inside.agg(F.max(F.struct("h", "key")).alias("last")).first()["last"]
+    if last["key"] is None:
+        raise ValueError("a row has no key")
     return (h < last["h"]) | ((h == last["h"]) & (quoted(key) <= F.lit(last["key"])))
 
 
@@ -159,15 +184,15 @@ def shuffle_select(
 ) -> DataFrame:
     """Optional seeded shuffle, then at most ``limit`` rows.
 
-    Without a seed the rows come in key order. ``None`` switches a part off.
+    Without a seed the rows come in key order. ``None`` switches a part off. A limit
+    of any size finds the last key that counts and then is a plain filter; ``key``
+    must be unique for it.
     """
     require(df, [key])
     column = quoted(key)
     order = [column] if seed is None else [keyed_hash(seed, column), column]
     if limit is None:
         return df if seed is None else df.orderBy(*order)
-    if limit <= TOP_ROWS:
-        return df.orderBy(*order).limit(limit)
     if seed is None:
         return df.filter(first_by_key(df, key, limit)).orderBy(*order)
     return df.filter(first_by_hash(df, key, seed, limit)).orderBy(*order)
@@ -240,7 +265,13 @@ def sample_rows(
         kept = list(columns) if columns is not None else source.columns
         require(source, kept)
         sample = F.struct(*[quoted(c) for c in kept])
-    rows = source.select(quoted(source_key)).count()
+    # The keys are read and numbered once; counts and lookups use the stored table.
+    index = materialize(
+        row_index(
+            materialize(source.select(quoted(source_key).alias("_id_key"))), "_id_key", seed
+        )
+    )
+    rows = index.count()
     copies = copies_for(rows)
 
     # Ids are uniform, so none is hot - unless there are only a few of them:
@@ -257,11 +288,10 @@ def sample_rows(
 
     # Numbering, drawing and the first lookup touch keys only; the samples are
     # moved once to their drawers, and each row once to its samples.
-    index = row_index(source.select(quoted(source_key).alias("_id_key")), "_id_key", seed)
     if own:
         keys = index.select(F.col("_id_key").alias("_key"), F.col("idx").alias("_own"))
     else:
-        keys = df.select(quoted(key).alias("_key"))
+        keys = unique_keys(df, key)
     draws = distinct_draws(k, rows, seed, F.col("_key"), F.col("_own") if own else None)
     wanted = keys.select("_key", F.posexplode(draws).alias("_pos", "_id"))
     index = index.withColumnRenamed("idx", "_id")

@@ -16,7 +16,7 @@ from ragtables.operators.evaluation import (
     evaluate,
 )
 from ragtables.operators.generation import Model, generate_resumable
-from ragtables.sources import tables
+from ragtables.sources import storage, tables
 
 
 def index_folder(
@@ -31,7 +31,8 @@ def index_folder(
     """Index the text files of a folder; returns the stored index."""
     documents = tables.read_text_folder(spark, folder)
     chunks = build_index(documents, make_model, length=length, overlap=overlap)
-    tables.write_index(chunks, path, recreate)
+    with storage.scratch(spark):
+        tables.write_index(chunks, path, recreate)
     return tables.read_index(spark, path)
 
 
@@ -47,8 +48,11 @@ def training_tables(
     instruction_in_prompt: bool = False,
     template: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Shuffle, limit, build chat messages (or ``text`` by a template), split."""
-    data = sampling.shuffle_select(data, key, seed, limit)
+    """Shuffle, limit, build chat messages (or ``text`` by a template), split.
+
+    The shuffled rows are stored, since both parts and the split's passes read them.
+    """
+    data = storage.materialize(sampling.shuffle_select(data, key, seed, limit))
     if template is None:
         data = prompts.training_messages(
             data, input_key, output_key, instruction, instruction_in_prompt
@@ -73,6 +77,7 @@ def generate_answers(
     template: str | None = None,
     rounds: int = 1,
     batch_size: int = 16,
+    failed_share: float = 0.0,
 ) -> DataFrame:
     """Ask the model for what the prediction table lacks; returns the table.
 
@@ -87,7 +92,15 @@ def generate_answers(
     else:
         data = prompts.inference_text(data, template, instruction, input_key, "_asked")
     return generate_resumable(
-        data, path, "_asked", target_key, make_model, key, rounds, batch_size
+        data,
+        path,
+        "_asked",
+        target_key,
+        make_model,
+        key,
+        rounds,
+        batch_size,
+        failed_share=failed_share,
     )
 
 
@@ -102,8 +115,9 @@ def evaluate_answers(
     limit: int | None = None,
 ) -> DataFrame:
     """Score stored predictions against the data; returns the stored results."""
-    aligned = align_predictions(
-        data, predictions, key, processor=processor, limit=limit
-    )
-    tables.write_results(evaluate(aligned, local, whole), path)
+    with storage.scratch(data.sparkSession):
+        aligned = align_predictions(
+            data, predictions, key, processor=processor, limit=limit
+        )
+        tables.write_results(evaluate(aligned, local, whole), path)
     return tables.read_results(data.sparkSession, path)

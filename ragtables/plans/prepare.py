@@ -12,12 +12,15 @@ import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from types import ModuleType
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ragtables.sources import storage
 
+# Fixed value: the table that a step works on if it names none.
 MAIN = "main_dataset"
 
 
@@ -57,11 +60,11 @@ class Step:
         return dict(made)
 
 
-def describe(value: Any) -> Any:
+def describe(value: Any, seen: tuple[int, ...] = ()) -> Any:
     """A JSON value that stands for a step parameter.
 
-    Functions count with their code and what they enclose, tables with their
-    plan's sources; anything else without a JSON form is refused, because two
+    Functions count with their code, their defaults, what they enclose and the module
+    globals that they name, tables with their plan's sources; anything else without a JSON form is refused, because two
     different steps must never share a fingerprint.
     """
     if isinstance(value, DataFrame):
@@ -71,24 +74,55 @@ def describe(value: Any) -> Any:
     if isinstance(value, SparkSession):
         return ["session"]
     if isinstance(value, Mapping):
-        return {str(k): describe(v) for k, v in value.items()}
+        return {str(k): describe(v, seen) for k, v in value.items()}
     if isinstance(value, (list, tuple)):
-        return [describe(v) for v in value]
+        return [describe(v, seen) for v in value]
     if isinstance(value, (str, int, float, bool, type(None))):
         return value
     if hasattr(value, "func") and hasattr(value, "keywords"):
-        return ["partial", *map(describe, (value.func, value.args, value.keywords))]
+        parts = (value.func, value.args, value.keywords)
+        return ["partial", *[describe(v, seen) for v in parts]]
     if isinstance(value, type):
         members = {n: v for n, v in vars(value).items() if hasattr(v, "__code__")}
-        return ["class", value.__module__, value.__qualname__, describe(members)]
+        return ["class", value.__module__, value.__qualname__, describe(members, seen)]
     if hasattr(value, "tobytes"):
         return ["array", list(value.shape), hashlib.md5(value.tobytes()).hexdigest()]
     code = getattr(value, "__code__", None)
     if code is None:
         raise TypeError(f"cannot fingerprint {value!r}")
-    cells = [c.cell_contents for c in value.__closure__ or ()]
     name = [value.__module__, value.__qualname__]
-    return ["function", *name, *_code(code), describe(cells), describe(value.__defaults__)]
+    if id(value) in seen:  # functions that call each other
+        return ["function", *name]
+    seen = (*seen, id(value))
+    cells = [describe(c.cell_contents, seen) for c in value.__closure__ or ()]
+    defaults = [describe(value.__defaults__, seen), describe(value.__kwdefaults__, seen)]
+    return ["function", *name, *_code(code), cells, *defaults, _globals(value, seen)]
+
+
+def _names(code: Any) -> set[str]:
+    nested = [_names(c) for c in code.co_consts if hasattr(c, "co_code")]
+    return set(code.co_names).union(*nested)
+
+
+def _globals(function: Any, seen: tuple[int, ...]) -> dict[str, Any]:
+    """What a function's global names stand for. Modules and imported libraries'
+    functions and classes count by name."""
+    home = function.__module__.partition(".")[0]
+    out: dict[str, Any] = {}
+    for name in sorted(_names(function.__code__) & set(function.__globals__)):
+        value = function.__globals__[name]
+        module = getattr(value, "__module__", None) or ""
+        if isinstance(value, ModuleType):
+            out[name] = ["module", value.__name__]
+        elif callable(value) and module.partition(".")[0] != home:
+            out[name] = ["library", module, getattr(value, "__qualname__", name)]
+        else:
+            try:
+                out[name] = describe(value, seen)
+            except TypeError:
+                # No JSON form: another such value is told by its pickled form.
+                out[name] = ["pickle", hashlib.md5(cloudpickle.dumps(value)).hexdigest()]
+    return out
 
 
 def _code(code: Any) -> list[Any]:
@@ -99,15 +133,15 @@ def _code(code: Any) -> list[Any]:
 def source_identity(df: DataFrame) -> list[Any]:
     """Schema, plan and input files of a table.
 
-    Expression ids differ from session to session and are left out. A table that
-    is not read from files has no identity beyond its session.
+    A file counts with its path, length and time. Expression ids
+    differ from session to session and are left out. A table that is not read from
+    files has no identity beyond its session.
     """
-    files = sorted(df.inputFiles())
-    plan = df._jdf.queryExecution().analyzed().treeString(
-        True, False, 2**31 - 1, False, False
-    )
+    execution = df._jdf.queryExecution()
+    plan = execution.analyzed().treeString(True, False, 2**31 - 1, False, False)
     plan = re.sub(r"#\d+L?", "", plan)
-    return ["table", df.schema.json(), plan, files or df.semanticHash()]
+    state = storage.file_states(df) or df.semanticHash()
+    return ["table", df.schema.json(), plan, state]
 
 
 def fingerprint(*parts: Any) -> str:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 # The folder of a local session that names none, by application.
@@ -51,17 +54,75 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Put a table in the place of another one, which ``write`` may still read.
+
+    The new table is written beside the old one. If the run ends between the two
+    steps that follow, ``finish_replacing`` does the rest.
+    """
+    beside = path.rstrip("/") + ".new"
+    delete(spark, beside)
+    write(beside)
+    delete(spark, path)
+    finish_replacing(spark, path)
+
+
+def finish_replacing(spark: SparkSession, path: str) -> None:
+    """Put a whole new table in its place if the old one is gone."""
+    beside = path.rstrip("/") + ".new"
+    if not exists(spark, path) and is_complete(spark, beside):
+        fs, jpath = _path(spark, path)
+        fs.rename(_path(spark, beside)[1], jpath)
+
+
+def file_states(df: DataFrame) -> str | None:
+    """A digest of the paths, lengths and times of a table's input files, whatever
+    their order; None if it reads no files.
+
+    The list stays in the JVM, where Spark has it for the plan anyway, and is listed
+    and summed by a Spark job.
+    """
+    spark = df.sparkSession
+    files = df._jdf.inputFiles()
+    if not len(files):
+        return None
+    reader = spark._jsparkSession.read().format("binaryFile")
+    listed = DataFrame(reader.option("recursiveFileLookup", "true").load(files), spark)
+    state = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    row = listed.agg(F.count(F.lit(1)), F.sum(state)).first()
+    return f"{row[0]}:{row[1]}"
+
+
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
 
 
+# The scopes that are open, and the tables stored in each.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that are materialized inside when it ends. For a job whose
+    results are stored by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            delete(spark, path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     For an intermediate result that is used more than once and dear to compute:
-    it outlives lost executors, and the plan starts anew from the files.
+    it outlives lost executors, and the plan starts anew from the files. Within
+    ``scratch`` the table goes when that ends.
     """
     path = fresh_path(df.sparkSession, "tables")
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ragtables.operators.columns import require
+from ragtables.sources import storage
 
 RESULTS = T.StructType(
     [
@@ -115,8 +116,12 @@ def read_text_folder(
 def append_predictions(
     df: DataFrame, path: str, key: str = "row_id", extra: Sequence[str] = ()
 ) -> None:
-    """Append ``key``, ``text``, ``target`` (and extra columns) to a prediction table."""
-    df.select(key, "text", "target", *extra).write.mode("append").parquet(path)
+    """Append ``key``, ``text``, ``target``, ``error`` (and extra columns) to a
+    prediction table. Rows without an ``error`` column are successes."""
+    if "error" not in df.columns:
+        df = df.withColumn("error", F.lit(None).cast("string"))
+    names = [key, "text", "target", "error", *extra]
+    df.select(*names).write.mode("append").parquet(path)
 
 
 def read_predictions(
@@ -127,12 +132,17 @@ def read_predictions(
 ) -> DataFrame:
     """Predictions, one per key.
 
-    A restarted job may have written a key twice; the least row wins, whatever
-    the order of the files. The combine runs before the shuffle.
+    A key may have been written more than once, by a restarted job or after a
+    failure. A success wins over a failure, an answer over an empty one, and then
+    the least text, whatever the order of the files. The combine runs before the
+    shuffle.
     """
     df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     rest = [c for c in df.columns if c != key]
-    row = F.min(F.struct(*rest)).alias("_row")
+    failed = F.col("error").isNotNull() if "error" in rest else F.lit(False)
+    empty = F.coalesce(F.col("text") == "", F.lit(True))
+    rank = F.struct(failed, empty, "text")
+    row = F.min_by(F.struct(*rest), rank).alias("_row")
     return df.groupBy(key).agg(row).select(key, "_row.*")
 
 
@@ -151,12 +161,36 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_index(chunks: DataFrame, path: str, recreate: bool = False) -> None:
-    """Store embedded chunks; ``recreate`` replaces what is there, else they are added."""
+    """Store embedded chunks; ``recreate`` replaces what is there, else they are added.
+
+    Chunks with a ``cell`` are stored by cell, so that a search reads only the cells
+    it probes. A document that is written again replaces its earlier chunks: where
+    the table has some of them, what stays and what is new are written as a whole
+    table, which then takes the old one's place.
+    """
+    spark = chunks.sparkSession
     columns = ["chunk_id", "doc_id", "title", "content", "embedding"]
     require(chunks, columns)
-    mode = "overwrite" if recreate else "append"
-    chunks.select(*columns).write.mode(mode).parquet(path)
+    by = ["cell"] if "cell" in chunks.columns else []
+    chunks = chunks.select(*columns, *by)
+    storage.finish_replacing(spark, path)
+    if recreate or not storage.is_complete(spark, path):
+        chunks.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return
+    stored = read_index(spark, path)
+    if stored.columns != chunks.columns:
+        raise ValueError(f"the index has columns {stored.columns}, not {chunks.columns}")
+    chunks = storage.materialize(chunks)
+    again = chunks.select("doc_id").distinct()
+    if stored.join(again, "doc_id", "left_semi").isEmpty():
+        chunks.write.mode("append").partitionBy(*by).parquet(path)
+        return
+    kept = stored.join(again, "doc_id", "left_anti").select(*chunks.columns)
+    storage.replace(
+        spark, path, lambda to: kept.union(chunks).write.partitionBy(*by).parquet(to)
+    )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
+    storage.finish_replacing(spark, path)
     return spark.read.parquet(path)

@@ -24,20 +24,25 @@ def stream_generate(
     pause: float = 0.0,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Start a query that answers new rows and appends ``key, text, target``.
+    """Start a query that answers new rows and appends ``key, text, target, error``.
 
     Without ``interval`` it works off what is there, in batches of the source's
     own size limit, and ends. ``checkpoint`` names what was read and committed;
-    the sink's own log makes each batch count once, so a rerun adds nothing.
+    the sink's own log makes each batch count once, so a rerun adds nothing. A
+    failed prompt is stored with its error and a null text; ``generate_resumable``
+    on a table of the same rows and this ``path`` asks for those again.
     """
     if not stream.isStreaming:
         raise ValueError("stream_generate needs a streaming table")
     require(stream, [key, input_key, target_key])
-    answered = generate(stream, input_key, "_text", make_model, batch_size, pause)
+    answered = generate(
+        stream, input_key, "_text", make_model, batch_size, pause, error_key="_error"
+    )
     rows = answered.select(
         quoted(key).alias(key),
-        F.coalesce("_text", F.lit("")).alias("text"),
+        F.col("_text").alias("text"),
         quoted(target_key).alias("target"),
+        F.col("_error").alias("error"),
     )
     writer = (
         rows.writeStream.format("parquet")

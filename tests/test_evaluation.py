@@ -130,12 +130,15 @@ def test_classification(spark, seed):
 def test_scored_metrics(aligned):
     def scorer():
         def score(said, wanted):
-            if any(w == "no" for w in wanted):
-                raise RuntimeError
             return [float("nan") if w == "Rome" else len(w) / 100 for s, w in zip(said, wanted)]
 
         return score
 
+    def failing(said, contexts):
+        if any(x == "" for x in said):
+            raise RuntimeError("no answer")
+        return [len(x) for x in said]
+
     def judge():
         return lambda q, a, c: [len(x) if isinstance(y, str) else len(y) for x, y in zip(a, c)]
 
@@ -146,17 +149,52 @@ def test_scored_metrics(aligned):
             evaluation.semantic(scorer, "answers"),
             evaluation.faithfulness(lambda: lambda q, a, c: [len(x) for x in a]),
             evaluation.relevancy(judge),
-            evaluation.hallucination(lambda: lambda a, c: [len(x) for x in a]),
+            evaluation.hallucination(lambda: failing),
         ],
     )
     rows = [r.asDict() for r in scored.orderBy("row_id").collect()]
-    assert names == ["BERTScore-F1", "Semantic", "faithfulness", "relevancy", "hallucination"]
-    assert [r["BERTScore-F1"] for r in rows] == [0.14, 0.0, 0.0]
-    assert [r["Semantic"] for r in rows] == [0.14, 0.0, 0.0]
+    judged = ["faithfulness", "relevancy", "hallucination"]
+    assert names == ["BERTScore-F1", "Semantic", *[n + e for n in judged for e in ("", "_failed")]]
+    assert [r["BERTScore-F1"] for r in rows] == [0.14, 0.0, 0.02]
+    assert [r["Semantic"] for r in rows] == [0.14, 0.0, 0.02]
     assert [r["faithfulness"] for r in rows] == [19.0, len("No answer."), 4.0]
     assert [r["relevancy"] for r in rows] == [1.0, 1.0, 1.0]
     assert [r["hallucination"] for r in rows] == [19.0, 0.0, 4.0]
+    assert [r["hallucination_failed"] for r in rows] == [0.0, 1.0, 0.0]
+
+
+def test_a_similarity_model_that_fails_ends_the_run(aligned):
+    def scorer():
+        def score(said, wanted):
+            raise RuntimeError("model is gone")
+
+        return score
+
+    with pytest.raises(Exception, match="model is gone"):
+        evaluation.local_means(aligned, [evaluation.bert_score(scorer, "answers")]).collect()
+
+
+def test_two_predictions_for_a_row_are_an_error(spark):
+    data = spark.createDataFrame([(1, "a"), (2, "b")], "row_id long, answers string")
+    said = [(1, "a"), (1, "x"), (2, "b")]
+    table = spark.createDataFrame(said, "row_id long, text string")
+    with pytest.raises(Exception, match="more than one prediction for row 1"):
+        evaluation.align_predictions(data, table).collect()
+
+
+def test_whole_metrics_read_the_answers_once(spark):
+    """A prediction that is drawn anew each time would differ between the metrics."""
+    data = spark.range(50).select(F.col("id").alias("row_id"))
+    said = data.select("row_id", F.expr("uuid()").alias("text"))
+    aligned = evaluation.align_predictions(data, said)
+
+    def least(df):
+        return df.agg(F.min("generated").alias("v")).select(
+            F.lit("m").alias("metric"), F.conv(F.substring("v", 1, 8), 16, 10).cast("double").alias("value")
+        )
 
+    found = evaluation.evaluate(aligned, whole=[least, least]).collect()
+    assert found[0].value == found[1].value
 
 def test_similarity(spark):
     df = spark.createDataFrame([([1.0, 0.0], [0.6, 0.8])], "a array<double>, b array<double>")

@@ -121,6 +121,56 @@ def test_predictions_written_twice_count_once(spark, data, tmp_path):
     assert len(rows) == 40 and all(r.text.startswith("p") for r in rows)
 
 
+def test_a_failure_is_asked_again(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    rows = spark.createDataFrame(
+        [(i, "bad" if i < 3 else f"p{i}", "t") for i in range(10)],
+        "row_id int, prompt string, answers string",
+    )
+
+    def run(model, **options):
+        return generation.generate_resumable(
+            rows, path, "prompt", "answers", model, **options
+        )
+
+    with pytest.raises(RuntimeError, match="3 of 10"):
+        run(failing_model())
+    kept = {r.row_id: (r.text, r.error) for r in tables.read_predictions(spark, path).collect()}
+    assert kept[0] == (None, "RuntimeError: no") and kept[5] == ("P5", None)
+    assert run(failing_model(), failed_share=1.0).filter("error is not null").count() == 3
+    done = run(lambda: lambda prompts: ["second"] * len(prompts)).collect()
+    assert {r.row_id: r.text for r in done} == {
+        i: "second" if i < 3 else f"P{i}" for i in range(10)
+    }
+    assert all(r.error is None for r in done)
+
+
+def test_an_answer_wins_over_a_blank(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    rows = [(1, "", {"a": 1}, None), (1, "real", {"a": 2}, None), (2, None, {}, "down")]
+    tables.append_predictions(
+        spark.createDataFrame(
+            rows, "row_id int, text string, target map<string,int>, error string"
+        ),
+        path,
+    )
+    got = {r.row_id: (r.text, r.error) for r in tables.read_predictions(spark, path).collect()}
+    assert got == {1: ("real", None), 2: (None, "down")}
+
+
+def test_chat_takes_messages(spark):
+    df = spark.createDataFrame(
+        [(1, [("system", "a"), ("user", "b"), ("assistant", "c"), ("user", "d")])],
+        "id int, prompt array<struct<role:string,content:string>>",
+    )
+
+    def client():
+        return lambda chats: ["".join(m["content"] for m in c) for c in chats]
+
+    df = generation.chat(df, "prompt", "answer", client, "unused", pause=0)
+    assert [r.answer for r in df.collect()] == ["abcd"]
+
+
 def test_stream_takes_new_files_only(spark, data, tmp_path):
     source, sink, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     os.mkdir(log)

@@ -39,7 +39,7 @@ def vectors():
     return made
 
 
-@pytest.mark.parametrize("sent", [retrieval.SENT_COMPONENTS, 0])
+@pytest.mark.parametrize("sent", [retrieval.SENT_COMPONENTS, 12 * 50])
 @pytest.mark.parametrize("k", [1, 7, 200])
 def test_exact_search_in_both_ways(spark, vectors, monkeypatch, sent, k):
     # Several products per block, and several blocks on either side.
@@ -60,10 +60,62 @@ def test_string_ids_and_small_slices(spark, vectors, monkeypatch):
     assert rows(found) == search([1, 2], vectors[:2], names, vectors, 5, False)
 
 
+def test_a_floor_from_some_partitions_changes_nothing(spark, vectors, monkeypatch):
+    monkeypatch.setattr(retrieval, "FLOOR_PARTITIONS", 4)
+    ids = list(range(120))
+    df = frame(spark, ids, vectors).repartition(9)
+    for k in (1, 7, 60):
+        found = retrieval.dense_topk(df, df, k, "id", "id")
+        assert rows(found) == search(ids, vectors, ids, vectors, k, False)
+
+
+BROKEN = {
+    "null": None,
+    "short": [1.0] * 11,
+    "undefined": [1.0] * 11 + [float("nan")],
+    "infinite": [1.0] * 11 + [float("inf")],
+    "hole": [1.0] * 11 + [None],
+}
+
+
+@pytest.mark.parametrize("kind", list(BROKEN))
+def test_a_broken_vector_is_named_or_left_out(spark, vectors, kind):
+    good = frame(spark, list(range(30)), vectors[:30])
+    bad = spark.createDataFrame([(777, BROKEN[kind])], good.schema)
+    mixed = good.union(bad).repartition(3)
+    ids = list(range(30))
+    want = search(ids, vectors[:30], ids, vectors[:30], 5, False)
+    centres = retrieval.cell_centres(good, 3, "id")
+
+    def exact(queries, corpus, **options):
+        return retrieval.dense_topk(queries, corpus, 5, "id", "id", **options)
+
+    def cells(queries, corpus, **options):
+        return retrieval.cell_topk(queries, corpus, centres, 5, 3, "id", "id", **options)
+
+    for run in (exact, cells):
+        for queries, corpus in ((good, mixed), (mixed, good)):
+            with pytest.raises(Exception, match="777"):
+                run(queries, corpus).collect()
+            assert rows(run(queries, corpus, skip_invalid=True)) == want
+    many = retrieval.dense_topk(mixed, mixed, 5, "id", "id", sent_components=12 * 9, skip_invalid=True)
+    assert rows(many) == want
+
+
+def test_further_cells_until_there_are_enough(spark, vectors):
+    ids = list(range(120))
+    df = frame(spark, ids, vectors)
+    centres = retrieval.cell_centres(df, 30, "id")
+    found = retrieval.cell_topk(df, df, centres, 50, 1, "id", "id", skip_equal_ids=True)
+    assert {r["count"] for r in found.groupBy("query_id").count().collect()} == {50}
+    found = retrieval.cell_topk(df, df, centres, 500, 1, "id", "id")
+    assert rows(found) == search(ids, vectors, ids, vectors, 500, False)
+
+
 def test_search_without_queries_or_documents(spark, vectors):
     df = frame(spark, list(range(10)), vectors[:10])
     none = df.filter("id < 0")
-    for sent in (retrieval.SENT_COMPONENTS, 0):
+    for sent in (retrieval.SENT_COMPONENTS, 12 * 4):
         assert retrieval.dense_topk(none, df, 3, "id", "id", sent_components=sent).count() == 0
         assert retrieval.dense_topk(df, none, 3, "id", "id", sent_components=sent).count() == 0
 

@@ -72,7 +72,23 @@ def test_shuffle_is_a_seeded_permutation(docs):
     assert sorted(orders[0]) == sorted(orders[2]) == [i * 7 for i in range(60)]
 
 
-def test_limit(docs, monkeypatch):
+@pytest.mark.parametrize("order", ["hash", "key"])
+@pytest.mark.parametrize("key, kind", [("n", "long"), ("t", "string")])
+def test_a_null_or_repeated_key_is_an_error(spark, order, key, kind):
+    for values, message in ((["1", "2", None], "no key"), (["1", "2", "2", "3"], "key 2")):
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        df = df.select(F.col("v").cast(kind).alias(key))
+        with pytest.raises(Exception, match=message):
+            sampling.row_index(df, key, order=order).collect()
+        with pytest.raises(Exception, match=message):
+            sampling.sample_rows(df, 1, key, input_key=key).collect()
+    other = spark.createDataFrame([(i,) for i in range(9)], "o long")
+    df = spark.createDataFrame([(1,), (1,)], "n long")
+    with pytest.raises(Exception, match="key 1"):
+        sampling.sample_rows(df, 1, "n", input_key="o", source=other, source_key="o").collect()
+
+
+def test_limit(docs):
     take = sampling.shuffle_select
     assert take(docs, "id", 1, 10).count() == 10
     assert take(docs, "id", 1, 1000).count() == 60
@@ -80,10 +96,11 @@ def test_limit(docs, monkeypatch):
     assert sorted(r.id for r in take(docs, "id", None, 3).collect()) == [0, 7, 14]
     assert take(docs, "id").count() == 60
     cases = [(key, seed, n) for key in ("id", "name") for seed in (4, None) for n in (10, 59, 60, 61)]
-    few = [collected(take(docs, *case)) for case in cases]
-    monkeypatch.setattr(sampling, "TOP_ROWS", 5)
-    assert [collected(take(docs, *case)) for case in cases] == few
-    assert [len(rows) for rows in few] == [min(n, 60) for _, _, n in cases]
+    for key, seed, n in cases:
+        found = [r.id for r in take(docs, key, seed, n).collect()]
+        assert found == [r.id for r in docs.orderBy(*(
+            [key] if seed is None else [sampling.keyed_hash(seed, F.col(key)), key]
+        )).collect()][:n]
 
 
 def test_first_by_hash_with_full_buckets(docs, monkeypatch):

@@ -1,11 +1,12 @@
 import os
 from functools import partial
+from types import ModuleType
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ragtables.operators import columns, corpus, sampling
+from ragtables.operators import columns, corpus, retrieval, sampling
 from ragtables.plans.prepare import Checkpoints, Step, describe, fingerprint, run_steps
 from ragtables.sources import storage, tables
 
@@ -71,12 +72,35 @@ def test_index_is_added_to_or_made_anew(spark, tmp_path):
     rows = tables.read_index(spark, path).orderBy("chunk_id").collect()
     assert [r.chunk_id for r in rows] == ["d1:0", "d1:1", "d3:0"]
     assert [len(r.content.split()) for r in rows] == [200, 120, 1]
-    tables.write_index(index, path)
-    assert tables.read_index(spark, path).count() == 6
-    tables.write_index(index, path, recreate=True)
+    # Chunks of a document that is written again are replaced.
+    tables.write_index(index.filter("doc_id = 'd1'").withColumn("title", F.lit("new")), path)
+    rows = tables.read_index(spark, path).orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.title) for r in rows] == [("d1:0", "new"), ("d1:1", "new"), ("d3:0", "t")]
+    tables.write_index(index.filter("doc_id = 'd3'"), path, recreate=True)
+    assert tables.read_index(spark, path).count() == 1
+    tables.write_index(index.filter("doc_id = 'd1'"), path)
+    assert tables.read_index(spark, path).count() == 3
+    # A run that ended between the two steps of a replacement.
+    os.rename(path, path + ".new")
     assert tables.read_index(spark, path).count() == 3
 
 
+def test_index_is_stored_by_cell(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(f"d{i}", "t", f"w{i % 3} " * 5) for i in range(30)],
+        "doc_id string, title string, content string",
+    )
+    index, path = corpus.build_index(docs, corpus.HashingEmbedder), str(tmp_path / "index")
+    centres = retrieval.cell_centres(index, 3, "chunk_id")
+    tables.write_index(retrieval.assign_cells(index, centres), path)
+    assert len([n for n in os.listdir(path) if n.startswith("cell=")]) == 3
+    stored = tables.read_index(spark, path)
+    plan = stored.filter("cell = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cell" in plan
+    with pytest.raises(ValueError):
+        tables.write_index(index, path)
+
+
 def test_embedder(spark):
     df = spark.createDataFrame([("a b", "t"), ("", None), (None, "t")], "x string, t string")
 
@@ -114,18 +138,20 @@ def test_materialize_starts_a_new_plan(spark, docs):
     assert "Filter" not in df._jdf.queryExecution().analyzed().toString()
 
 
-CALLS = []
+# A module, since the values of other globals are part of a step's identity.
+record = ModuleType("record")
+record.calls = []
 
 
 def mark(df, value):
-    CALLS.append(value)
+    record.calls.append(value)
     return df.withColumn("m", F.lit(value))
 
 
 def runs(frames, steps, kept):
-    CALLS.clear()
+    record.calls.clear()
     made = run_steps(frames, steps, kept)
-    return list(CALLS), made
+    return list(record.calls), made
 
 
 def test_checkpoints_are_reused_until_something_changes(spark, docs, tmp_path):
@@ -179,6 +205,49 @@ def test_a_changed_loader_changes_what_follows(spark, docs, tmp_path):
     assert calls == [1] and made["main"].count() == 4
 
 
+FACTOR = 2
+
+
+def scale(df, *, offset=1):
+    return df.withColumn("m", F.col("id") * FACTOR + offset)
+
+
+def test_what_a_step_names_is_part_of_it(spark, docs, tmp_path, monkeypatch):
+    kept = Checkpoints(spark, "run", str(tmp_path / "kept"))
+
+    def run():
+        made = run_steps({"docs": docs}, [Step(scale, "docs")], kept)["docs"]
+        return made.agg(F.max("m")).first()[0]
+
+    assert run() == 39
+    monkeypatch.setitem(globals(), "FACTOR", 3)
+    assert run() == 58
+    monkeypatch.setattr(scale, "__kwdefaults__", {"offset": 5})
+    assert run() == 62
+
+
+def test_a_file_rewritten_in_place_is_read_again(spark, tmp_path):
+    kept, path = Checkpoints(spark, "run", str(tmp_path / "kept")), str(tmp_path / "in.jsonl")
+
+    def run(lines):
+        with open(path, "w") as f:
+            f.write("".join(f'{{"id": {i}}}\n' for i in lines))
+        os.utime(path, (1_000_000, 1_000_000 + len(lines)))
+        docs = tables.load_json(spark, path, "id long")
+        return runs({"docs": docs}, [Step(mark, "docs", {"value": 1})], kept)[0]
+
+    assert run([1, 2]) == [1] and run([1, 2]) == []
+    assert run([3, 4, 5]) == [1]
+
+
+def test_scratch_tables_go_at_the_end(spark, docs):
+    with storage.scratch(spark):
+        kept = storage.materialize(docs)
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert kept.count() == 20 and storage.exists(spark, path)
+    assert not storage.exists(spark, path)
+
+
 def test_two_functions_never_share_a_fingerprint():
     def make(n):
         return lambda df: df.filter(F.col("id") > n)
