@@ -2,8 +2,8 @@
 
 Large stars and small stars in turn: every node is tied to the least node among its
 neighbours until each component is one star. Least neighbours come from a grouped
-minimum, which is combined before the shuffle, and are joined back, so a node with
-very many neighbours is split like any hot join key. Each round is written to the
+minimum, which is combined before the shuffle, and are joined back, by broadcast
+while they are few, else as a join whose hot keys Spark splits. Each round is written to the
 shared folder; the driver sees only a count and a checksum.
 """
 
@@ -12,19 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ragtables.llm.base import sent
 from ragtables.sources.storage import materialize
 
 
-def _tied(directed: DataFrame, larger: bool) -> DataFrame:
-    """One star step over edges ``a, b``."""
-    least = directed.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+def _tied(edges: DataFrame, larger: bool) -> DataFrame:
+    """One star step over edges ``a > b``. A large star looks at them both ways."""
+    back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    seen = edges.union(back) if larger else edges
+    least = seen.groupBy("a").agg(F.min("b").alias("m"))
+    least = sent(materialize(least.select("a", F.least("a", "m").alias("m"))))
     if larger:
-        out = directed.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Larger neighbours of a node go to its least one.
+        out = back.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        moved = directed.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        out = moved.union(least.select("a", F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+        moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        out = moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    return out.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -46,9 +50,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     state = _state(edges)
     while state[0]:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _tied(both, larger=True).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        edges = materialize(_tied(large, larger=False))
+        edges = materialize(_tied(materialize(_tied(edges, larger=True)), larger=False))
         before, state = state, _state(edges)
         if state == before:
             break

@@ -10,14 +10,18 @@ verified if it shares ``min(l, l')`` emitted shingles.
 
 Before sets are compared, signatures are: a bit is the parity of the shingles that
 hash to it, so two signatures differ in at most as many bits as the sets differ in
-shingles. A pair whose signatures differ in too many bits cannot be a link.
+shingles. A pair whose signatures differ in too many bits cannot be a link. Short ones, of one
+length, go with the classes of a shingle to where they are matched.
 
-Frequencies come from one pass over all documents into counters of a fixed number
-(``BUCKETS``). They set the order and the lengths, thus the cost, never the result.
+Frequencies come from one pass over all documents into counters of a fixed number:
+many small ones that end at 255 (``FINE``), and fewer large ones for what is more
+frequent (``BUCKETS``). They set the order and the lengths, thus the cost, never the
+result.
 
 Equal sets become one class first. Pairs within a component need no verification, so
-links are found in steps: first each class is tried with few partners per shared
-shingle, then all candidate pairs between different components are tried. A large
+links are found in steps: first, some times over, each class is tried with the few
+partners in other components that it shares most shingles with, then all candidate
+pairs between the components that are left are tried. A large
 group of copies costs in proportion to its size, and no link between components is
 lost. Hashes of 64 bits stand for shingles and classes.
 
@@ -29,6 +33,7 @@ with its like; equal rows are linked; every input row gives one output row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +49,7 @@ SHINGLE = 5
 # The similarity 0.8 as integers: 100 * intersection >= 80 * union.
 PERCENT = 80
 BUCKETS = 1 << 20
+FINE = 1 << 24
 SLICES = 64
 # A shingle estimated beyond this is dealt to several tasks.
 HOT = 1 << 18
@@ -51,6 +57,12 @@ LONGEST_EXTRA = 6
 # Cost of verifying a pair, in units of looking up one posting.
 VERIFY_COST = 8.0
 BLOOM_BITS = 1 << 24
+# Times that partners are proposed before all candidate pairs are tried.
+ROUNDS = 3
+# Classes of one shingle that are matched in one group, and rows matched at a time.
+GROUP = 4_000
+BATCH = 30_000
+SHORT_BITS = 512
 # Bits of a signature for each shingle, at least.
 SIGNATURE_SHARE = 4
 
@@ -73,61 +85,103 @@ def _sets(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray]
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
+    fine = np.zeros(FINE, np.uint8)
     for batch in batches:
         for piece in words.pieces(batch["text"], words.SPACES):
             found = words.shingle_hashes(piece.hashes, SHINGLE)
             row = np.repeat(np.arange(len(piece.offsets) - 1), np.diff(piece.offsets))
             inside = row[: len(found)] == row[SHINGLE - 1 :][: len(found)]
-            counts += np.bincount(
-                (found[inside] & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS
-            )
-    parts = counts.reshape(SLICES, -1)
+            found = found[inside]
+            counts += np.bincount(_bucket(found), minlength=BUCKETS)
+            place, n = np.unique(_fine(found), return_counts=True)
+            fine[place] = np.minimum(255, fine[place] + n)
+    coarse_parts, fine_parts = counts.reshape(SLICES, -1), fine.reshape(SLICES, -1)
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(range(SLICES), pa.int32()),
-            pa.array([p.tobytes() for p in parts], pa.binary()),
+            pa.array([p.tobytes() for p in coarse_parts], pa.binary()),
+            pa.array([p.tobytes() for p in fine_parts], pa.binary()),
         ],
-        ["slice", "counts"],
+        ["slice", "counts", "fine"],
     )
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums the counters of each slice that this task holds."""
     sums: dict[int, np.ndarray] = {}
+    fine: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, counts in zip(batch["slice"].to_pylist(), batch["counts"].to_pylist()):
-            sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+        for i, part in enumerate(batch["slice"].to_pylist()):
+            sums[part] = sums.get(part, 0) + np.frombuffer(batch["counts"][i].as_buffer(), np.int64)
+            more = np.frombuffer(batch["fine"][i].as_buffer(), np.uint8).astype(np.uint16)
+            fine[part] = np.minimum(255, fine.get(part, 0) + more)
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(list(sums), pa.int32()),
             pa.array([s.tobytes() for s in sums.values()], pa.binary()),
+            pa.array([s.astype(np.uint8).tobytes() for s in fine.values()], pa.binary()),
         ],
-        ["slice", "counts"],
+        ["slice", "counts", "fine"],
     )
 
 
-def frequencies(texts: DataFrame) -> np.ndarray:
-    """For each bucket, the binary logarithm of how often a shingle in it is thought
-    to occur; 0 where the count is no more than chance. One byte a bucket."""
-    kind = "slice int, counts binary"
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def _fine(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) & (FINE - 1)
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Binary logarithms of how often a shingle is thought to occur; 0 where the
+    count is no more than chance."""
+    mean = counts.mean()
+    excess = np.where(counts > mean + 4 * np.sqrt(mean) + 1, counts - mean, 0)
+    return np.round(np.log2(1 + excess)).astype(np.uint8)
+
+
+class Frequencies(NamedTuple):
+    """Levels by counter; a byte each."""
+
+    coarse: np.ndarray
+    fine: np.ndarray
+
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        low = self.fine[_fine(hashes)]
+        return np.where(low >= 7, np.maximum(low, self.coarse[_bucket(hashes)]), low)
+
+
+def frequencies(texts: DataFrame) -> Frequencies:
+    """Levels of all shingles of the texts."""
+    kind = "slice int, counts binary, fine binary"
     rows = (
         texts.mapInArrow(_count, kind)
         .repartition("slice")
         .mapInArrow(_add, kind)
-        .collect()  # BUCKETS counters
+        .collect()  # BUCKETS and FINE counters
     )
     counts = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
+    fine = np.zeros((SLICES, FINE // SLICES), np.uint8)
     for r in rows:
-        counts[r["slice"]] += np.frombuffer(r["counts"], np.int64)
-    mean = counts.mean()
-    excess = np.where(counts > mean + 4 * np.sqrt(mean) + 1, counts - mean, 0)
-    return np.round(np.log2(1 + excess)).astype(np.uint8).reshape(-1)
+        counts[r["slice"]] = np.frombuffer(r["counts"], np.int64)
+        fine[r["slice"]] = np.frombuffer(r["fine"], np.uint8)
+    return Frequencies(_levels(counts).reshape(-1), _fine_levels(fine))
+
 
+def _fine_levels(fine: np.ndarray) -> np.ndarray:
+    """The same for small counters, of which there are 256 kinds."""
+    each = np.bincount(fine.reshape(-1), minlength=256)
+    mean = float((each * np.arange(256)).sum() / fine.size)
+    n = np.arange(256)
+    excess = np.where(n > mean + 4 * np.sqrt(mean) + 1, n - mean, 0)
+    return np.round(np.log2(1 + excess)).astype(np.uint8)[fine.reshape(-1)]
 
-def _prefix(found: np.ndarray, levels: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+
+def _prefix(found: np.ndarray, known: Frequencies) -> tuple[int, np.ndarray, np.ndarray]:
     """The chosen l, the prefix in the common order, and its frequency levels."""
     n = len(found)
-    level = levels[(found & np.uint64(BUCKETS - 1)).astype(np.int64)]
+    level = known.levels(found)
     key = (level.astype(np.uint64) << np.uint64(56)) | (words.mix(found) >> np.uint64(8))
     order = np.argsort(key, kind="stable")
     least = -(-PERCENT * n // 100)  # the overlap that any partner must have
@@ -151,6 +205,13 @@ def _signature(found: np.ndarray) -> bytes:
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
+def _short(found: np.ndarray) -> bytes:
+    """A signature of ``SHORT_BITS`` bits, whatever the size of the set."""
+    bit = (words.mix(~found) >> np.uint64(20)) & np.uint64(SHORT_BITS - 1)
+    parity = np.bincount(bit.astype(np.int64), minlength=SHORT_BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
 def _apart(a: bytes, b: bytes) -> int:
     """A number of shingles that two sets differ in at least."""
     one, other = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -167,11 +228,12 @@ def _describe(levels) -> object:
             c = np.zeros((2, batch.num_rows), np.int64)
             extra = np.zeros(batch.num_rows, np.int32)
             bits: list[bytes | None] = [None] * batch.num_rows
+            short: list[bytes | None] = [None] * batch.num_rows
             tokens, salts, sizes = [], [], np.zeros(batch.num_rows + 1, np.int32)
             for i, found in _sets(batch, "text"):
                 n[i] = len(found)
                 if len(found):
-                    bits[i] = _signature(found)
+                    bits[i], short[i] = _signature(found), _short(found)
                     c[0, i] = words.mix(found).sum(dtype=np.uint64).astype(np.int64)
                     c[1, i] = np.bitwise_xor.reduce(words.mix(~found)).astype(np.int64)
                     extra[i], own, level = _prefix(found, known)
@@ -192,11 +254,12 @@ def _describe(levels) -> object:
                     pa.array(c[1], mask=n == 0),
                     pa.array(extra),
                     pa.array(bits, pa.binary()),
+                    pa.array(short, pa.binary()),
                     pa.ListArray.from_arrays(
                         offsets, pa.StructArray.from_arrays([pa.array(flat), pa.array(salt)], ["token", "salt"])
                     ),
                 ],
-                ["doc_id", "text_hash", "n", "c", "c2", "extra", "bits", "prefix"],
+                ["doc_id", "text_hash", "n", "c", "c2", "extra", "bits", "short", "prefix"],
             )
 
     return run
@@ -300,26 +363,33 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def _proposals(shared: DataFrame) -> DataFrame:
-    """For each class, the neighbour and the first of its shingle lists that it
-    shares most shingles with: two pairs a class at most."""
-    own = Window.partitionBy("token", "salt").orderBy("size", "c")
-    listed = shared.select(
+def _proposals(labelled: DataFrame, turn: int) -> DataFrame:
+    """For each class, the neighbour and the first of its shingle lists, in an order
+    that changes from turn to turn, that are in other components and that it shares
+    most shingles with: three pairs a class at most."""
+    rows = labelled.withColumn("order", F.xxhash64("c", F.lit(turn)) if turn else F.col("size"))
+    own = Window.partitionBy("token", "salt").orderBy("order", "c")
+    listed = rows.select(
         "token",
         "c",
-        F.lag("c").over(own).alias("before"),
-        F.first("c").over(own).alias("first"),
+        "root",
+        F.lag(F.struct("c", "root")).over(own).alias("before"),
+        F.first(F.struct("c", "root")).over(own).alias("first"),
     )
     # The lists of a hot shingle's parts are tied by their first classes.
-    heads = listed.filter("before is null").select("token", "c")
-    chain = heads.select(
-        "c", F.lag("c").over(Window.partitionBy("token").orderBy("c")).alias("partner")
+    heads = listed.filter("before is null").select("token", "c", "root")
+    tie = F.lag(F.struct("c", "root")).over(Window.partitionBy("token").orderBy("c"))
+    chain = heads.select("c", "root", F.lit(2).alias("kind"), tie.alias("p"))
+    kinds = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("before").alias("p")),
+        F.struct(F.lit(1).alias("kind"), F.col("first").alias("p")),
     )
     pairs = (
-        listed.select("c", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("before").alias("partner")), F.struct(F.lit(1).alias("kind"), F.col("first").alias("partner")))).alias("p"))
-        .select("c", "p.kind", "p.partner")
-        .union(chain.select("c", F.lit(2), "partner"))
-        .filter("partner is not null and partner <> c")
+        listed.select("c", "root", F.explode(kinds).alias("k"))
+        .select("c", "root", "k.kind", "k.p")
+        .union(chain)
+        .filter("p is not null and p.root <> root")
+        .select("c", "kind", F.col("p.c").alias("partner"))
     )
     best = (
         pairs.groupBy("c", "kind", "partner")
@@ -330,22 +400,110 @@ def _proposals(shared: DataFrame) -> DataFrame:
     return best.select(F.least("c", "partner").alias("a"), F.greatest("c", "partner").alias("b")).distinct()
 
 
-def _candidates(shared: DataFrame) -> DataFrame:
-    """All pairs of classes of different components that share enough shingles."""
-    open_tokens = (
-        shared.groupBy("token")
+def _open(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The rows of shingles that stand in more than one component, with ``root``."""
+    if roots is None:
+        return shared.withColumn("root", F.col("c"))
+    rows = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "c"))
+    mixed = (
+        rows.groupBy("token")
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         .filter("lo <> hi")
         .select("token")
     )
-    rows = shared.join(open_tokens, "token", "left_semi").select("token", "c", "size", "extra", "root")
-    other = rows.select("token", *[F.col(x).alias(f"{x}_b") for x in ("c", "size", "extra", "root")])
+    return materialize(rows.join(mixed, "token", "left_semi"))
+
+
+def _crossed(table: pa.Table) -> pa.RecordBatch:
+    """Pairs of rows of a group that may be links; rows are sorted by group."""
+    table = table.combine_chunks()
+    column = {
+        n: table[n].to_numpy(zero_copy_only=False)
+        for n in ("token", "i", "j", "block", "c", "size", "extra", "root")
+    }
+    sign = np.frombuffer(b"".join(table["short"].to_pylist()), np.uint64).reshape(len(table), -1)
+    c, size, extra, root, block = (column[n] for n in ("c", "size", "extra", "root", "block"))
+    new = np.ones(len(c), bool)
+    for n in ("token", "i", "j"):
+        new[1:] &= column[n][1:] == column[n][:-1]
+    new[1:] = ~new[1:]
+    head = np.flatnonzero(new)
+    end = np.repeat(np.append(head[1:], len(c)), np.diff(np.append(head, len(c))))
+    inside = column["i"] == column["j"]
+    rows = np.arange(len(c))
+    out = []
+    for step in range(1, len(c)):
+        rows = rows[rows + step < end[rows]]
+        if not len(rows):
+            break
+        other = rows + step
+        fine = (root[rows] != root[other]) & (inside[rows] | (block[rows] != block[other]))
+        least, most = np.minimum(size[rows], size[other]), np.maximum(size[rows], size[other])
+        fine &= 100 * least >= PERCENT * most
+        x, y = rows[fine], other[fine]
+        apart = np.bitwise_count(sign[x] ^ sign[y]).sum(axis=1, dtype=np.int64)
+        fine = (100 + PERCENT) * apart <= (100 - PERCENT) * (size[x] + size[y])
+        out.append((x[fine], y[fine]))
+    x = np.concatenate([p for p, _ in out]) if out else rows[:0]
+    y = np.concatenate([p for _, p in out]) if out else rows[:0]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.minimum(c[x], c[y])),
+            pa.array(np.maximum(c[x], c[y])),
+            pa.array(np.minimum(extra[x], extra[y])),
+        ],
+        ["a", "b", "needed"],
+    )
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Takes sorted rows, whole groups at a time."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= BATCH:
+            whole = pa.Table.from_batches(held)
+            tokens = whole["token"].to_numpy()
+            cut = int(np.searchsorted(tokens, tokens[-1]))  # the last one may go on
+            if cut:
+                yield _crossed(whole.slice(0, cut))
+            held = whole.slice(cut).combine_chunks().to_batches()
+            rows = whole.num_rows - cut
+    if rows:
+        yield _crossed(pa.Table.from_batches(held))
+
+
+def _candidates(labelled: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of classes of different components that share enough shingles and
+    whose short signatures do not rule out a link.
+
+    The classes of a shingle are matched within a task, which hands out what may be
+    a link and nothing else. A shingle with more than ``GROUP`` classes is cut into
+    blocks, and each pair of blocks is a group of its own.
+    """
+    many = (
+        labelled.groupBy("token").count().filter(F.col("count") > GROUP)
+        .select("token", F.ceil(F.col("count") / GROUP).cast("int").alias("blocks"))
+    )
+    rows = labelled.join(many, "token", "left").join(classes.select("c", "short"), "c")
+    blocks = F.coalesce("blocks", F.lit(1))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("c"), blocks).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    rows = rows.withColumn("other", other).select(
+        "token",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "block", "c", "size", "extra", "root", "short",
+    )
     return (
-        rows.join(other, "token")
-        .filter("c < c_b and root <> root_b")
-        .filter(100 * F.least("size", "size_b") >= PERCENT * F.greatest("size", "size_b"))
-        .groupBy(F.col("c").alias("a"), F.col("c_b").alias("b"))
-        .agg(F.count("*").alias("hits"), F.min(F.least("extra", "extra_b")).alias("needed"))
+        rows.repartition("token", "i", "j")
+        .sortWithinPartitions("token", "i", "j")
+        .mapInArrow(_cross, "a long, b long, needed int")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("hits"), F.min("needed").alias("needed"))
         .filter("hits >= needed")
         .select("a", "b")
     )
@@ -367,7 +525,7 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         rows.drop("key").mapInArrow(
             _describe(levels),
             f"doc_id {id_type}, text_hash long, n long, c long, c2 long, extra int,"
-            " bits binary, prefix array<struct<token: long, salt: int>>",
+            " bits binary, short binary, prefix array<struct<token: long, salt: int>>",
         )
     )
     first = (
@@ -390,6 +548,7 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             F.col("n").alias("size"),
             "extra",
             "bits",
+            "short",
         ).dropDuplicates(["c"])
     )
     postings = only.select("c", F.explode("prefix").alias("p")).select("p.token", "p.salt", "c")
@@ -403,13 +562,20 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     shared = materialize(
         shared.select("token", "salt", "c").distinct().join(classes.select("c", "size", "extra"), "c")
     )
-    links = materialize(_linked(_proposals(shared), classes, rows))
-    roots = materialize(components(links))
-    labelled = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn(
-        "root", F.coalesce("root", "c")
-    )
-    more = _linked(_candidates(labelled), classes, rows)
-    roots = materialize(components(materialize(links.union(more))))
+    links, roots, tried = None, None, None
+    for turn in range(ROUNDS):
+        pairs = materialize(_proposals(_open(shared, roots), turn))
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = materialize(_linked(pairs, classes, rows))
+        if found.isEmpty() and turn:
+            break
+        links = found if links is None else links.union(found)
+        roots = components(links)
+    pairs = _candidates(_open(shared, roots), classes).join(tried, ["a", "b"], "left_anti")
+    more = _linked(pairs, classes, rows)
+    roots = components(links.union(materialize(more)))
     least = (
         first.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
         .select("c", "c2", "least", F.coalesce("root", "c").alias("root"))

@@ -48,6 +48,9 @@ def test_empty_table(none):
 def test_a_large_group_of_near_copies(spark, monkeypatch):
     """A chain in which neighbours are linked and far ones are not, dealt to parts."""
     monkeypatch.setattr(nj, "HOT", 4)
+    monkeypatch.setattr(nj, "ROUNDS", 1)
+    monkeypatch.setattr(nj, "GROUP", 7)
+    monkeypatch.setattr(nj, "BATCH", 50)
     words = [f"w{i}" for i in range(700)]
     rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(200)]
     rows += [(1000 + i, " ".join(f"u{i}_{j}" for j in range(20))) for i in range(50)]
@@ -59,7 +62,9 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_similar_sets_share_enough_of_their_prefixes(seed):
     draw = np.random.default_rng(seed)
-    levels = draw.integers(0, 12, nj.BUCKETS).astype(np.uint8)
+    levels = nj.Frequencies(
+        draw.integers(0, 20, nj.BUCKETS).astype(np.uint8), draw.integers(0, 9, nj.FINE).astype(np.uint8)
+    )
     for _ in range(200):
         n = int(draw.integers(1, 120))
         a = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
