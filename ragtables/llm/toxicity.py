@@ -236,6 +236,11 @@ def scored(lexicon: Lexicon, text: str) -> Column:
     return run(F.col(f"`{text}`"))
 
 
+def acceptable(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not judged toxic, as they are."""
+    return docs.filter(scored(lexicon, text)["score"] < DECISION)
+
+
 def _threshold(found: DataFrame) -> float:
     """The evidence that best parts toxic from clean rows, in the middle of the gap
     around it. ``found`` has a row per evidence level, bounded by the sample."""

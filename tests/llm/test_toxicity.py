@@ -4,7 +4,7 @@ import re
 import pytest
 
 import fixtures
-from ragtables.llm.toxicity import Lexicon, evidence, automaton, fold, folding_table, learn_lexicon, score_of, score_toxicity
+from ragtables.llm.toxicity import Lexicon, acceptable, evidence, automaton, fold, folding_table, learn_lexicon, score_of, score_toxicity
 
 CLEAN = ["house", "river", "stone", "cloud", "market", "garden", "window", "letter", "summer", "paper"] + [
     "w" + "".join(random.Random(i).choices("bcdfgmnp", k=6)) for i in range(400)
@@ -68,6 +68,9 @@ def test_scores_match_a_plain_search(odd):
     hits = score_toxicity(odd, lexicon)
     assert hits.count() == odd.count() and "Score" not in hits.columns
     assert hits.filter("score > 0").count() == 0
+    kept = acceptable(odd, lexicon)
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+    assert kept.filter("Score like 's%'").count() == odd.filter("Score like 's%'").count()
 
 
 def test_nothing_to_learn_from(spark, odd, none):
