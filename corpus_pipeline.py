@@ -8,7 +8,6 @@ stage's rows as Parquet to the shared folder and reads them again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ragtables.llm.base import table
 from ragtables.llm.decontaminate import clean_documents
@@ -16,15 +15,14 @@ from ragtables.llm.fair_queue import mixed_documents
 from ragtables.llm.ngram_join import one_of_each
 from ragtables.llm.queries import learnable, tokenizer_path
 from ragtables.llm.token_store import read_tokens, write_tokens
-from ragtables.llm.toxicity import DECISION, learn_lexicon, score_toxicity
+from ragtables.llm.toxicity import acceptable, learn_lexicon
 from ragtables.sources.storage import fresh_path, materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not judged toxic."""
     lexicon = learn_lexicon(docs, learnable(table(spark, sf_dir, "labels")))
-    kept = score_toxicity(docs, lexicon).filter(F.col("score") < DECISION)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return acceptable(docs, lexicon)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
