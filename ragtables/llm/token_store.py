@@ -174,8 +174,10 @@ def _tokenise(path: str, end: int):
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for cell, n in zip(batch["ids"], batch["n_tokens"].to_pylist()):
-            found = np.bincount(_unpacked(cell.as_py(), n))
+        sizes = batch["n_tokens"].to_pylist()
+        for start in range(0, len(sizes), 500):
+            cells = zip(batch["ids"][start : start + 500], sizes[start : start + 500])
+            found = np.bincount(np.concatenate([_unpacked(c.as_py(), n) for c, n in cells]))
             if len(found) > len(counts):
                 counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
             counts[: len(found)] += found
