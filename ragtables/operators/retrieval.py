@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ragtables.functions.draws import keyed_uniform
 from ragtables.operators.columns import quoted, require
 from ragtables.operators.corpus import Embedder, embed
 from ragtables.operators.joins import lookup_join
@@ -501,12 +502,60 @@ def assign_cells(
     return corpus.withColumn("cell", cell)
 
 
+# Share of the exact hits that a cell-wise search is to find, and the queries (in
+# expectation) that measure it where no number of probes is given.
+LEAST_RECALL = 0.9
+MEASURED_QUERIES = 200
+
+
+def probes_for_recall(
+    queries: DataFrame,
+    corpus: DataFrame,
+    centres: np.ndarray,
+    k: int = 10,
+    least: float = LEAST_RECALL,
+    query_key: str = "query_id",
+    doc_key: str = "doc_id",
+    query_vector: str = "embedding",
+    doc_vector: str = "embedding",
+    skip_equal_ids: bool = False,
+    skip_invalid: bool = False,
+) -> tuple[int, float]:
+    """The fewest probes that find at least ``least`` of the exact hits of
+    ``queries``, and the share they find. Without hits all cells are probed.
+
+    A cell-wise search is exact within the cells it probes, so an exact hit is found
+    just when its cell is probed: one exact search measures every number of probes.
+    """
+    if "cell" not in corpus.columns:
+        corpus = materialize(assign_cells(corpus, centres, doc_vector))
+    exact = dense_topk(
+        queries, corpus, k, query_key, doc_key, query_vector, doc_vector,
+        skip_equal_ids=skip_equal_ids, skip_invalid=skip_invalid,
+    )
+    near = nearest_cells(quoted(query_vector), centres, len(centres))
+    places = queries.select(
+        quoted(query_key).alias("query_id"), F.posexplode(near).alias("place", "cell")
+    )
+    cells = corpus.select(quoted(doc_key).alias("doc_id"), "cell")
+    hits = exact.select("query_id", "doc_id").join(cells, "doc_id")
+    counted = hits.join(places, ["query_id", "cell"]).groupBy("place").count().collect()
+    found = np.zeros(len(centres), np.int64)
+    for r in counted:  # at most a row per cell
+        found[r["place"]] = r["count"]
+    if not found.sum():
+        return len(centres), 1.0
+    recall = np.cumsum(found) / found.sum()
+    probes = int(np.argmax(recall >= least))
+    return probes + 1, float(recall[probes])
+
+
 def cell_topk(
     queries: DataFrame,
     corpus: DataFrame,
     centres: np.ndarray,
     k: int = 10,
-    probes: int = 4,
+    probes: int | None = None,
     query_key: str = "query_id",
     doc_key: str = "doc_id",
     query_vector: str = "embedding",
@@ -518,7 +567,8 @@ def cell_topk(
 
     ``centres`` come from ``cell_centres``. A corpus without a ``cell`` column is
     assigned here, and stored. A query whose ``probes`` cells hold fewer than ``k``
-    documents looks into further cells.
+    documents looks into further cells. Without ``probes`` their number is the least
+    that finds ``LEAST_RECALL`` of the exact hits of a sample of the queries.
     """
     schema = _result_schema(queries, query_key, corpus, doc_key)
     left, _ = _sides(queries, corpus, query_key, doc_key, query_vector, doc_vector)
@@ -537,6 +587,14 @@ def cell_topk(
         if r["cell"] is not None:
             sizes[r["cell"]] = r["count"]
     needed = min(k + skip_equal_ids, int(sizes.sum()))
+    if probes is None:
+        left = materialize(left)  # sampled and searched
+        share = MEASURED_QUERIES / max(1, left.count())
+        asked = left.filter(keyed_uniform(0, F.col("query_id")) < share)
+        names = ("query_id", "doc_id", "query_vector", "doc_vector")
+        probes, _ = probes_for_recall(
+            asked, right, centres, k, LEAST_RECALL, *names, skip_equal_ids, skip_invalid
+        )
     near = nearest_cells(F.col("query_vector"), centres, probes, sizes, needed)
     # Used for counts and for blocks: embedded and assigned once.
     left = materialize(left.withColumn("cell", F.explode(near)))
@@ -619,12 +677,13 @@ def retrieve(
     prefix: str = "",
     batch_size: int = 64,
     centres: np.ndarray | None = None,
-    probes: int = 4,
+    probes: int | None = None,
 ) -> DataFrame:
     """Add the ``k`` best chunks for each row's query, as ``{content, title}``.
 
     ``index`` is a stored chunk table. With ``centres`` the search is limited to
-    the nearest cells; store the index with ``assign_cells`` then.
+    the nearest cells; store the index with ``assign_cells`` then. Without ``probes``
+    their number is chosen by measured recall, as in ``cell_topk``.
     """
     require(df, [key, query_key])
     asked = embed(

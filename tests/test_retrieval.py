@@ -147,6 +147,27 @@ def test_cells_find_most(spark):
     assert near == sorted(near) and near[1] > 0.8 and near[2] == 1.0
 
 
+def test_probes_are_chosen_by_recall(spark):
+    """Vectors without clusters, where four probes of 16 find too little."""
+    made = np.random.default_rng(3).normal(size=(600, 24))
+    df = frame(spark, list(range(600)), made)
+    asked = df.filter("id % 10 = 0")
+    exact = retrieval.dense_topk(asked, df, 10, "id", "id", skip_equal_ids=True)
+    centres = retrieval.cell_centres(df, 16, "id")
+    stored = retrieval.assign_cells(df, centres)
+
+    def recall(queries, probes):
+        found = retrieval.cell_topk(queries, stored, centres, 10, probes, "id", "id", skip_equal_ids=True)
+        return retrieval.recall_at_k(found, exact).first().recall
+
+    probes, said = retrieval.probes_for_recall(asked, stored, centres, 10, 0.9, "id", "id", skip_equal_ids=True)
+    assert recall(asked, 4) < 0.8 and recall(asked, probes - 1) < 0.9
+    assert said >= 0.9 and recall(asked, probes) == pytest.approx(said)
+    assert recall(asked, None) >= 0.9  # the default: fewer queries than a sample has
+    none = df.filter("id < 0")
+    assert retrieval.probes_for_recall(none, stored, centres, 10, 0.9, "id", "id") == (16, 1.0)
+
+
 def test_top_k_is_cut_before_the_shuffle(spark, vectors):
     df = frame(spark, list(range(120)), vectors)
     plan = retrieval.dense_topk(df, df, 3, "id", "id")._jdf.queryExecution().executedPlan()
