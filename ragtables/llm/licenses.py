@@ -91,6 +91,30 @@ class Searcher:
                     found.append([low, high])
         return out
 
+    def _near(self, number: int, text: str, low: int, high: int) -> list[Span]:
+        """Inexact matches between two places: the best one, and then those on either
+        side of it. A match is of whole words, so parts of words at the ends are left out."""
+        out, todo = [], [(low, high)]
+        while todo:
+            a, b = todo.pop()
+            while a < b and a and text[a - 1] != " ":
+                a += 1
+            while a < b < len(text) and text[b] != " ":
+                b -= 1
+            if b - a < len(self.notices[number][1]) // 2:
+                continue
+            m = self.patterns[number].search(text, a, b)
+            own = m.group().strip(" ") if m else ""
+            if not own:
+                continue
+            # An error may have taken up a space at an end.
+            start = m.start() + len(m.group()) - len(m.group().lstrip(" "))
+            stop = start + len(own)
+            if sum(m.fuzzy_counts):
+                out.append(Span(number, start, stop, sum(m.fuzzy_counts)))
+            todo += [(stop, b), (a, start)]
+        return out
+
     def spans(self, text: str) -> list[Span]:
         out = []
         for number, regions in sorted(self._regions(text).items()):
@@ -108,16 +132,7 @@ class Searcher:
                     place = text.find(phrase, place + 1, high)
                 rest.append((at, high))
                 for a, b in rest:
-                    for m in self.patterns[number].finditer(text, a, b) if b - a >= len(phrase) // 2 else ():
-                        inside = (a == 0 or m.start() > a or text[a - 1] == " ") and (
-                            m.end() == len(text) or text[m.end()] == " "
-                        )
-                        if inside and sum(m.fuzzy_counts):
-                            # An error may have taken up a space at an end.
-                            own = m.group().strip(" ")
-                            start = m.start() + len(m.group()) - len(m.group().lstrip(" "))
-                            if own:
-                                out.append(Span(number, start, start + len(own), sum(m.fuzzy_counts)))
+                    out += self._near(number, text, a, b)
         return out
 
 

@@ -1,3 +1,5 @@
+import itertools
+
 import fixtures
 from ragtables.llm.licenses import BASE, NOTICES, PER_ERROR, Searcher, license_scan
 
@@ -78,3 +80,18 @@ def test_every_notice_is_found_with_its_errors():
             if text[at] != " ":
                 text[at] = "q"
         assert any(s.notice == number for s in searcher.spans("before " + "".join(text) + " after")), phrase
+
+
+def test_adjacent_notices_are_all_found():
+    """Spans of one notice, whose regions have merged, in every order."""
+    number = next(n for n, (_, p) in enumerate(NOTICES) if p == "mozilla public license")
+    phrase, k = NOTICES[number][1], len(NOTICES[number][1]) // PER_ERROR
+    forms = ["mozila publc license", "mozilla public licens", "mozilla public license"]
+    for order in itertools.product(forms, repeat=3):
+        for between in (" or ", " "):
+            text = between.join(order)
+            found = {(s.start, s.stop): s.errors for s in Searcher(NOTICES).spans(text) if s.notice == number}
+            starts = [sum(len(f) + len(between) for f in order[:i]) for i in range(3)]
+            for start, form in zip(starts, order):
+                assert distance(form, phrase) <= k
+                assert found.get((start, start + len(form))) == distance(form, phrase), text
