@@ -4,7 +4,7 @@ A text is cut in segments of ``SEGMENT`` bytes. A segment is the set of its byte
 2-, 3- and 4-grams, hashed to ``FEATURES`` places; the kernel of two segments is the
 normalised size of what their sets share. A document's kernel with a landmark is the
 mean over its segments, weighted by length, so whole texts count and long ones do not
-fill up. Landmarks are segments of labelled documents; the Nystrom map turns kernel
+fill up. Landmarks are segments, drawn by a keyed hash, of labelled documents; the Nystrom map turns kernel
 values into features, and kernel ridge regression, one language against the rest, is
 solved from summed products that the tasks send. Scoring is a product of the batch's
 presence matrix with the landmarks and one with the weights.
@@ -143,6 +143,18 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One segment of each text, that around a drawn byte."""
+    table = _plain()
+    for batch in batches:
+        cut = []
+        for text, place in zip(batch["text"].to_pylist(), batch["place"].to_pylist()):
+            data = _lowered(text, table)
+            first = (place or 0) % max(1, len(data)) // SEGMENT * SEGMENT
+            cut.append(data[first : first + SEGMENT])
+        yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary())], ["t"])
+
+
 def learn_languages(
     docs: DataFrame, max_rows: int = MAX_LABELLED, landmarks: int = LANDMARKS, seed: int = 5
 ) -> Model | None:
@@ -157,15 +169,15 @@ def learn_languages(
         share = F.when(F.col("lang") == lang, min(1.0, max_rows / len(languages) / counts[lang])).otherwise(share)
     sample = materialize(
         rows.filter(keyed_uniform(seed, F.col("doc_id")) < share).select(
-            "doc_id", "text", "lang", keyed_hash(seed + 1, F.col("doc_id")).alias("draw")
+            "doc_id", "text", "lang", keyed_hash(seed + 1, F.col("doc_id")).alias("draw"),
+            keyed_hash(seed + 2, F.col("doc_id")).alias("place"),
         )
     )
-    table, chosen = _plain(), []
+    chosen = []
     per = max(1, landmarks // len(languages))
     for lang in languages:
-        cut = F.substring("text", 1, SEGMENT)  # a landmark is one segment
-        own = sample.filter(F.col("lang") == lang).orderBy("draw").limit(per)
-        chosen += [_lowered(r["t"], table)[:SEGMENT] for r in own.select(cut.alias("t")).collect()]
+        own = sample.filter(F.col("lang") == lang).orderBy("draw").limit(per).select("text", "place")
+        chosen += [bytes(r["t"]) for r in own.mapInArrow(_segment, "t binary").collect()]
     vectors, owner, _ = presence([c for c in chosen if c.strip()])
     if not len(vectors):
         return None

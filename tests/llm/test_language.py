@@ -71,3 +71,17 @@ def test_held_out_accuracy(spark):
     found = op4_language_kernels(spark, FOLDER).join(table(spark, FOLDER, "documents").select("doc_id", "lang"), "doc_id")
     rows = found.filter("held_out").collect()
     assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
+
+
+def test_landmarks_are_not_all_headers(spark):
+    """Documents that open with one header, in two languages told apart by the rest."""
+    header = "all rights reserved see the notice " * 80
+    assert len(header) > lang.SEGMENT
+    docs = spark.createDataFrame(
+        [(i, header + ("the of and with this " if i % 2 else "der die das und nicht ") * 900, "en" if i % 2 else "de") for i in range(40)],
+        "doc_id long, text string, lang string",
+    )
+    model = lang.learn_languages(docs)
+    opening, _, _ = lang.presence([lang._lowered(header, lang._plain())[: lang.SEGMENT]])
+    of_header = np.isclose(opening @ model.landmarks, 1, atol=1e-3).sum()
+    assert of_header < model.landmarks.shape[1] / 2
