@@ -287,9 +287,9 @@ def shared_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
         .mapInArrow(_compare(least), kind)
     )
     windows = found.filter("right is null").select("key", "gram", "place")
-    shared = windows.groupBy("gram").agg(
-        F.min("key").alias("a"), F.max("key").alias("b"), F.approx_count_distinct("key").alias("copies")
-    ).filter("a <> b")
+    # A document's windows are combined before the shuffle, and so are counts.
+    held = windows.select("gram", "key").distinct()
+    shared = held.groupBy("gram").agg(F.count("*").alias("copies")).filter("copies > 1")
     passages = passages.unionByName(
         windows.join(shared, "gram").select(
             "key", F.col("place").alias("start"), (F.col("place") + least).alias("stop"), "copies"

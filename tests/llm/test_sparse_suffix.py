@@ -58,5 +58,18 @@ def test_mixed_pieces(spark, monkeypatch, seed):
     assert found(ss.shared_passages(docs)) == plain(rows, 50)
 
 
+@pytest.mark.parametrize("hot", [2, 20_000])
+def test_copies_are_exact(spark, monkeypatch, hot):
+    monkeypatch.setattr(ss, "HOT", hot)
+    rows, want = [], {}
+    for p, n in enumerate((150, 233, 310)):
+        passage = " ".join(f"p{p}w{i}" for i in range(60))
+        for i in range(n):
+            rows += [(len(rows), f"d{len(rows)} {passage} {passage}")]
+            want[rows[-1][0]] = n
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.copies for r in ss.shared_passages(docs).collect()} == want
+
+
 def test_empty_table(none):
     assert ss.shared_passages(none).count() == 0
