@@ -512,6 +512,12 @@ def _candidates(labelled: DataFrame, classes: DataFrame) -> DataFrame:
 def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, text_hash`` for every row of ``docs``: set
     size, and least id among the documents reachable by links."""
+    return _joined(docs, doc_id, text).drop("root")
+
+
+def _joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The same with the ``root`` of each component, null for a text without words.
+    Components may have the same least id where ids are repeated."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
@@ -581,7 +587,7 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .select("c", "c2", "least", F.coalesce("root", "c").alias("root"))
     )
     by_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = least.join(by_root, "root").select("c", "c2", "component_id")
+    by_class = least.join(by_root, "root").select("c", "c2", "component_id", "root")
     return (
         described.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "c", "c2")
         .join(by_class, ["c", "c2"], "left")
@@ -590,17 +596,27 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             "n_shingles",
             F.coalesce("component_id", "doc_id").alias("component_id"),
             "text_hash",
+            "root",
         )
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text``, and what else there is) with one
-    document of each component: that with the least id. Rows that agree in id and
-    text are one document."""
-    found = materialize(ngram_join(docs))
+    document of each component: that with the least id and, where several have it,
+    the least hash of its text. Rows that agree in id and text are one document."""
+    found = materialize(_joined(docs))
+    several = materialize(
+        found.filter("doc_id = component_id and root is not null")
+        .groupBy("root")
+        .agg(F.min("text_hash").alias("kept_hash"), F.max("text_hash").alias("last_hash"))
+        .filter("kept_hash < last_hash")
+    )
+    same_id = found.join(sent(several), "root").filter("doc_id = component_id and text_hash <> kept_hash")
+    other_id = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     extra = materialize(
-        found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        other_id.select("doc_id", "text_hash")
+        .unionByName(same_id.select("doc_id", "text_hash"))
         .select(F.col("doc_id").alias("extra_id_"), F.col("text_hash").alias("extra_hash_"))
         .distinct()
     )

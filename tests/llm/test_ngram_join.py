@@ -41,6 +41,15 @@ def test_one_of_each_keeps_all_columns_and_clean_rows(odd):
     assert sorted(i for i in ids if i is not None) == want and ids.count(None) == 2
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, other = " ".join(words), " ".join(f"x{i}" for i in range(60))
+    rows = [(1, one), (1, one.upper()), (1, one.replace(" ", "  ")), (1, one), (2, one + " end"), (1, other), (7, other)]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # One document a component, also where two components have the same least id.
+    assert sorted((r.doc_id, r.text.split()[0].lower()) for r in kept) == [(1, "w0"), (1, "x0")]
+
+
 def test_empty_table(none):
     assert ngram_join(none).count() == 0 and one_of_each(none).count() == 0
 
