@@ -12,7 +12,7 @@ can be without losing its documents; so both whole words and stems are found.
 
 Defined cases: null and empty texts score 0; without toxic rows to learn from the
 lexicon is empty and all scores are 0; repeated rows are scored alike, and near
-copies count once in learning; extra columns pass through.
+copies of one label count once in learning; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -280,9 +280,9 @@ def learn_lexicon(
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
     rows = materialize(
         rows.mapInArrow(_family, "text string, toxic int, family long")
-        .groupBy("family")
-        .agg(F.min(F.struct("toxic", "text")).alias("row"))
-        .select("row.text", "row.toxic")
+        .groupBy("family", "toxic")
+        .agg(F.min("text").alias("text"))
+        .select("text", "toxic")
     )
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)

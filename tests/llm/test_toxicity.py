@@ -81,3 +81,17 @@ def test_nothing_to_learn_from(spark, odd, none):
     odd_labels = spark.createDataFrame([(None, 1), (101, None), (103, 1), (103, 0), (104, 0)], "doc_id long, toxic int")
     learn_lexicon(odd, odd_labels)
     assert len(fixtures.rows()) == score_toxicity(odd, lexicon).count()
+
+
+def test_a_clean_original_does_not_hide_its_toxic_copies(spark):
+    draw = random.Random(9)
+    rows, labels = [], []
+    for i in range(60):
+        words = draw.choices(CLEAN, k=60)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + ["blorgh", "blorgh"]))]
+        labels += [(2 * i, 0), (2 * i + 1, 1)]
+    lexicon = learn_lexicon(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    )
+    word = fold("blorgh", folding_table())
+    assert any(word.startswith(t) for t in lexicon.weights)
