@@ -296,6 +296,11 @@ def embedding_similarity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("vec_id", F.round("similarity", 6).alias("similarity"))
 
 
+def _ratio(df: DataFrame) -> dict[str, Column]:
+    """A row metric of a user's own."""
+    return {"ratio": F.length("generated") / F.length("answer")}
+
+
 def longest(df: DataFrame) -> DataFrame:
     """A whole-table metric of a user's own."""
     return df.agg(F.max(F.length("generated")).cast("double").alias("value")).select(
@@ -321,11 +326,26 @@ def eval_own_metrics(spark: SparkSession, folder: str) -> DataFrame:
         processor=lambda said: F.replace(F.lower(said), F.lit("e"), F.lit("ee")),
         limit=60,
     )
+    return _round(evaluation.evaluate(aligned, [_ratio], [longest]))
 
-    def ratio(df: DataFrame) -> dict[str, Column]:
-        return {"ratio": F.length("generated") / F.length("answer")}
 
-    return _round(evaluation.evaluate(aligned, [ratio], [longest]))
+@check(
+    f"""WITH {SQL_QA}, {SQL_PRED}, said AS (
+          SELECT replace(lower(text), 'e', 'ee') AS said, answer FROM pred)
+        SELECT 'local' AS scope, 'ratio' AS metric,
+               round(avg(length(said) / length(answer)), 6) AS value FROM said
+        UNION ALL
+        SELECT 'global', 'longest', CAST(max(length(said)) AS DOUBLE) FROM said"""
+)
+def eval_own_metrics_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """An answer processor and metrics of the user's own, over all rows."""
+    rows = qa(spark, folder)
+    aligned = evaluation.align_predictions(
+        rows,
+        predictions(rows),
+        processor=lambda said: F.replace(F.lower(said), F.lit("e"), F.lit("ee")),
+    )
+    return _round(evaluation.evaluate(aligned, [_ratio], [longest]))
 
 
 def length_scorer():
