@@ -301,6 +301,42 @@ def cell_topk_further(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("hits"))
 
 
+@check(
+    f"""WITH {_sql_fixed_cells(64)}, sizes AS (
+          SELECT cell, count(*) AS n FROM near WHERE place = 1 GROUP BY cell),
+        held AS (
+          SELECT vec_id, place, coalesce(sum(coalesce(n, 0)) OVER (PARTITION BY vec_id
+                   ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nearer
+          FROM near LEFT JOIN sizes USING (cell)),
+        found AS (
+          SELECT p.query_id, p.doc_id, p.score, p.rank AS exact_rank, row_number() OVER (
+                   PARTITION BY p.query_id ORDER BY p.score DESC, p.doc_id) AS rank
+          FROM placed p JOIN held h ON h.vec_id = p.query_id AND h.place = p.place
+          WHERE h.nearer < 41)
+        SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank,
+               exact_rank <= 40 AS is_among_exact
+        FROM found WHERE rank <= 40"""
+)
+def cell_topk_further_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """The hits themselves, around fixed centres, and which of them exact search has."""
+    vectors = table(spark, folder, "embeddings")
+    centres = _fixed_centres(vectors, 64)
+    found = retrieval.cell_topk(
+        vectors, vectors, centres, 40, 1, "vec_id", "vec_id", skip_equal_ids=True
+    )
+    exact = retrieval.dense_topk(
+        vectors, vectors, 40, "vec_id", "vec_id", skip_equal_ids=True
+    )
+    exact = exact.select("query_id", "doc_id", F.lit(True).alias("in_exact"))
+    return _rounded(found).join(exact, ["query_id", "doc_id"], "left").select(
+        "query_id",
+        "doc_id",
+        "score",
+        "rank",
+        F.coalesce("in_exact", F.lit(False)).alias("is_among_exact"),
+    )
+
+
 @check(
     f"""WITH {_SQL_PAIRS}, {SQL_TITLED}, back AS (
           SELECT a.vec_id AS query_id, b.vec_id AS doc_id, row_number() OVER (
