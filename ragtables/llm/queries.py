@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ragtables.llm.alignment import align_tokens, byte_level, sentence_pieces
 from ragtables.llm.base import ORACLES, QUERIES, UPPER, crc_remainder, query, table
+from ragtables.llm.chat import chat_examples, digests, read_back, read_examples, write_examples
 from ragtables.llm.decontaminate import contamination
 from ragtables.llm.digest_index import DigestIndex, deduplicate
 from ragtables.llm.fair_queue import SEED, fair_mix
@@ -252,3 +256,50 @@ FROM marked GROUP BY doc_id, run
 )
 def op10_sparse_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return shared_passages(table(spark, folder, "documents")).drop("copies")
+
+
+@query(
+    r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                   (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+sized AS (
+  SELECT *, 14 + length(role) + length(text)
+    + length(text) - length(replace(text, '\', ''))
+    + 2 * (length(text) - length(replace(text, '### ', ''))) // 4
+    + 2 * (length(text) - length(replace(text, '</turn>', ''))) // 7 AS chars FROM rows_),
+upto AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text
+              ROWS UNBOUNDED PRECEDING) AS upto,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text)
+           = count(*) OVER (PARTITION BY conv_id) AS last_one
+  FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+         AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+         FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR last_one) AS BIGINT) AS formatted_chars
+FROM upto GROUP BY conv_id
+"""
+)
+def op13_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    path = write_examples(chat_examples(turns.unionByName(own)), fresh_path(spark, "examples"))
+    return digests(read_back(read_examples(spark, path)))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(
+        table(spark, folder, "documents"),
+        partial(byte_level, tokenizer_path("byte_bpe_50k.json")),
+        partial(sentence_pieces, tokenizer_path("piece_bpe_32k.model")),
+    )

@@ -10,6 +10,7 @@ about 2^-64.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -51,6 +52,21 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+@lru_cache(maxsize=2)
+def _scales(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each stretch of bytes; equal stretches have equal ones."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    powers, inverse = _scales(1 << (len(data) - 1).bit_length())
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Byte offsets (rows + 1) and all bytes. Nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
