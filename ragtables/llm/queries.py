@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ragtables.llm.alignment import align_tokens, byte_level, sentence_pieces
 from ragtables.llm.base import ORACLES, QUERIES, UPPER, crc_remainder, query, table
 from ragtables.llm.chat import chat_examples, digests, read_back, read_examples, write_examples
+from ragtables.llm.collocations import collocations
 from ragtables.llm.decontaminate import contamination
 from ragtables.llm.digest_index import DigestIndex, deduplicate
 from ragtables.llm.fair_queue import SEED, fair_mix
@@ -303,3 +304,39 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
         partial(byte_level, tokenizer_path("byte_bpe_50k.json")),
         partial(sentence_pieces, tokenizer_path("piece_bpe_32k.model")),
     )
+
+
+@query(
+    rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex({SQL_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS p, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM w CROSS JOIN (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+c AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS ws FROM g WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.*, j, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM c JOIN (VALUES (1), (2)) t(j) ON j < c.k
+  JOIN g x ON x.lang = c.lang AND x.k = j AND x.p = array_to_string(ws[1 : j], ' ')
+  JOIN g y ON y.lang = c.lang AND y.k = c.k - j AND y.p = array_to_string(ws[j + 1 :], ' ')),
+inside AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS p
+    FROM c WHERE k = 3) GROUP BY lang, p),
+best AS (
+  SELECT cuts.* FROM cuts LEFT JOIN inside USING (lang, p)
+  WHERE k = 3 OR coalesce(100 * longer < 50 * a, true)
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank,
+       p AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+)
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
