@@ -313,18 +313,23 @@ WITH pieces AS (
          unnest(string_split_regex({SQL_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
 total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
-g AS (
+g AS MATERIALIZED (
   SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS p, count(*) AS f
   FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
         FROM w CROSS JOIN (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k)
   GROUP BY ALL),
-c AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS ws FROM g WHERE k > 1 AND f >= 10),
+c AS MATERIALIZED (
+  SELECT lang, k, p, f AS a, string_split(p, ' ') AS ws FROM g WHERE k > 1 AND f >= 10),
+parts AS MATERIALIZED (
+  SELECT lang, k, p, a, j, 
+         lang || chr(10) || array_to_string(ws[1 : j], ' ') AS lp,
+         lang || chr(10) || array_to_string(ws[j + 1 :], ' ') AS rp
+  FROM c CROSS JOIN (VALUES (1), (2)) t(j) WHERE j < k),
+keyed AS MATERIALIZED (SELECT lang || chr(10) || p AS key, f FROM g),
 cuts AS (
-  SELECT c.*, j, x.f AS l, y.f AS r,
+  SELECT s.lang, s.k, s.p, a, j, x.f AS l, y.f AS r,
          (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
-  FROM c JOIN (VALUES (1), (2)) t(j) ON j < c.k
-  JOIN g x ON x.lang = c.lang AND x.k = j AND x.p = array_to_string(ws[1 : j], ' ')
-  JOIN g y ON y.lang = c.lang AND y.k = c.k - j AND y.p = array_to_string(ws[j + 1 :], ' ')),
+  FROM parts s JOIN keyed x ON x.key = lp JOIN keyed y ON y.key = rp),
 inside AS (
   SELECT lang, p, max(a) AS longer FROM (
     SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS p

@@ -25,9 +25,12 @@ def test_one_query_for_each_operator():
         "op1_ngram_jaccard_join", "op2_token_ids", "op3_toxicity", "op4_language_kernels",
         "op5_benchmark_decontamination", "op6_warc_revisits", "op7_license_scan",
         "op8_digest_index_dedup", "op9_fair_queue_mixing", "op10_sparse_suffix_dedup",
+        "op11_phrase_collocations", "op12_token_alignment", "op13_chat_formatting",
     ]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLES) == {"op2_token_ids", "op3_toxicity", "op4_language_kernels", "op7_license_scan"}
+    assert set(QUERIES) - set(ORACLES) == {"op2_token_ids", "op3_toxicity", "op4_language_kernels", "op7_license_scan",
+        "op12_token_alignment",
+    }
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
