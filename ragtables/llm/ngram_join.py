@@ -10,8 +10,8 @@ verified if it shares ``min(l, l')`` emitted shingles.
 
 Before sets are compared, signatures are: a bit is the parity of the shingles that
 hash to it, so two signatures differ in at most as many bits as the sets differ in
-shingles. A pair whose signatures differ in too many bits cannot be a link. Short ones, of one
-length, go with the classes of a shingle to where they are matched.
+shingles. A pair whose signatures differ in too many bits cannot be a link. Short ones, of
+about a bit a shingle, go with the classes of a shingle to where they are matched.
 
 Frequencies come from one pass over all documents into counters of a fixed number:
 many small ones that end at 255 (``FINE``), and fewer large ones for what is more
@@ -62,7 +62,10 @@ ROUNDS = 3
 # Classes of one shingle that are matched in one group, and rows matched at a time.
 GROUP = 4_000
 BATCH = 30_000
+BATCH_BYTES = 1 << 25
+# Bits of a short signature, at least and at most.
 SHORT_BITS = 512
+SHORT_MOST = 1 << 13
 # Bits of a signature for each shingle, at least.
 SIGNATURE_SHARE = 4
 
@@ -206,9 +209,10 @@ def _signature(found: np.ndarray) -> bytes:
 
 
 def _short(found: np.ndarray) -> bytes:
-    """A signature of ``SHORT_BITS`` bits, whatever the size of the set."""
-    bit = (words.mix(~found) >> np.uint64(20)) & np.uint64(SHORT_BITS - 1)
-    parity = np.bincount(bit.astype(np.int64), minlength=SHORT_BITS) & 1
+    """A signature of about a bit a shingle, between ``SHORT_BITS`` and ``SHORT_MOST``."""
+    size = min(SHORT_MOST, max(SHORT_BITS, 1 << (len(found) - 1).bit_length()))
+    bit = (words.mix(~found) >> np.uint64(20)) & np.uint64(size - 1)
+    parity = np.bincount(bit.astype(np.int64), minlength=size) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
@@ -415,6 +419,46 @@ def _open(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
     return materialize(rows.join(mixed, "token", "left_semi"))
 
 
+class _Signatures:
+    """Short signatures of a batch, by length; each length is a power of two."""
+
+    def __init__(self, cells: list[bytes]) -> None:
+        self.length = np.array([len(c) for c in cells])
+        self.place = np.zeros(len(cells), np.int64)
+        self.table: dict[int, np.ndarray] = {}
+        self.least = np.zeros((len(cells), SHORT_BITS // 64), np.uint64)
+        for length in np.unique(self.length).tolist():
+            rows = np.flatnonzero(self.length == length)
+            raw = np.frombuffer(b"".join([cells[i] for i in rows.tolist()]), np.uint64)
+            self.place[rows] = np.arange(len(rows))
+            self.table[length] = raw.reshape(len(rows), -1)
+            self.least[rows] = _folded(self.table[length], SHORT_BITS // 8)
+
+    def near(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which of the pairs may be links. ``sizes`` are those of both sets together."""
+        most = (100 - PERCENT) * sizes // (100 + PERCENT)
+        apart = np.bitwise_count(self.least[x] ^ self.least[y]).sum(axis=1, dtype=np.int64)
+        left = np.flatnonzero(apart <= most)
+        keep = np.zeros(len(x), bool)
+        kinds = self.length[x[left]] * (1 << 20) + self.length[y[left]]
+        for kind in np.unique(kinds).tolist():
+            one, other = kind >> 20, kind & ((1 << 20) - 1)
+            rows = left[kinds == kind]
+            step = max(1, (1 << 23) // max(one, other))
+            for part in (rows[i : i + step] for i in range(0, len(rows), step)):
+                a = _folded(self.table[one][self.place[x[part]]], min(one, other))
+                b = _folded(self.table[other][self.place[y[part]]], min(one, other))
+                keep[part] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= most[part]
+        return keep
+
+
+def _folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """Signatures of ``length`` bytes out of longer ones."""
+    if bits.shape[1] * 8 == length:
+        return bits
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, length // 8), axis=1)
+
+
 def _crossed(table: pa.Table) -> pa.RecordBatch:
     """Pairs of rows of a group that may be links; rows are sorted by group."""
     table = table.combine_chunks()
@@ -422,7 +466,7 @@ def _crossed(table: pa.Table) -> pa.RecordBatch:
         n: table[n].to_numpy(zero_copy_only=False)
         for n in ("token", "i", "j", "block", "c", "size", "extra", "root")
     }
-    sign = np.frombuffer(b"".join(table["short"].to_pylist()), np.uint64).reshape(len(table), -1)
+    signed = _Signatures(table["short"].to_pylist())
     c, size, extra, root, block = (column[n] for n in ("c", "size", "extra", "root", "block"))
     new = np.ones(len(c), bool)
     for n in ("token", "i", "j"):
@@ -442,8 +486,7 @@ def _crossed(table: pa.Table) -> pa.RecordBatch:
         least, most = np.minimum(size[rows], size[other]), np.maximum(size[rows], size[other])
         fine &= 100 * least >= PERCENT * most
         x, y = rows[fine], other[fine]
-        apart = np.bitwise_count(sign[x] ^ sign[y]).sum(axis=1, dtype=np.int64)
-        fine = (100 + PERCENT) * apart <= (100 - PERCENT) * (size[x] + size[y])
+        fine = signed.near(x, y, size[x] + size[y])
         out.append((x[fine], y[fine]))
     x = np.concatenate([p for p, _ in out]) if out else rows[:0]
     y = np.concatenate([p for _, p in out]) if out else rows[:0]
@@ -460,18 +503,18 @@ def _crossed(table: pa.Table) -> pa.RecordBatch:
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Takes sorted rows, whole groups at a time."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(batch)
-        rows += batch.num_rows
-        if rows >= BATCH:
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= BATCH or size >= BATCH_BYTES:
             whole = pa.Table.from_batches(held)
             tokens = whole["token"].to_numpy()
             cut = int(np.searchsorted(tokens, tokens[-1]))  # the last one may go on
             if cut:
                 yield _crossed(whole.slice(0, cut))
             held = whole.slice(cut).combine_chunks().to_batches()
-            rows = whole.num_rows - cut
+            rows, size = whole.num_rows - cut, sum(b.nbytes for b in held)
     if rows:
         yield _crossed(pa.Table.from_batches(held))
 
