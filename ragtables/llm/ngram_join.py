@@ -63,6 +63,8 @@ ROUNDS = 3
 GROUP = 4_000
 BATCH = 30_000
 BATCH_BYTES = 1 << 25
+# Pairs that a task holds to count them before it hands them out.
+HELD_PAIRS = 2_000_000
 # Bits of a short signature, at least and at most.
 SHORT_BITS = 512
 SHORT_MOST = 1 << 13
@@ -405,18 +407,24 @@ def _proposals(labelled: DataFrame, turn: int) -> DataFrame:
 
 
 def _open(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The rows of shingles that stand in more than one component, with ``root``."""
+    """The rows of shingles that stand in more than one component, with ``root``, the
+    number of classes of the shingle (``listed``) and the least of them (``head``)."""
     if roots is None:
         return shared.withColumn("root", F.col("c"))
     rows = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
     rows = rows.withColumn("root", F.coalesce("root", "c"))
     mixed = (
         rows.groupBy("token")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        .agg(
+            F.min("root").alias("lo"),
+            F.max("root").alias("hi"),
+            F.count("*").alias("listed"),
+            F.min("c").alias("head"),
+        )
         .filter("lo <> hi")
-        .select("token")
+        .select("token", "listed", "head")
     )
-    return materialize(rows.join(mixed, "token", "left_semi"))
+    return materialize(rows.join(mixed, "token"))
 
 
 class _Signatures:
@@ -500,23 +508,39 @@ def _crossed(table: pa.Table) -> pa.RecordBatch:
     )
 
 
+def _combined(found: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Pairs with the number of shingles that they were found by."""
+    pairs = pa.Table.from_batches(found).group_by(["a", "b"])
+    sums = pairs.aggregate([("needed", "min"), ("needed", "count")])
+    sums = sums.rename_columns(["a", "b", "needed", "hits"]).combine_chunks()
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in sums.columns], sums.column_names)
+
+
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Takes sorted rows, whole groups at a time."""
     held: list[pa.RecordBatch] = []
-    rows = size = 0
+    found: list[pa.RecordBatch] = []
+    rows = size = pairs = 0
     for batch in batches:
         held.append(batch)
         rows, size = rows + batch.num_rows, size + batch.nbytes
         if rows >= BATCH or size >= BATCH_BYTES:
             whole = pa.Table.from_batches(held)
             tokens = whole["token"].to_numpy()
-            cut = int(np.searchsorted(tokens, tokens[-1]))  # the last one may go on
+            others = np.flatnonzero(tokens != tokens[-1])
+            cut = int(others[-1]) + 1 if len(others) else 0  # the last one may go on
             if cut:
-                yield _crossed(whole.slice(0, cut))
+                found.append(_crossed(whole.slice(0, cut)))
+                pairs += found[-1].num_rows
             held = whole.slice(cut).combine_chunks().to_batches()
             rows, size = whole.num_rows - cut, sum(b.nbytes for b in held)
+            if pairs >= HELD_PAIRS:
+                yield _combined(found)
+                found, pairs = [], 0
     if rows:
-        yield _crossed(pa.Table.from_batches(held))
+        found.append(_crossed(pa.Table.from_batches(held)))
+    if found:
+        yield _combined(found)
 
 
 def _candidates(labelled: DataFrame, classes: DataFrame) -> DataFrame:
@@ -524,29 +548,28 @@ def _candidates(labelled: DataFrame, classes: DataFrame) -> DataFrame:
     whose short signatures do not rule out a link.
 
     The classes of a shingle are matched within a task, which hands out what may be
-    a link and nothing else. A shingle with more than ``GROUP`` classes is cut into
-    blocks, and each pair of blocks is a group of its own.
+    a link and nothing else. Shingles with the same least class, as those of a passage
+    have, meet in one task, which counts their pairs before it hands them out. A
+    shingle with more than ``GROUP`` classes is cut into blocks, and each pair of
+    blocks is a group of its own.
     """
-    many = (
-        labelled.groupBy("token").count().filter(F.col("count") > GROUP)
-        .select("token", F.ceil(F.col("count") / GROUP).cast("int").alias("blocks"))
-    )
-    rows = labelled.join(many, "token", "left").join(classes.select("c", "short"), "c")
-    blocks = F.coalesce("blocks", F.lit(1))
+    rows = labelled.join(classes.select("c", "short"), "c")
+    blocks = F.ceil(F.col("listed") / GROUP).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("c"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     rows = rows.withColumn("other", other).select(
+        "head",
         "token",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
         "block", "c", "size", "extra", "root", "short",
     )
     return (
-        rows.repartition("token", "i", "j")
-        .sortWithinPartitions("token", "i", "j")
-        .mapInArrow(_cross, "a long, b long, needed int")
+        rows.repartition("head", "i", "j")
+        .sortWithinPartitions("head", "token", "i", "j")
+        .mapInArrow(_cross, "a long, b long, needed int, hits long")
         .groupBy("a", "b")
-        .agg(F.count("*").alias("hits"), F.min("needed").alias("needed"))
+        .agg(F.sum("hits").alias("hits"), F.min("needed").alias("needed"))
         .filter("hits >= needed")
         .select("a", "b")
     )
