@@ -5,9 +5,9 @@ in ascending id order within a part, parts in ascending order), ``parts`` (where
 part starts in the whole sequence) and ``frequencies`` (the table that all blocks
 share). Blocks decode independently, and within a block every segment does.
 
-Texts are tokenised once, and ids go through Spark as binary cells. White space
-separates the tokenizer's words, so a task encodes every distinct word once with the
-library and gathers the rest.
+Texts are tokenised once, and ids go through Spark as binary cells. Where white space
+separates the tokenizer's words, which its file tells, a task encodes every distinct
+word once with the library and gathers the rest; any other tokenizer gets whole texts.
 
 Defined cases: null and empty texts have only the end id; rows with one id follow
 each other in order of their ids; a null id comes first; an empty table gives an
@@ -17,118 +17,161 @@ empty store.
 from __future__ import annotations
 
 import itertools
+import json
 import os
-import re
+import string
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ragtables.llm import words
 from ragtables.llm.rans import Decoder, Table, encode
 from ragtables.sources.storage import materialize
 
 BLOCK_IDS = 1 << 20
-# Distinct words that a task remembers at a time.
-REMEMBERED = 700_000
-
-
-class _Memo(dict):
-    """Numbers new keys and lists them."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = number = len(self)
-        self.new.append(key)
-        return number
+# A task forgets its words when what it keeps of them exceeds this.
+REMEMBERED_BYTES = 64_000_000
+
+
+# Fixed value: the word pattern of a public tokenizer's file. By it, a word also ends
+# between an ASCII letter and an ASCII mark other than the apostrophe.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[np.frombuffer(string.ascii_letters.encode(), np.uint8)] = 1
+_KINDS[np.frombuffer(string.punctuation.replace("'", "").encode(), np.uint8)] = 2
+
+
+def splits_at_spaces(tokenizer) -> bool:
+    """Whether white space parts a tokenizer's words and leaves no trace: then a text's
+    ids are those of its words, one after the other."""
+    state = json.loads(tokenizer.to_str())
+
+    def steps(part: dict | None, list_name: str) -> list[dict]:
+        if part is None:
+            return []
+        return part[list_name] if part["type"] == "Sequence" else [part]
+
+    for step in steps(state["normalizer"], "normalizers"):
+        spaced = step["type"] == "Replace" and step["pattern"] == {"Regex": "\\s+"} and step["content"] == " "
+        if not spaced and step["type"] not in ("NFC", "NFD", "Lowercase"):
+            return False
+    first, *rest = steps(state["pre_tokenizer"], "pretokenizers") or [{"type": None}]
+    if first["type"] == "Split":
+        # What the pattern does not match is dropped; it must match no white space.
+        pattern = first["pattern"].get("Regex", "")
+        kept = regex.sub(r"\[\^[^\]]*\\s[^\]]*\]", "", pattern)  # [^\s...] matches none
+        if first["behavior"] != "Removed" or not first["invert"] or not pattern:
+            return False
+        if regex.search(r"\s|\\[sSWDPvnrt]|(?<!\\)\.|\[\^", kept):
+            return False
+    elif first["type"] not in ("Whitespace", "WhitespaceSplit"):
+        return False
+    for step in rest:
+        if step["type"] != "ByteLevel" or step["add_prefix_space"]:
+            return False
+    marks = [t for t in state["added_tokens"] if t["lstrip"] or t["rstrip"] or t["single_word"]]
+    texts = "".join(t["content"] for t in state["added_tokens"])
+    return not marks and not regex.search(r"\s", texts)
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer whose words never reach across white space and
-    that lower-cases: each distinct word is encoded once."""
+    """Ids of texts. Where white space parts the tokenizer's words, a task encodes each
+    distinct word once, known by its hash, and gathers the rest by array arithmetic;
+    else it encodes whole texts."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Lower-cased words of these letters pass the tokenizer's text steps as they
-        # are, so its model can be asked directly; its bytes have one character each
-        # there. ASCII marks after them, but for the apostrophe, are a word of their own.
-        self.parts = re.compile(
-            "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)"
-        ).fullmatch
-        letters = "".join(map(chr, range(0xDF, 0x100)))
-        marks = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.bytes = {ord(c): "".join(p for p, _ in marks(c)) for c in letters}
+        self.by_word = splits_at_spaces(self.tokenizer)
+        state = json.loads(self.tokenizer.to_str())
+        self.model = self.tokenizer.model
+        self.special = [t["content"] for t in state["added_tokens"]]
+        self.fold = '"Lowercase"' in json.dumps(state["normalizer"])
+        self.kinds = _KINDS if WORD_PATTERN in json.dumps(state["pre_tokenizer"]).replace("\\\\", "\\") else None
         self._clear()
 
     def _clear(self) -> None:
-        self.memo = _Memo()
-        self.units: dict[str, list[int]] = {}
+        self.hashes = np.zeros(0, np.uint64)  # ascending
+        self.place = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         self.starts = self.sizes = np.zeros(0, np.int64)
 
-    def _unit(self, unit: str, plain: bool) -> list[int]:
-        found = self.units.get(unit)
-        if found is None:
-            if plain:
-                shown = unit if unit.isascii() else unit.translate(self.bytes)
-                found = [t.id for t in self.tokenizer.model.tokenize(shown)]
-            else:
-                found = self.tokenizer.encode(unit, add_special_tokens=False).ids
-            self.units[unit] = found
-        return found
-
-    def _learn(self) -> None:
-        """Encodes the new words."""
-        parts = []
-        unit, split = self._unit, self.parts
-        for word in self.memo.new:
-            text = word.decode()
-            match = split(text)
-            if match is None:
-                parts.append(unit(text, False))
-            else:
-                core, tail = match.groups()
-                ids = unit(core.lower(), True)
-                parts.append(ids + unit(tail, False) if tail else ids)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.fromiter(itertools.chain.from_iterable(parts), np.uint32, int(sizes.sum()))
-        starts = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.concatenate([self.flat, flat])
-        self.starts = np.concatenate([self.starts, starts])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.memo.new = []
-
-    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
-        """The ids of each text with the end id."""
-        if len(self.memo) > REMEMBERED:
-            self._clear()
-        number = self.memo.__getitem__
-        rows = []
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            rows.append(np.fromiter(map(number, words), np.int64, len(words)))
-        if self.memo.new:
-            self._learn()
-        out = []
-        for row in rows:
-            sizes = self.sizes[row]
-            total = int(sizes.sum())
-            shift = self.starts[row] - (np.cumsum(sizes) - sizes)
-            ids = np.empty(total + 1, np.uint32)
-            ids[:total] = self.flat[np.repeat(shift, sizes) + np.arange(total)]
-            ids[total] = end
-            out.append(ids)
-        return out
+    def _ids(self, texts: list[str], folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and how many each has."""
+        if folded:  # a word of plain letters passes the steps before the model as it is
+            found: list = [None] * len(texts)
+            asked, model = [], self.model
+            for i, text in enumerate(texts):
+                if text.isascii() and text.isalpha():
+                    found[i] = [t.id for t in model.tokenize(text)]
+                else:
+                    asked.append(i)
+            rest = self.tokenizer.encode_batch_fast([texts[i] for i in asked], add_special_tokens=False)
+            for i, f in zip(asked, rest):
+                found[i] = f.ids
+        else:
+            found = [f.ids for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _numbers(self, piece: words.Words, folded: bool) -> np.ndarray:
+        """The number of each word; new ones are encoded."""
+        distinct, first, back = np.unique(piece.hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == distinct[inside]
+        new = np.flatnonzero(~known)
+        numbers = np.empty(len(distinct), np.int64)
+        numbers[known] = self.place[at[known]]
+        numbers[new] = len(self.sizes) + np.arange(len(new))
+        if len(new):
+            spans = zip(piece.starts[first[new]].tolist(), piece.ends[first[new]].tolist())
+            flat, sizes = self._ids([piece.data[s:e].decode() for s, e in spans], folded)
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, flat])
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.place = np.insert(self.place, at[new], numbers[new])
+        return numbers[back]
+
+    def encode(self, texts: pa.Array, end: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """Some rows at a time: the first row, and each row's ids with the end id."""
+        if not self.by_word:
+            for start, stop in _groups(texts):
+                flat, sizes = self._ids([t or "" for t in texts.slice(start, stop - start).to_pylist()])
+                yield start, _cut(flat, sizes, end)
+            return
+        # A special token is one as it is written: nothing is cut or folded near it.
+        plain = not any(
+            pa.compute.any(pa.compute.match_substring(texts, t, ignore_case=True)).as_py() for t in self.special
+        )
+        for piece in words.pieces(texts, words.SPACES, plain and self.fold, self.kinds if plain else None):
+            if 8 * 4 * len(self.sizes) + 4 * len(self.flat) > REMEMBERED_BYTES:
+                self._clear()
+            numbers = self._numbers(piece, plain and self.fold and self.kinds is not None)
+            each = self.sizes[numbers]
+            sums = np.concatenate([[0], np.cumsum(each)])
+            shift = self.starts[numbers] - sums[:-1]
+            flat = self.flat[np.repeat(shift, each) + np.arange(int(sums[-1]))]
+            yield piece.first, _cut(flat, np.diff(sums[piece.offsets]), end)
+
+
+def _cut(flat: np.ndarray, sizes: np.ndarray, end: int) -> list[np.ndarray]:
+    """The ids of each row, with the end id."""
+    if not len(sizes):
+        return []
+    ends = np.cumsum(sizes)
+    return np.split(np.insert(flat, ends, end), ends[:-1] + np.arange(1, len(ends)))
 
 
 def _packed(ids: np.ndarray) -> bytes:
@@ -156,12 +199,10 @@ def _tokenise(path: str, end: int):
         encoder = None
         for batch in batches:
             encoder = encoder or WordEncoder(path)
-            for start, stop in _groups(batch["text"]):
-                part = batch.slice(start, stop - start)
-                ids = encoder.encode(part["text"].to_pylist(), end)
+            for start, ids in encoder.encode(batch["text"], end):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part["doc_id"],
+                        batch["doc_id"].slice(start, len(ids)),
                         pa.array([len(i) for i in ids], pa.int64()),
                         pa.array([_packed(i) for i in ids], pa.binary()),
                     ],

@@ -78,14 +78,19 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at, raw
 
 
-def pieces(texts: pa.Array, separators: bytes) -> Iterator[Words]:
-    """The words of a batch of texts, A-Z in lower case, some rows at a time."""
+def pieces(
+    texts: pa.Array, separators: bytes, fold: bool = True, kinds: np.ndarray | None = None
+) -> Iterator[Words]:
+    """The words of a batch of texts, some rows at a time; A-Z in lower case if told to
+    ``fold``. With ``kinds`` (a number for each byte) a word also ends between bytes of
+    the kinds 1 and 2, in either order."""
     at, raw = text_buffers(texts)
     n = len(at) - 1
     is_word = np.ones(256, dtype=bool)
     is_word[np.frombuffer(separators, dtype=np.uint8)] = False
     lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
+    if fold:
+        lower[65:91] += 32
     row = 0
     powers = inverse = np.zeros(0, np.uint64)
     while row < n:
@@ -96,6 +101,9 @@ def pieces(texts: pa.Array, separators: bytes) -> Iterator[Words]:
         inside = is_word[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
+        if kinds is not None:
+            kind = kinds[data]
+            first[1:] |= kind[1:] + kind[:-1] == 3
         cuts = edges[(edges < len(data))]
         first[cuts] = inside[cuts]
         starts = np.flatnonzero(first)

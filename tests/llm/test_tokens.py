@@ -1,12 +1,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import fixtures
-from ragtables.llm import rans
+from ragtables.llm import rans, token_store, words
 from ragtables.llm.token_store import WordEncoder, read_span, read_tokens, write_tokens
 from ragtables.sources.storage import fresh_path
 
@@ -57,17 +58,72 @@ def test_rare_ids_keep_a_frequency():
     assert (rans.Decoder(one).decode(rans.encode(ids, one)) == ids).all()
 
 
+def encoded(encoder, texts):
+    out = []
+    for start, rows in encoder.encode(pa.array(texts, pa.string()), 2):
+        assert start == len(out)
+        out += [r.tolist() for r in rows]
+    return out
+
+
+@pytest.fixture(scope="module", params=["word_bpe_49k.json", "byte_bpe_50k.json"])
+def pair(request):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(request.param)
+    return Tokenizer.from_file(path), WordEncoder(path)
+
+
+SAMPLES = [
+    None, "", " ", "Hello  World\n\tAGAIN", "<|endoftext|> <|ENDOFTEXT|> a<|endoftext|>b", "x\u00a0y\u2003z \u0301a e\u0301",
+    "caf\u00c9 STRASSE \u1e9e \u0130", "it's we'll 12 345 ...!?", "\u65e5\u672c\u8a9e text", "\x00\x1c\x85", "a" * 3_000,
+]
+
+
+def test_what_parts_words(pair):
+    """A file that keeps spaces must not be taken for one that drops them."""
+    tokenizer, encoder = pair
+    assert encoder.by_word == (tokenizer.get_vocab_size() == 49_408)
+
+
+def test_samples_encode_like_whole_texts(pair):
+    tokenizer, encoder = pair
+    for samples in ([t for t in SAMPLES if "<|" not in (t or "")], SAMPLES, SAMPLES):  # the last from memory
+        want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in samples]
+        assert encoded(encoder, samples) == want
+    assert encoded(encoder, []) == []
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(max_size=40), max_size=5))
-def test_words_encode_like_whole_texts(texts):
+@given(
+    st.lists(
+        st.text(st.characters(exclude_categories=["Cs"]), max_size=40)
+        | st.text("aZs't.,-'\u00e9\u0301 1<|>\n", max_size=30),
+        max_size=5,
+    )
+)
+def test_words_encode_like_whole_texts(pair, texts):
+    tokenizer, encoder = pair
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert encoded(encoder, texts) == want
+
+
+def test_forgetting_changes_nothing(monkeypatch, tokenizer):
+    monkeypatch.setattr(token_store, "REMEMBERED_BYTES", 100)
+    monkeypatch.setattr(words, "PIECE_BYTES", 50)
+    encoder = WordEncoder(PATH)
+    texts = [f"some words {i % 7} again and again {i}" for i in range(60)]
+    assert encoded(encoder, texts) == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_a_store_of_another_tokenizer(spark, odd):
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(PATH) if not hasattr(test_words_encode_like_whole_texts, "t") else test_words_encode_like_whole_texts.t
-    test_words_encode_like_whole_texts.t = whole
-    texts = [t for t in texts if not any(0xD800 <= ord(c) < 0xE000 for c in t)]
-    got = WordEncoder(PATH).encode(texts, 2)
-    for text, ids in zip(texts, got):
-        assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2]
+    path, file = fresh_path(spark, "test"), public_tokenizers.path("byte_bpe_50k.json")
+    write_tokens(odd, path, file)
+    whole = Tokenizer.from_file(file)
+    want = sorted(len(whole.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in fixtures.rows())
+    assert sorted(r.n_tokens for r in read_tokens(spark, path).collect()) == want
 
 
 def test_store_matches_the_library(spark, odd, tokenizer):
