@@ -114,15 +114,17 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     For an intermediate result that is used more than once and dear to compute:
     it outlives lost executors, and the plan starts anew from the files. Within
-    ``scratch`` the table goes when that ends.
+    ``scratch`` the table goes when that ends; one to ``keep`` belongs to the scope
+    around it, if there is any.
     """
     path = fresh_path(df.sparkSession, "tables")
-    if _SCRATCH:
-        _SCRATCH[-1].append(path)
+    scopes = _SCRATCH[:-1] if keep else _SCRATCH
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
