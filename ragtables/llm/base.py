@@ -47,6 +47,14 @@ def put(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *[value.alias(name) for name, value in columns.items()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it a new column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # A table of at most this many narrow rows (some tens of bytes) may be broadcast.
 BROADCAST_ROWS = 500_000
 

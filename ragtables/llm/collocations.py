@@ -46,6 +46,8 @@ HELD_WORDS = 1_500_000
 FILTER_SHARE = 16
 FILTER_BITS = 1 << 27
 SCALE = 1_000_000
+# Parts of a language that are ranked by themselves before it is ranked as a whole.
+RANKED_PARTS = 64
 
 
 # --------------------------------------------------------------------- parsing
@@ -370,9 +372,17 @@ def collocations(
                 F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a"))
             ).drop("longer")
         found = scored if found is None else found.union(scored)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # The first of each part of a language, then of those the first of the language.
+    order = (F.desc("score"), F.desc("a"), F.col("phrase"))
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)).alias("part")
+    in_part = Window.partitionBy("lang", "part").orderBy(*order)
+    first = (
+        found.select("*", part)
+        .withColumn("rank", F.row_number().over(in_part))
+        .filter(F.col("rank") <= top)
+    )
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .filter(F.col("rank") <= top)
         .join(sent(totals), "lang")
         .select(

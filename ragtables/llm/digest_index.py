@@ -22,10 +22,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragtables.llm.base import put
-from ragtables.sources.storage import exists, materialize
+from ragtables.llm.base import free_name, put
+from ragtables.sources.storage import exists, is_complete, materialize
 
 BUCKETS = 64
+BUCKET_ROWS = 4_000_000
 
 
 def digest(text: Column) -> Column:
@@ -37,10 +38,27 @@ def digest(text: Column) -> Column:
 class DigestIndex:
     """An index at a path of the shared storage."""
 
-    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = BUCKETS) -> None:
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        id_type: str = "bigint",
+        buckets: int | None = None,
+        expected_rows: int = 0,
+    ) -> None:
+        """Opens the index, or makes it with ``buckets``, by default one for each
+        ``BUCKET_ROWS`` that are expected and ``BUCKETS`` at least. The number is kept
+        beside the index; one that is opened has the number it was made with."""
+        self.spark, self.path = spark, path.rstrip("/")
+        layout = f"{self.path}_layout"
+        if not is_complete(spark, layout):
+            if exists(spark, self.path):
+                raise ValueError(f"{self.path} is there, but not how many buckets it has")
+            wanted = buckets or max(BUCKETS, -(-expected_rows // BUCKET_ROWS))
+            row = spark.createDataFrame([(wanted,)], "buckets int")
+            row.coalesce(1).write.mode("overwrite").parquet(layout)
+        self.buckets = buckets = spark.read.parquet(layout).first()["buckets"]
         self.name = f"digests_{uuid.uuid5(uuid.NAMESPACE_URL, self.path).hex}"
-        # The number of buckets is fixed when the folder is made.
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest string, keep_id {id_type}, batch string)"
             f" USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS"
@@ -86,8 +104,12 @@ def deduplicate(
         rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     )
     index.append(groups.select("digest", "keep_id"), batch)
-    stays = groups.select("digest", "group_size").join(
-        index.table().select("digest", "keep_id", "batch").hint("merge"), "digest"
+    # Stored, so that the join below is not bound to the buckets: Spark may then split a
+    # digest that very many rows share.
+    stays = materialize(
+        groups.select("digest", "group_size").join(
+            index.table().select("digest", "keep_id", "batch").hint("merge"), "digest"
+        )
     )
     return rows.join(stays, "digest").select(
         F.col("doc_id").alias(doc_id),
@@ -101,11 +123,12 @@ def deduplicate(
 def distinct_documents(docs: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text``, and what else there is) whose text is
     new to the index, one row of each."""
+    keep_id, kept_digest, own_digest = (free_name(docs, n) for n in ("keep_id_", "digest_", "own_digest_"))
     kept = deduplicate(docs, index, batch).filter("kept")
     keys = kept.select(
-        F.col("doc_id").alias("keep_id_"), F.col("text_sha256").alias("digest_")
+        F.col("doc_id").alias(keep_id), F.col("text_sha256").alias(kept_digest)
     ).distinct()
-    marked = put(docs, own_digest_=digest(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("keep_id_")) & (F.col("own_digest_") == F.col("digest_"))
-    found = marked.join(keys, same, "left_semi").dropDuplicates(["doc_id", "own_digest_"])
-    return found.drop("own_digest_")
+    marked = put(docs, **{own_digest: digest(F.col("text"))})
+    same = F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(own_digest) == F.col(kept_digest))
+    found = marked.join(keys, same, "left_semi").dropDuplicates(["doc_id", own_digest])
+    return found.drop(own_digest)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragtables.llm import words
-from ragtables.llm.base import sent
+from ragtables.llm.base import free_name, sent
 from ragtables.llm.connected import components
 from ragtables.sources.storage import materialize
 
@@ -313,13 +313,15 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     wanted = materialize(classes.select("c", "key").join(named, "c", "left_semi"))
     bits = wanted.mapInArrow(_bloom, "bits binary").repartition(1).mapInArrow(_or, "bits binary").first()
     shared = spark.sparkContext.broadcast(bits["bits"] if bits else bytes(BLOOM_BITS // 8))
-    return materialize(
+    sets = materialize(
         rows.select("key", "text")
         .mapInArrow(_wanted_sets(shared), "key long, found binary")
         .join(sent(wanted), "key")
         .select("c", "found")
         .dropDuplicates(["c"])
     )
+    shared.destroy()
+    return sets
 
 
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -600,6 +602,7 @@ def _joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             " bits binary, short binary, prefix array<struct<token: long, salt: int>>",
         )
     )
+    levels.destroy()
     first = (
         described.filter("n > 0")
         .groupBy("c", "c2")
@@ -671,6 +674,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text``, and what else there is) with one
     document of each component: that with the least id and, where several have it,
     the least hash of its text. Rows that agree in id and text are one document."""
+    extra_id, extra_hash = free_name(docs, "extra_id_"), free_name(docs, "extra_hash_")
     found = materialize(_joined(docs))
     several = materialize(
         found.filter("doc_id = component_id and root is not null")
@@ -683,12 +687,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     extra = materialize(
         other_id.select("doc_id", "text_hash")
         .unionByName(same_id.select("doc_id", "text_hash"))
-        .select(F.col("doc_id").alias("extra_id_"), F.col("text_hash").alias("extra_hash_"))
+        .select(F.col("doc_id").alias(extra_id), F.col("text_hash").alias(extra_hash))
         .distinct()
     )
-    own = docs["doc_id"].eqNullSafe(F.col("extra_id_")) & (
-        F.xxhash64(docs["text"]) == F.col("extra_hash_")
-    )
+    own = docs["doc_id"].eqNullSafe(F.col(extra_id)) & (F.xxhash64(docs["text"]) == F.col(extra_hash))
     kept = docs.join(sent(extra), own, "left_anti")
     if found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
         return kept

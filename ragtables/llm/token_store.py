@@ -300,6 +300,7 @@ def write_tokens(
     ordered.mapInArrow(_blocks(shared, block_ids), kind).write.option(
         "compression", "none"
     ).parquet(f"{path}/blocks")
+    shared.destroy()
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "n_tokens")
     sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

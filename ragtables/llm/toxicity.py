@@ -18,6 +18,7 @@ copies of one label count once in learning; extra columns pass through.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ragtables.functions.draws import keyed_uniform
 from ragtables.llm import words
-from ragtables.llm.base import put
+from ragtables.llm.base import free_name, put
 from ragtables.sources.storage import materialize
 
 # Characters that stand for letters.
@@ -173,13 +174,24 @@ def hits(folded: str, terms: ahocorasick.Automaton) -> Iterator[tuple[float, str
     for start, (_, weight) in best.items():
         stop = text.index(" ", start)
         word = text[start:stop]
-        before = text[max(0, start - 80) : start].split()
-        after = text[stop : stop + 80].split()
-        yield (
-            weight,
-            f"{before[-1]} {word}" if before else word,
-            f"{word} {after[0]}" if after else word,
-        )
+        before, after = _neighbours(text, start, stop)
+        yield weight, f"{before} {word}" if before else word, f"{word} {after}" if after else word
+
+
+_WORD = re.compile(r"\S+")
+
+
+def _neighbours(text: str, start: int, stop: int) -> tuple[str, str]:
+    """The whole words before ``start`` and after ``stop``, however long; empty at the
+    edge of the text."""
+    end = start
+    while end and text[end - 1].isspace():
+        end -= 1
+    begin = end
+    while begin and not text[begin - 1].isspace():
+        begin -= 1
+    after = _WORD.search(text, stop)
+    return text[begin:end], after[0] if after else ""
 
 
 def _phrases(lexicon: Lexicon):
@@ -315,6 +327,7 @@ def learn_lexicon(
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0..1), ``n_hits`` and ``n_words`` (folded words)."""
-    rows = put(docs, toxicity_=scored(lexicon, text))
-    found = {n: F.col(f"toxicity_.{n}") for n in ("score", "n_hits", "n_words")}
-    return put(rows, **found).drop("toxicity_")
+    own = free_name(docs, "toxicity_")
+    rows = put(docs, **{own: scored(lexicon, text)})
+    found = {n: F.col(f"{own}.{n}") for n in ("score", "n_hits", "n_words")}
+    return put(rows, **found).drop(own)

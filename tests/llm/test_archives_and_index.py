@@ -111,7 +111,8 @@ def test_index_opens_by_path_and_joins_without_a_shuffle_of_it(spark, odd):
     index = DigestIndex(spark, path, buckets=4)
     deduplicate(odd, index, "one")
     index.drop()
-    again = DigestIndex(spark, path, buckets=4)
+    again = DigestIndex(spark, path, buckets=16)  # has the number it was made with
+    assert again.buckets == 4
     assert again.table().count() > 10
     batch = again.table().select("digest", "keep_id").limit(3)
     plan = again.unseen(batch)._jdf.queryExecution().executedPlan().toString()
@@ -119,6 +120,29 @@ def test_index_opens_by_path_and_joins_without_a_shuffle_of_it(spark, odd):
     assert again.unseen(batch).count() == 0
 
 
+def test_all_known_texts_are_found_whatever_bucket_count_is_asked_for(spark):
+    path = fresh_path(spark, "test")
+    rows = spark.range(200).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    first = DigestIndex(spark, path, buckets=16)
+    assert deduplicate(rows, first, "one").filter("kept").count() == 200
+    first.drop()
+    for number, asked in enumerate((None, 7)):
+        other = DigestIndex(spark, path, buckets=asked, expected_rows=10**9)
+        assert deduplicate(rows, other, f"again{number}").filter("kept").count() == 0
+        assert other.buckets == 16 and other.table().count() == 200
+        other.drop()
+    sized = DigestIndex(spark, fresh_path(spark, "test"), expected_rows=10**9)
+    assert sized.buckets == 250
+
+
+def test_columns_with_the_helpers_names_stay(spark, odd):
+    names = ["keep_id_", "digest_", "own_digest_"]
+    clash = odd.selectExpr("*", *[f"'mine' AS {n}" for n in names])
+    kept = distinct_documents(clash, DigestIndex(spark, fresh_path(spark, "test")), "b")
+    assert kept.columns == clash.columns
+    assert {tuple(r[n] for n in names) for r in kept.collect()} == {("mine",) * 3}
+
+
 def test_empty_batch(spark, none):
     index = DigestIndex(spark, fresh_path(spark, "test"), buckets=2)
     assert deduplicate(none, index, "one").count() == 0 and index.table().count() == 0

@@ -51,6 +51,8 @@ def test_matches_a_search_of_all_windows(spark, odd):
     assert sum(w[2] > 0 for w in want) > 8
     kept = clean_documents(odd, table)
     assert kept.columns == odd.columns
+    clash = odd.selectExpr("*", "1 AS bad_id_", "2 AS bad_hash_")
+    assert clean_documents(clash, table).columns == clash.columns
     assert kept.count() == sum(not w[5] for w in want)
 
 

@@ -92,6 +92,33 @@ def test_similar_sets_share_enough_of_their_prefixes(seed):
         assert 180 * apart <= 20 * (len(a) + len(b))
 
 
+def test_short_signatures_keep_links_and_part_most_others():
+    draw = np.random.default_rng(4)
+    base = [np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (3, 60, 700, 1_500, 9_000, 40_000)]
+    sets = []
+    for b in base:
+        near = b.copy()
+        near[: len(b) // 10] = draw.integers(0, 1 << 63, len(b) // 10, dtype=np.uint64)
+        sets += [b, np.unique(near), np.unique(draw.integers(0, 1 << 63, len(b), dtype=np.uint64))]
+    signed = nj._Signatures([nj._short(s) for s in sets])
+    x, y = (i.ravel() for i in np.meshgrid(range(len(sets)), range(len(sets))))
+    size = np.array([len(s) for s in sets])
+    near = signed.near(x, y, size[x] + size[y])
+    for i, j, kept in zip(x.tolist(), y.tolist(), near):
+        shared = len(np.intersect1d(sets[i], sets[j]))
+        if 100 * shared >= 80 * (size[i] + size[j] - shared):
+            assert kept
+        elif 60 <= min(size[i], size[j]) and max(size[i], size[j]) < 10_000:
+            assert not kept
+
+
+def test_columns_with_the_helpers_names_stay(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "x", "y"), (2, text, "x", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra_id_ string, Extra_Hash_ string")
+    assert [tuple(r) for r in nj.one_of_each(df).collect()] == rows[:1]
+
+
 def test_components(spark):
     links = [(1, 2), (3, 2), (5, 4), (7, 7), (None, 1)] + [(100 + i, 101 + i) for i in range(60)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()

@@ -95,3 +95,14 @@ def test_a_clean_original_does_not_hide_its_toxic_copies(spark):
     )
     word = fold("blorgh", folding_table())
     assert any(word.startswith(t) for t in lexicon.weights)
+
+
+def test_neighbours_are_whole_words_however_long(spark):
+    long = "z" * 5_000
+    lexicon = Lexicon({"moron": 3.0}, frozenset({f"{long} moron", f"moron {long}"}), 0.5)
+    table, terms = folding_table(), automaton(lexicon)
+    for text, n in ((f"{long} moron", 0), (f"{long}  moron", 0), (f"moron {long}", 0), (f"z{long} moron", 1), ("moron", 1)):
+        assert evidence(text, lexicon, terms, table)[1] == n
+    df = spark.createDataFrame([(1, "you moron", "mine")], "doc_id long, text string, toxicity_ string")
+    row = score_toxicity(df, lexicon).first()
+    assert row.toxicity_ == "mine" and row.n_hits == 1
