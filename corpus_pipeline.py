@@ -2,7 +2,8 @@
 and encoded, each stage on what its predecessor kept.
 
 Every stage but the last returns the columns of ``documents``. ``run`` writes each
-stage's rows as Parquet to the shared folder and reads them again.
+stage's rows as Parquet to the shared folder and reads them again; what a stage stored
+for itself goes when it ends.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from ragtables.llm.ngram_join import one_of_each
 from ragtables.llm.queries import learnable, tokenizer_path
 from ragtables.llm.token_store import read_tokens, write_tokens
 from ragtables.llm.toxicity import acceptable, learn_lexicon
-from ragtables.sources.storage import fresh_path, materialize
+from ragtables.sources.storage import fresh_path, materialize, scratch
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), keep=True)
     return docs
