@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragtables.llm import words
-from ragtables.llm.base import free_name, sent
+from ragtables.llm.base import free_name, released, sent, small_batches
 from ragtables.llm.connected import components
 from ragtables.sources.storage import materialize
 
@@ -161,9 +161,9 @@ def frequencies(texts: DataFrame) -> Frequencies:
     """Levels of all shingles of the texts."""
     kind = "slice int, counts binary, fine binary"
     rows = (
-        texts.mapInArrow(_count, kind)
+        texts.mapInArrow(released(_count), kind)
         .repartition("slice")
-        .mapInArrow(_add, kind)
+        .mapInArrow(released(_add), kind)
         .collect()  # BUCKETS and FINE counters
     )
     counts = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
@@ -311,11 +311,11 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     spark = pairs.sparkSession
     named = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
     wanted = materialize(classes.select("c", "key").join(named, "c", "left_semi"))
-    bits = wanted.mapInArrow(_bloom, "bits binary").repartition(1).mapInArrow(_or, "bits binary").first()
+    bits = wanted.mapInArrow(released(_bloom), "bits binary").repartition(1).mapInArrow(released(_or), "bits binary").first()
     shared = spark.sparkContext.broadcast(bits["bits"] if bits else bytes(BLOOM_BITS // 8))
     sets = materialize(
         rows.select("key", "text")
-        .mapInArrow(_wanted_sets(shared), "key long, found binary")
+        .mapInArrow(released(_wanted_sets(shared)), "key long, found binary")
         .join(sent(wanted), "key")
         .select("c", "found")
         .dropDuplicates(["c"])
@@ -342,7 +342,7 @@ def _signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             F.col("c").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}")
         )
         pairs = pairs.join(own, side)
-    return pairs.mapInArrow(_possible, "a long, b long")
+    return pairs.mapInArrow(released(_possible), "a long, b long")
 
 
 def _verify(percent: int) -> object:
@@ -367,7 +367,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     right = sets.select(F.col("c").alias("a"), F.col("found").alias("found_a"))
     full = pairs.join(left, "b").join(right, "a")
     return full.select("a", "b", "found_a", "found_b").mapInArrow(
-        _verify(PERCENT), "a long, b long"
+        released(_verify(PERCENT)), "a long, b long"
     )
 
 
@@ -569,7 +569,7 @@ def _candidates(labelled: DataFrame, classes: DataFrame) -> DataFrame:
     return (
         rows.repartition("head", "i", "j")
         .sortWithinPartitions("head", "token", "i", "j")
-        .mapInArrow(_cross, "a long, b long, needed int, hits long")
+        .mapInArrow(released(_cross), "a long, b long, needed int, hits long")
         .groupBy("a", "b")
         .agg(F.sum("hits").alias("hits"), F.min("needed").alias("needed"))
         .filter("hits >= needed")
@@ -586,6 +586,11 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def _joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The same with the ``root`` of each component, null for a text without words.
     Components may have the same least id where ids are repeated."""
+    with small_batches(docs.sparkSession):
+        return _components_of(docs, doc_id, text)
+
+
+def _components_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
@@ -597,7 +602,7 @@ def _joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     id_type = rows.schema["doc_id"].dataType.simpleString()
     described = materialize(
         rows.drop("key").mapInArrow(
-            _describe(levels),
+            released(_describe(levels)),
             f"doc_id {id_type}, text_hash long, n long, c long, c2 long, extra int,"
             " bits binary, short binary, prefix array<struct<token: long, salt: int>>",
         )

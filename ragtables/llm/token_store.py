@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ragtables.llm import words
+from ragtables.llm.base import released, small_batches
 from ragtables.llm.rans import Decoder, Table, encode
 from ragtables.sources.storage import materialize
 
@@ -276,11 +277,12 @@ def write_tokens(
     """Encodes ``doc_id, text`` with the tokenizer file and writes the store."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    tokens = materialize(
-        docs.select("doc_id", "text").mapInArrow(
-            _tokenise(tokenizer, end), f"doc_id {id_type}, n_tokens long, ids binary"
+    with small_batches(spark):
+        tokens = materialize(
+            docs.select("doc_id", "text").mapInArrow(
+                released(_tokenise(tokenizer, end)), f"doc_id {id_type}, n_tokens long, ids binary"
+            )
         )
-    )
     counted = (
         tokens.select("ids", "n_tokens").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     ).collect()  # a row per id of the vocabulary
