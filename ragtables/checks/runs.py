@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from ragtables.checks.corpus import SQL_CHUNKS, SQL_CLEAN
 from ragtables.operators import columns, corpus, generation, prompts, retrieval
 from ragtables.plans.prepare import Checkpoints, Step, run_steps
 from ragtables.sources import storage, tables
-from ragtables.streaming.generation import stream_generate
+from ragtables.sources.predictions import PredictionStore
+from ragtables.streaming.generation import run_until_answered, stream_generate
 
 
 def echo_model():
@@ -146,7 +149,72 @@ def stream_generated(spark: SparkSession, folder: str) -> DataFrame:
         stream_generate(
             rows, f"{base}/out", f"{base}/progress", "text", "role", echo_model
         ).awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("error")
+    return PredictionStore(spark, f"{base}/out").table().drop("error")
+
+
+@check(
+    f"""WITH {SQL_QA}
+        SELECT row_id, answer AS target, CAST(NULL AS VARCHAR) AS error,
+               CASE WHEN length(query) % 3 = 0 THEN 2 ELSE 1 END AS times_asked,
+               CASE WHEN length(query) % 3 = 0 THEN {_SQL_ECHO}
+                    ELSE 'first run: ' || query END AS text FROM qa"""
+)
+def stream_then_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream fails for some rows; a batch job on the same store asks for those
+    alone, and a second job for none."""
+    rows = qa(spark, folder).select("row_id", "query", "answer")
+    base = storage.fresh_path(spark, "stream")
+    rows.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    stream_generate(
+        stream, f"{base}/out", f"{base}/progress", "query", "answer", flaky_model
+    ).awaitTermination()
+    for _ in range(2):
+        best = generation.generate_resumable(rows, f"{base}/out", "query", "answer", echo_model)
+    stored = PredictionStore(spark, f"{base}/out").table()
+    times = stored.groupBy("row_id").agg(F.count("*").cast("int").alias("times_asked"))
+    return best.join(times, "row_id")
+
+
+def down_until(moment: float):
+    """Stand-in for a model that is down for some prompts until a moment."""
+
+    def make():
+        answer = echo_model()
+
+        def asked(prompts: list[str]) -> list[str]:
+            if time.time() < moment and any(len(p) % 3 == 0 for p in prompts):
+                raise RuntimeError("down")
+            return answer(prompts)
+
+        return asked
+
+    return make
+
+
+@check(
+    f"""SELECT conv_id || ':' || turn AS row_id, {_SQL_ECHO.replace("query", "text")} AS text,
+               role AS target, CAST(NULL AS VARCHAR) AS error
+        FROM conversations WHERE role = 'user'"""
+)
+def stream_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """The user turns as a stream, with a model that is down at first for a third of
+    them. All are answered in one run; a restart finds nothing to do."""
+    schema = table(spark, folder, "conversations").schema
+    base = storage.fresh_path(spark, "stream")
+    model = down_until(time.time() + 8)
+    for _ in range(2):
+        turns = spark.readStream.schema(schema).parquet(
+            folder, pathGlobFilter="conversations.parquet"
+        )
+        rows = turns.filter("role = 'user'").select(
+            F.concat_ws(":", "conv_id", "turn").alias("row_id"), "text", "role"
+        )
+        query = stream_generate(
+            rows, f"{base}/out", f"{base}/progress", "text", "role", model, tries=1_000, wait=1.0
+        )
+        run_until_answered(query)
+    return PredictionStore(spark, f"{base}/out").table()
 
 
 @check("SELECT doc_id, text, lang, source, n_chars FROM documents")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ragtables.operators.columns import quoted, require
 from ragtables.operators.prompts import inference_messages
 from ragtables.sources import storage
-from ragtables.sources.tables import append_predictions, read_predictions
+from ragtables.sources.predictions import MANY_BATCHES, PredictionStore, prediction_schema
 
 Model = Callable[[list], Sequence[str]]
 
@@ -104,13 +104,6 @@ def chat(
     return done.withColumn(answer_key, answer).drop("_messages")
 
 
-def remaining(df: DataFrame, done: DataFrame, key: str = "row_id") -> DataFrame:
-    """Rows without a prediction. A failed one does not count."""
-    if "error" in done.columns:
-        done = done.filter(F.col("error").isNull())
-    return df.join(done.select(key), key, "left_anti")
-
-
 def generate_resumable(
     df: DataFrame,
     path: str,
@@ -123,31 +116,30 @@ def generate_resumable(
     pause: float = 0.0,
     failed_share: float = 0.0,
 ) -> DataFrame:
-    """Generate what a prediction table lacks, append it, and return the table.
-
-    Each of the ``rounds`` handles an even share of the keys and commits on its
-    own, so that a broken run loses one round at most. A failed prompt is stored
-    with its ``error`` and a null text, and counts as lacking: the next run asks
-    again. If more than ``failed_share`` of a round's prompts fail, the run ends
-    with an error once that round is stored.
+    """Generate what a prediction store lacks, add it, and return the predictions.
+
+    What is lacking is found once, without moving the store. Each of the ``rounds``
+    handles an even share of it and commits on its own, so that a broken run loses one
+    round at most. A failed prompt is stored with its ``error`` and a null text, and
+    counts as lacking: the next run asks again. If more than ``failed_share`` of a
+    round's prompts fail, the run ends with an error once that round is stored. A
+    store of very many batches is compacted first.
     """
     spark: SparkSession = df.sparkSession
     require(df, [key, input_key, target_key])
-    # The schema is known, so Spark need not open the files to learn it.
-    schema = T.StructType(
-        [
-            T.StructField(key, df.schema[key].dataType),
-            T.StructField("text", T.StringType()),
-            T.StructField("target", df.schema[target_key].dataType),
-            T.StructField("error", T.StringType()),
-        ]
-    )
-    share = F.pmod(F.xxhash64(quoted(key)), F.lit(rounds))
+    store = PredictionStore(spark, path, prediction_schema(df, key, target_key), key)
+    batches = store.batches()
+    if len(batches) > MANY_BATCHES:
+        store.compact()
+    lacking = store.remaining(df) if batches else df
+    if rounds > 1:
+        share = F.pmod(F.xxhash64(quoted(key)), F.lit(rounds)).alias("_round")
+        asked = lacking.select(quoted(key), quoted(input_key), quoted(target_key), share)
+        lacking = storage.materialize(asked)
     for number in range(rounds):
-        todo = df if rounds == 1 else df.filter(share == number)
-        if storage.exists(spark, path):
-            done = spark.read.schema(schema).parquet(path)
-            todo = remaining(todo, done, key)
+        todo = lacking.filter(F.col("_round") == number).drop("_round") if rounds > 1 else lacking
+        if rounds > 1 or not batches:  # else they come by bucket from the anti-join
+            todo = todo.repartition(store.buckets, quoted(key))
         answered = generate(
             todo, input_key, "text", make_model, batch_size, pause, error_key="error"
         )
@@ -157,11 +149,11 @@ def generate_resumable(
             F.count(F.lit(1)).alias("asked"),
             F.count("error").alias("failed"),
         )
-        append_predictions(answered, path, key)
+        store.write(answered, placed=True)
         asked, failed = (seen.get.get(n, 0) for n in ("asked", "failed"))
         if failed > failed_share * asked:
             raise RuntimeError(
                 f"{failed} of {asked} prompts failed; answers are stored, and a"
                 " further run asks for the others"
             )
-    return read_predictions(spark, path, schema, key)
+    return store.best()

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ragtables.operators.columns import require
 from ragtables.sources import storage
+from ragtables.sources.predictions import PredictionStore, prediction_schema
 
 RESULTS = T.StructType(
     [
@@ -114,36 +115,30 @@ def read_text_folder(
 
 
 def append_predictions(
-    df: DataFrame, path: str, key: str = "row_id", extra: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    key: str = "row_id",
+    extra: Sequence[str] = (),
+    batch: str | None = None,
 ) -> None:
-    """Append ``key``, ``text``, ``target``, ``error`` (and extra columns) to a
-    prediction table. Rows without an ``error`` column are successes."""
+    """Add ``key``, ``text``, ``target``, ``error`` (and extra columns) to a prediction
+    store, as a new batch or in the place of that ``batch``. Rows without an ``error``
+    column are successes."""
     if "error" not in df.columns:
         df = df.withColumn("error", F.lit(None).cast("string"))
-    names = [key, "text", "target", "error", *extra]
-    df.select(*names).write.mode("append").parquet(path)
+    schema = prediction_schema(df, key, "target", extra)
+    PredictionStore(df.sparkSession, path, schema, key).write(df, batch)
 
 
-def read_predictions(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | str | None = None,
-    key: str = "row_id",
-) -> DataFrame:
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Predictions, one per key.
 
     A key may have been written more than once, by a restarted job or after a
     failure. A success wins over a failure, an answer over an empty one, and then
-    the least text, whatever the order of the files. The combine runs before the
-    shuffle.
+    the least text, whatever the order of the files. The store is grouped by its
+    buckets, without a shuffle.
     """
-    df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
-    rest = [c for c in df.columns if c != key]
-    failed = F.col("error").isNotNull() if "error" in rest else F.lit(False)
-    empty = F.coalesce(F.col("text") == "", F.lit(True))
-    rank = F.struct(failed, empty, "text")
-    row = F.min_by(F.struct(*rest), rank).alias("_row")
-    return df.groupBy(key).agg(row).select(key, "_row.*")
+    return PredictionStore(spark, path).best()
 
 
 def write_results(results: DataFrame, path: str) -> None:

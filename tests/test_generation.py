@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ragtables.operators import generation
 from ragtables.sources import tables
-from ragtables.streaming.generation import stream_generate
+from ragtables.sources.predictions import PredictionStore
+from ragtables.streaming.generation import run_until_answered, stream_generate
 
 
 def counting_model(folder):
@@ -180,7 +181,7 @@ def test_stream_takes_new_files_only(spark, data, tmp_path):
         stream_generate(
             stream, sink, str(tmp_path / "progress"), "prompt", "answers", counting_model(log)
         ).awaitTermination()
-        return spark.read.parquet(sink).count()
+        return PredictionStore(spark, sink).table().count()
 
     data.filter("row_id < 'r2'").write.json(source)
     first = run()
@@ -194,3 +195,151 @@ def test_stream_takes_new_files_only(spark, data, tmp_path):
 def test_stream_needs_a_stream(data):
     with pytest.raises(ValueError):
         stream_generate(data, "x", "y", "prompt", "answers", failing_model())
+
+
+def stream_of(spark, df, folder):
+    df.write.json(folder)
+    return spark.readStream.schema(df.schema).json(folder)
+
+
+def test_batch_and_stream_share_a_store(spark, tmp_path):
+    """No answer is lost and none is asked for twice, whichever wrote it."""
+    path = str(tmp_path / "predictions")
+    rows = spark.createDataFrame(
+        [(i, "bad" if i < 4 else f"p{i}", "t") for i in range(20)], "row_id int, prompt string, answers string"
+    )
+    stream = stream_of(spark, rows, str(tmp_path / "in"))
+    stream_generate(stream, path, str(tmp_path / "one"), "prompt", "answers", failing_model()).awaitTermination()
+    assert tables.read_predictions(spark, path).filter("error is not null").count() == 4
+    log = str(tmp_path / "log")
+    os.mkdir(log)
+    for _ in range(2):
+        done = generation.generate_resumable(rows, path, "prompt", "answers", counting_model(log))
+        assert {r.row_id: r.text for r in done.collect()} == {
+            i: "re: bad" if i < 4 else f"P{i}" for i in range(20)
+        }
+    assert calls(log) == {"bad": 4}
+    # Another checkpoint starts its batch numbers anew, and must not replace the first's.
+    again = spark.readStream.schema(rows.schema).json(str(tmp_path / "in"))
+    stream_generate(again, path, str(tmp_path / "two"), "prompt", "answers", failing_model()).awaitTermination()
+    assert PredictionStore(spark, path).table().count() == 20 + 4 + 20
+    assert tables.read_predictions(spark, path).filter("error is not null").count() == 0
+
+
+def test_a_batch_written_again_replaces_itself(spark, data, tmp_path):
+    path = str(tmp_path / "predictions")
+    rows = data.selectExpr("row_id", "prompt AS text", "answers AS target")
+    for _ in range(2):
+        tables.append_predictions(rows, path, batch="one")
+    tables.append_predictions(rows.filter("row_id < 'r2'"), path, batch="two")
+    store = PredictionStore(spark, path)
+    assert store.batches() == ["one", "two"]
+    assert store.table().count() == 40 + rows.filter("row_id < 'r2'").count()
+
+
+def test_what_is_done_is_not_moved(spark, data, tmp_path):
+    path = str(tmp_path / "predictions")
+    tables.append_predictions(data.selectExpr("row_id", "prompt AS text", "answers AS target"), path)
+    store = PredictionStore(spark, path)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    lacking = plan(store.remaining(data))
+    assert "LeftAnti" in lacking and "Bucketed: true" in lacking
+    assert sum("Exchange hashpartitioning(row_id" in line for line in lacking.splitlines()) == 1
+    assert "Exchange" not in plan(store.best())
+
+
+def test_compacting_keeps_the_best_row_of_each_key(spark, data, tmp_path):
+    path = str(tmp_path / "predictions")
+    for n in range(3):
+        rows = data.selectExpr("row_id", f"if(row_id < 'r{n}', null, concat(prompt, {n})) AS text", "answers AS target",
+                               f"if(row_id < 'r{n}', 'down', null) AS error")
+        tables.append_predictions(rows, path, batch=f"b{n}")
+    before = sorted(map(tuple, tables.read_predictions(spark, path).collect()))
+    store = PredictionStore(spark, path, buckets=99)
+    store.compact()
+    assert len(store.batches()) == 1 and store.table().count() == 40
+    assert sorted(map(tuple, tables.read_predictions(spark, path).collect())) == before
+    folder = os.path.join(path, f"stored_in={store.batches()[0]}")
+    assert sum(n.endswith(".parquet") for n in os.listdir(folder)) <= store.buckets < 99
+
+
+def test_stores_are_told_apart_from_other_folders(spark, data, tmp_path):
+    rows = data.selectExpr("row_id", "prompt AS text", "answers AS target")
+    rows.write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="no store"):
+        tables.append_predictions(rows, str(tmp_path / "plain"))
+    os.makedirs(str(tmp_path / "sunk" / "_spark_metadata"))
+    with pytest.raises(ValueError, match="sink log"):
+        tables.append_predictions(rows, str(tmp_path / "sunk"))
+    tables.append_predictions(rows, str(tmp_path / "kept"))
+    with pytest.raises(ValueError, match="the store has"):
+        tables.append_predictions(rows.withColumn("target", F.lit(1)), str(tmp_path / "kept"))
+    with pytest.raises(FileNotFoundError):
+        tables.read_predictions(spark, str(tmp_path / "nowhere"))
+
+
+def failing_first(folder, times):
+    """A model that fails ``times`` times for each prompt with a 3, and counts its calls."""
+
+    def make():
+        def answer(prompts):
+            out = []
+            for p in prompts:
+                path = os.path.join(folder, str(p))
+                seen = os.path.getsize(path) if os.path.exists(path) else 0
+                if len(prompts) > 1 and any("3" in str(q) for q in prompts):
+                    raise RuntimeError("batch")  # each is then asked alone
+                with open(path, "a") as f:
+                    f.write("x")
+                if "3" in str(p) and seen < times:
+                    raise RuntimeError("down")
+                out.append(f"re: {p}")
+            return out
+
+        return answer
+
+    return make
+
+
+def test_a_stream_asks_again(spark, data, tmp_path):
+    log, path = str(tmp_path / "log"), str(tmp_path / "out")
+    os.mkdir(log)
+    stream = stream_of(spark, data, str(tmp_path / "in"))
+    for _ in range(2):  # the restart finds nothing to do
+        query = stream_generate(
+            stream, path, str(tmp_path / "progress"), "prompt", "answers", failing_first(log, 2), tries=5, wait=0.1
+        )
+        assert run_until_answered(query, 120)
+    rows = {r.row_id: (r.text, r.target, r.error) for r in PredictionStore(spark, path).table().collect()}
+    assert rows == {f"r{i}": (f"re: p{i}", ["t"], None) for i in range(40)}
+    assert PredictionStore(spark, path).table().count() == 40
+    assert calls(log) == {f"p{i}": 3 if "3" in str(i) else 1 for i in range(40)}
+
+
+def test_a_prompt_that_always_fails_is_stored_with_its_error(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(i, [("user", "bad" if i == 2 else f"p{i}")], {"a": i}) for i in range(6)],
+        "row_id bigint, prompt array<struct<role:string,content:string>>, answers map<string,int>",
+    )
+
+    def model():
+        def answer(chats):
+            if any(c[0]["content"] == "bad" for c in chats):
+                raise RuntimeError("no")
+            return [c[0]["content"].upper() for c in chats]
+
+        return answer
+
+    path = str(tmp_path / "out")
+    query = stream_generate(
+        stream_of(spark, rows, str(tmp_path / "in")), path, str(tmp_path / "progress"), "prompt", "answers", model,
+        tries=3, wait=0.1,
+    )
+    assert run_until_answered(query, 120)
+    got = {r.row_id: (r.text, r.target, r.error) for r in PredictionStore(spark, path).table().collect()}
+    assert got == {
+        i: (None, {"a": 2}, "RuntimeError: no") if i == 2 else (f"P{i}", {"a": i}, None) for i in range(6)
+    }
