@@ -22,6 +22,7 @@ import os
 import string
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,9 @@ from ragtables.sources.storage import materialize
 
 BLOCK_IDS = 1 << 20
 # A task forgets its words when what it keeps of them exceeds this.
-REMEMBERED_BYTES = 64_000_000
+REMEMBERED_BYTES = 32_000_000
+# Texts whose words are looked up at a time, in bytes.
+PIECE_BYTES = 500_000
 
 
 # Fixed value: the word pattern of a public tokenizer's file. By it, a word also ends
@@ -82,22 +85,42 @@ def splits_at_spaces(tokenizer) -> bool:
     return not marks and not regex.search(r"\s", texts)
 
 
+class Kind(NamedTuple):
+    """What is to know of a tokenizer file before texts are cut for it."""
+
+    by_word: bool
+    fold: bool
+    marks: bool  # words also end between letters and marks
+    special: tuple[str, ...]
+
+
+def kind_of(path: str) -> Kind:
+    """Reads the file's steps, once for a job; the tasks need not hold them."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    state = json.loads(tokenizer.to_str())
+    return Kind(
+        splits_at_spaces(tokenizer),
+        '"Lowercase"' in json.dumps(state["normalizer"]),
+        WORD_PATTERN in json.dumps(state["pre_tokenizer"]).replace("\\\\", "\\"),
+        tuple(t["content"] for t in state["added_tokens"]),
+    )
+
+
 class WordEncoder:
     """Ids of texts. Where white space parts the tokenizer's words, a task encodes each
     distinct word once, known by its hash, and gathers the rest by array arithmetic;
     else it encodes whole texts."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kind: Kind | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = splits_at_spaces(self.tokenizer)
-        state = json.loads(self.tokenizer.to_str())
         self.model = self.tokenizer.model
-        self.special = [t["content"] for t in state["added_tokens"]]
-        self.fold = '"Lowercase"' in json.dumps(state["normalizer"])
-        self.kinds = _KINDS if WORD_PATTERN in json.dumps(state["pre_tokenizer"]).replace("\\\\", "\\") else None
+        self.by_word, self.fold, marks, self.special = kind or kind_of(path)
+        self.kinds = _KINDS if marks else None
         self._clear()
 
     def _clear(self) -> None:
@@ -156,7 +179,8 @@ class WordEncoder:
         plain = not any(
             pa.compute.any(pa.compute.match_substring(texts, t, ignore_case=True)).as_py() for t in self.special
         )
-        for piece in words.pieces(texts, words.SPACES, plain and self.fold, self.kinds if plain else None):
+        kinds = self.kinds if plain else None
+        for piece in words.pieces(texts, words.SPACES, plain and self.fold, kinds, PIECE_BYTES):
             if 8 * 4 * len(self.sizes) + 4 * len(self.flat) > REMEMBERED_BYTES:
                 self._clear()
             numbers = self._numbers(piece, plain and self.fold and self.kinds is not None)
@@ -195,11 +219,11 @@ def _groups(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]
     yield from zip(cuts[:-1], cuts[1:])
 
 
-def _tokenise(path: str, end: int):
+def _tokenise(path: str, kind: Kind, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or WordEncoder(path)
+            encoder = encoder or WordEncoder(path, kind)
             for start, ids in encoder.encode(batch["text"], end):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -280,7 +304,7 @@ def write_tokens(
     with small_batches(spark):
         tokens = materialize(
             docs.select("doc_id", "text").mapInArrow(
-                released(_tokenise(tokenizer, end)), f"doc_id {id_type}, n_tokens long, ids binary"
+                released(_tokenise(tokenizer, kind_of(tokenizer), end)), f"doc_id {id_type}, n_tokens long, ids binary"
             )
         )
     counted = (

@@ -79,11 +79,15 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(
-    texts: pa.Array, separators: bytes, fold: bool = True, kinds: np.ndarray | None = None
+    texts: pa.Array,
+    separators: bytes,
+    fold: bool = True,
+    kinds: np.ndarray | None = None,
+    limit: int | None = None,
 ) -> Iterator[Words]:
     """The words of a batch of texts, some rows at a time; A-Z in lower case if told to
     ``fold``. With ``kinds`` (a number for each byte) a word also ends between bytes of
-    the kinds 1 and 2, in either order."""
+    the kinds 1 and 2, in either order. ``limit`` is the size of a piece in bytes."""
     at, raw = text_buffers(texts)
     n = len(at) - 1
     is_word = np.ones(256, dtype=bool)
@@ -93,8 +97,9 @@ def pieces(
         lower[65:91] += 32
     row = 0
     powers = inverse = np.zeros(0, np.uint64)
+    limit = limit or PIECE_BYTES
     while row < n:
-        stop = int(np.searchsorted(at, at[row] + PIECE_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(at, at[row] + limit, side="right")) - 1
         stop = min(n, max(stop, row + 1))
         data = lower[raw[at[row] : at[stop]]]
         edges = at[row : stop + 1] - at[row]

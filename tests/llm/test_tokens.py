@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import fixtures
-from ragtables.llm import rans, token_store, words
+from ragtables.llm import rans, token_store
 from ragtables.llm.token_store import WordEncoder, read_span, read_tokens, write_tokens
 from ragtables.sources.storage import fresh_path
 
@@ -110,7 +110,7 @@ def test_words_encode_like_whole_texts(pair, texts):
 
 def test_forgetting_changes_nothing(monkeypatch, tokenizer):
     monkeypatch.setattr(token_store, "REMEMBERED_BYTES", 100)
-    monkeypatch.setattr(words, "PIECE_BYTES", 50)
+    monkeypatch.setattr(token_store, "PIECE_BYTES", 50)
     encoder = WordEncoder(PATH)
     texts = [f"some words {i % 7} again and again {i}" for i in range(60)]
     assert encoded(encoder, texts) == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
