@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragtables.llm.base import table
+from ragtables.llm.base import small_batches, table
 from ragtables.llm.decontaminate import clean_documents
 from ragtables.llm.fair_queue import mixed_documents
 from ragtables.llm.ngram_join import one_of_each
@@ -63,6 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        with scratch(spark):
+        with scratch(spark), small_batches(spark):
             docs = materialize(stage(spark, docs, sf_dir), keep=True)
     return docs
