@@ -37,9 +37,10 @@ from ragtables.llm.base import released, small_batches
 from ragtables.llm.rans import Decoder, Table, encode
 from ragtables.sources.storage import materialize
 
-BLOCK_IDS = 1 << 20
+# A block is coded in arrays of 64-bit numbers, several of its length at once.
+BLOCK_IDS = 1 << 18
 # A task forgets its words when what it keeps of them exceeds this.
-REMEMBERED_BYTES = 32_000_000
+REMEMBERED_BYTES = 16_000_000
 # Texts whose words are looked up at a time, in bytes.
 PIECE_BYTES = 500_000
 
@@ -308,7 +309,7 @@ def write_tokens(
             )
         )
     counted = (
-        tokens.select("ids", "n_tokens").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        tokens.select("ids", "n_tokens").mapInArrow(released(_histogram), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     ).collect()  # a row per id of the vocabulary
     counts = np.zeros(max([r["id"] for r in counted], default=0) + 1, np.int64)
     for r in counted:
@@ -323,7 +324,7 @@ def write_tokens(
         " sizes array<long>, payload binary"
     )
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_blocks(shared, block_ids), kind).write.option(
+    ordered.mapInArrow(released(_blocks(shared, block_ids)), kind).write.option(
         "compression", "none"
     ).parquet(f"{path}/blocks")
     shared.destroy()
