@@ -16,7 +16,7 @@ from ragtables.checks.base import (
     titled,
 )
 from ragtables.functions import templates
-from ragtables.operators import columns, corpus, prompts, retrieval
+from ragtables.operators import codes, columns, corpus, prompts, retrieval
 from ragtables.sources.storage import materialize
 
 SQL_CLEAN = f"""{SQL_TITLED}, cleaned AS (
@@ -290,6 +290,91 @@ def ann_topk_measured(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Cuts of the vectors, and of them the centres that SQL knows too: the parts of the first.
+_PARTS, _FIRST = 16, 64
+
+
+def _read(found: DataFrame, many: int, recall: float, share: float) -> DataFrame:
+    return (
+        found.withColumn("candidates", F.lit(many))
+        .withColumn("recall", F.round(F.lit(recall), 6))
+        .withColumn("read_share", F.round(F.lit(share), 6))
+    )
+
+
+@check(
+    f"""WITH {_SQL_PAIRS}, parts AS (
+          SELECT vec_id, p, e[4 * p + 1 : 4 * p + 4] AS v
+          FROM (SELECT vec_id, embedding::DOUBLE[] AS e, unnest(range({_PARTS})) AS p
+                FROM embeddings)),
+        coded AS (
+          SELECT vec_id, flatten(list(centre ORDER BY p)) AS d FROM (
+            SELECT a.vec_id, a.p, c.v AS centre, row_number() OVER (PARTITION BY a.vec_id, a.p
+                     ORDER BY list_dot_product(a.v, c.v) - list_dot_product(c.v, c.v) / 2 DESC,
+                     c.vec_id) AS place
+            FROM parts a JOIN parts c ON c.p = a.p AND c.vec_id < {_FIRST})
+          WHERE place = 1 GROUP BY vec_id),
+        near AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS doc_id, row_number() OVER (
+                   PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], c.d) DESC,
+                   c.vec_id) AS place
+          FROM embeddings q JOIN coded c ON c.vec_id <> q.vec_id WHERE q.{_QUERY_SET}),
+        recalls AS (
+          SELECT n, avg(CAST(place <= n AS DOUBLE)) AS recall
+          FROM ranked JOIN near USING (query_id, doc_id)
+          CROSS JOIN range(10, (SELECT count(*) + 1 FROM embeddings)) AS r(n)
+          WHERE rank <= 10 GROUP BY n),
+        chosen AS (SELECT n, recall FROM recalls WHERE recall >= 0.9 ORDER BY n LIMIT 1),
+        read AS (
+          SELECT ((SELECT count(*) FROM embeddings) * {_PARTS}
+                   + count(DISTINCT doc_id) * 256.0) / ((SELECT count(*) FROM embeddings) * 256) AS share
+          FROM near CROSS JOIN chosen WHERE place <= n),
+        found AS (
+          SELECT query_id, doc_id, score, n, recall, row_number() OVER (
+                   PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+          FROM ranked JOIN near USING (query_id, doc_id) CROSS JOIN chosen WHERE place <= n)
+        SELECT query_id, doc_id, round(score, 6) AS score, CAST(found.rank AS INTEGER) AS rank,
+               CAST(n AS INTEGER) AS candidates, round(recall, 6) AS recall,
+               round(share, 6) AS read_share
+        FROM found CROSS JOIN read WHERE found.rank <= 10"""
+)
+def code_topk_measured(spark: SparkSession, folder: str) -> DataFrame:
+    """Search in codes around fixed centres: the hits of the query set, the candidates
+    that a recall of 0.9 takes, and the share of the vectors' bytes that they and the
+    codes have."""
+    vectors = table(spark, folder, "embeddings")
+    first = _fixed_centres(vectors, _FIRST)
+    book = codes.Codebook(tuple(np.split(first, _PARTS, axis=1)))
+    return _searched_codes(vectors, book)
+
+
+def _searched_codes(vectors: DataFrame, book: codes.Codebook) -> DataFrame:
+    stored = materialize(codes.encode_vectors(vectors, book).select("vec_id", "code"))
+    search = (vectors.filter(_QUERY_SET), vectors, stored, book, 10)
+    ids = ("vec_id", "vec_id")
+    many, recall = codes.candidates_for_recall(*search, 0.9, *ids, skip_equal_ids=True)
+    near = codes.code_topk(*search, many, *ids, skip_equal_ids=True, exact_scores=False)
+    share = codes.read_share(near, vectors.count(), book)
+    found = codes.code_topk(*search, many, *ids, skip_equal_ids=True)
+    return _read(_rounded(found), many, recall, share)
+
+
+@check(
+    f"""SELECT vec_id AS query_id, 10 AS hits, true AS recall_is_enough, true AS reads_a_quarter
+        FROM embeddings WHERE {_QUERY_SET}"""
+)
+def code_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with learned centres, which find as much with fewer candidates."""
+    vectors = table(spark, folder, "embeddings")
+    book = codes.learn_codebook(vectors, _PARTS, "vec_id")
+    found = _searched_codes(vectors, book)
+    return found.groupBy("query_id").agg(
+        F.count(F.lit(1)).cast("int").alias("hits"),
+        (F.min("recall") >= 0.9).alias("recall_is_enough"),
+        (F.max("read_share") <= 0.25).alias("reads_a_quarter"),
+    )
+
+
 @check(
     "SELECT vec_id AS query_id, 40 AS hits FROM embeddings"
 )

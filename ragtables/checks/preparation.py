@@ -454,6 +454,64 @@ def prompt_fewshot(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("row_id", "prompt")
 
 
+_INSTRUCTIONS = (
+    templates.INSTRUCTION_QA,
+    templates.INSTRUCTION_QA_SHORT,
+    templates.INSTRUCTION_YES_NO,
+    templates.INSTRUCTION_YES_NO_MAYBE,
+)
+
+
+@check(
+    f"""WITH {SQL_QA}
+        SELECT row_id, {_sql_template(templates.COT, context="answer", question="query")} AS cot,
+               {_sql_template(templates.COT_FEWSHOT, fewshot="query", context="answer",
+                              question="query")} AS cot_fewshot,
+               {_sql_template(templates.FACT_STATEMENT, i="turn", content="answer")} AS fact,
+               {_sql_template(templates.REASON_BEFORE_ANSWER, reasoning="answer")} AS reasoned
+        FROM qa"""
+)
+def prompt_reasoning(spark: SparkSession, folder: str) -> DataFrame:
+    """The layouts that ask for reasoning, with or without examples, and state facts."""
+    df = qa(spark, folder)
+    fields = {
+        "question": "query", "context": "answer", "fewshot": "query",
+        "content": "answer", "i": "turn", "reasoning": "answer",
+    }
+    layouts = {
+        "cot": templates.COT,
+        "cot_fewshot": templates.COT_FEWSHOT,
+        "fact": templates.FACT_STATEMENT,
+        "reasoned": templates.REASON_BEFORE_ANSWER,
+    }
+    for name, template in layouts.items():
+        df = prompts.text_prompt(df, template, fields, name)
+    return df.select("row_id", *layouts)
+
+
+@check(
+    f"""WITH {SQL_QA}, said AS (
+          SELECT unnest(range({len(_INSTRUCTIONS)})) AS kind,
+                 unnest({[*_INSTRUCTIONS]!r}) AS instruction)
+        SELECT row_id, CAST(kind AS INTEGER) AS kind, CAST(p AS INTEGER) AS position,
+               (['system', 'user'])[p + 1] AS role,
+               ([instruction, instruction || chr(10) || query])[p + 1] AS content
+        FROM qa, said, range(2) AS positions(p)"""
+)
+def instruction_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every question under each of the instructions that are provided."""
+    rows = qa(spark, folder)
+    for kind, instruction in enumerate(_INSTRUCTIONS):
+        rows = prompts.inference_messages(rows, "query", instruction, True, f"under_{kind}")
+    each = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(f"under_{kind}").alias("messages"))
+        for kind in range(len(_INSTRUCTIONS))
+    ])
+    flat = rows.select("row_id", F.explode(each).alias("asked"))
+    flat = flat.select("row_id", "asked.kind", F.posexplode("asked.messages").alias("position", "m"))
+    return flat.select("row_id", "kind", "position", "m.role", "m.content")
+
+
 def _turns(df: DataFrame) -> DataFrame:
     return df.select("row_id", F.posexplode("messages").alias("position", "m")).select(
         "row_id", "position", "m.role", "m.content"
