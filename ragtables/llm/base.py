@@ -51,18 +51,24 @@ def put(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BYTES = 4 << 20
 
 
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
     """Jobs that run inside hand whole texts to Python in batches of at most so many
-    rows, which bounds what a task holds on either side."""
-    before = spark.conf.get(_BATCH_ROWS)
-    spark.conf.set(_BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    rows and about ``SMALL_BYTES``, which bounds what a task holds on either side. A
+    longer text is a batch of its own."""
+    before = {name: spark.conf.get(name) for name in (_BATCH_ROWS, _BATCH_BYTES)}
+    known = int(before[_BATCH_ROWS])
+    spark.conf.set(_BATCH_ROWS, str(min(rows, known) if known > 0 else rows))
+    spark.conf.set(_BATCH_BYTES, f"{SMALL_BYTES}b")
     try:
         yield
     finally:
-        spark.conf.set(_BATCH_ROWS, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

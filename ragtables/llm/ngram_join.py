@@ -100,34 +100,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.bincount(_bucket(found), minlength=BUCKETS)
             place, n = np.unique(_fine(found), return_counts=True)
             fine[place] = np.minimum(255, fine[place] + n)
-    coarse_parts, fine_parts = counts.reshape(SLICES, -1), fine.reshape(SLICES, -1)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(range(SLICES), pa.int32()),
-            pa.array([p.tobytes() for p in coarse_parts], pa.binary()),
-            pa.array([p.tobytes() for p in fine_parts], pa.binary()),
-        ],
+    for part, pair in enumerate(zip(counts.reshape(SLICES, -1), fine.reshape(SLICES, -1))):
+        yield _slice(part, *pair)
+
+
+def _slice(part: int, counts: np.ndarray, fine: np.ndarray) -> pa.RecordBatch:
+    """A row with one slice of the counters, most of which are small numbers."""
+    cells = [pa.compress(c.tobytes(), "zstd", asbytes=True) for c in (counts, fine)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]],
         ["slice", "counts", "fine"],
     )
 
 
+def _counters(cell: bytes, size: int, kind: type) -> np.ndarray:
+    """The ``size // SLICES`` counters of a cell."""
+    n = size // SLICES
+    return np.frombuffer(pa.decompress(cell, n * np.dtype(kind).itemsize, "zstd"), kind)
+
+
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums the counters of each slice that this task holds."""
     sums: dict[int, np.ndarray] = {}
     fine: dict[int, np.ndarray] = {}
     for batch in batches:
         for i, part in enumerate(batch["slice"].to_pylist()):
-            sums[part] = sums.get(part, 0) + np.frombuffer(batch["counts"][i].as_buffer(), np.int64)
-            more = np.frombuffer(batch["fine"][i].as_buffer(), np.uint8).astype(np.uint16)
-            fine[part] = np.minimum(255, fine.get(part, 0) + more)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(list(sums), pa.int32()),
-            pa.array([s.tobytes() for s in sums.values()], pa.binary()),
-            pa.array([s.astype(np.uint8).tobytes() for s in fine.values()], pa.binary()),
-        ],
-        ["slice", "counts", "fine"],
-    )
+            sums[part] = sums.get(part, 0) + _counters(batch["counts"][i].as_py(), BUCKETS, np.int64)
+            more = _counters(batch["fine"][i].as_py(), FINE, np.uint8).astype(np.uint16)
+            fine[part] = np.minimum(255, fine.get(part, 0) + more).astype(np.uint8)
+    for part in sums:
+        yield _slice(part, sums[part], fine[part])
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -169,8 +171,8 @@ def frequencies(texts: DataFrame) -> Frequencies:
     counts = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
     fine = np.zeros((SLICES, FINE // SLICES), np.uint8)
     for r in rows:
-        counts[r["slice"]] = np.frombuffer(r["counts"], np.int64)
-        fine[r["slice"]] = np.frombuffer(r["fine"], np.uint8)
+        counts[r["slice"]] = _counters(r["counts"], BUCKETS, np.int64)
+        fine[r["slice"]] = _counters(r["fine"], FINE, np.uint8)
     return Frequencies(_levels(counts).reshape(-1), _fine_levels(fine))
 
 

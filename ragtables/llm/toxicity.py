@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ragtables.functions.draws import keyed_uniform
 from ragtables.llm import words
-from ragtables.llm.base import free_name, put
+from ragtables.llm.base import free_name, put, released
 from ragtables.sources.storage import materialize
 
 # Characters that stand for letters.
@@ -291,7 +291,7 @@ def learn_lexicon(
     chosen = F.broadcast(_sample(labels, seed, max_rows))  # bounded by max_rows
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
     rows = materialize(
-        rows.mapInArrow(_family, "text string, toxic int, family long")
+        rows.mapInArrow(released(_family), "text string, toxic int, family long")
         .groupBy("family", "toxic")
         .agg(F.min("text").alias("text"))
         .select("text", "toxic")
@@ -303,7 +303,7 @@ def learn_lexicon(
     if not n_pos:
         return Lexicon({}, fixed)
     terms = (
-        rows.mapInArrow(_count_terms, "term string, pos long, neg long")
+        rows.mapInArrow(released(_count_terms), "term string, pos long, neg long")
         .groupBy("term")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .filter((F.col("pos") >= max(4.0, 0.01 * n_pos)) & (F.col("pos") * n_neg > F.col("neg") * n_pos * 3))
@@ -311,7 +311,7 @@ def learn_lexicon(
     )
     lexicon = Lexicon(_chosen(terms, n_pos, n_neg, least_odds), fixed)
     benign = (
-        rows.mapInArrow(_phrases(lexicon), "phrase string, toxic int")
+        rows.mapInArrow(released(_phrases(lexicon)), "phrase string, toxic int")
         .groupBy("phrase")
         .agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
         .filter((F.col("n") >= 5) & (F.col("pos") < 0.1 * F.col("n")))
