@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ragtables.functions.text import let
 from ragtables.llm.base import free_name, lower_ascii, sent
-from ragtables.sources.storage import materialize
+from ragtables.sources.storage import materialize, scratch
 
 WINDOW = 13
 GRAM = 7
@@ -202,12 +202,14 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept."""
     bad_id, bad_hash = free_name(docs, "bad_id_"), free_name(docs, "bad_hash_")
-    bad = materialize(
-        contamination(docs, items)
-        .filter("contaminated")
-        .select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash))
-        .distinct()
-    )
+    with scratch(docs.sparkSession):
+        bad = materialize(
+            contamination(docs, items)
+            .filter("contaminated")
+            .select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash))
+            .distinct(),
+            keep=True,
+        )
     kept = docs.join(
         sent(bad),
         docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_hash)),

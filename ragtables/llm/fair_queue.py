@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragtables.functions.draws import DRAW_BITS, keyed_hash
-from ragtables.sources.storage import materialize
+from ragtables.sources.storage import materialize, scratch
 
 SEED = 11
 RANGES = 4096
@@ -194,8 +194,10 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Texts are not moved:
     each row meets its source's cut where it is read."""
-    _, cuts = _plan(docs, weights, budget, passes, seed)
-    cuts = cuts.select(F.col("source").alias("cut_source_"), "last_pass", "last_place")
+    with scratch(docs.sparkSession):
+        _, cuts = _plan(docs, weights, budget, passes, seed)
+        cuts = cuts.select(F.col("source").alias("cut_source_"), "last_pass", "last_place")
+        cuts = materialize(cuts, keep=True)
     names = [F.col(f"`{c}`") for c in docs.columns]
     base = docs.select(
         F.struct(*names).alias("row_"),

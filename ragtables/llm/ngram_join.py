@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from ragtables.llm import words
 from ragtables.llm.base import free_name, released, sent, small_batches
 from ragtables.llm.connected import components
-from ragtables.sources.storage import materialize
+from ragtables.sources.storage import materialize, scratch
 
 SHINGLE = 5
 # The similarity 0.8 as integers: 100 * intersection >= 80 * union.
@@ -682,23 +682,24 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     document of each component: that with the least id and, where several have it,
     the least hash of its text. Rows that agree in id and text are one document."""
     extra_id, extra_hash = free_name(docs, "extra_id_"), free_name(docs, "extra_hash_")
-    found = materialize(_joined(docs))
-    several = materialize(
-        found.filter("doc_id = component_id and root is not null")
-        .groupBy("root")
-        .agg(F.min("text_hash").alias("kept_hash"), F.max("text_hash").alias("last_hash"))
-        .filter("kept_hash < last_hash")
-    )
-    same_id = found.join(sent(several), "root").filter("doc_id = component_id and text_hash <> kept_hash")
-    other_id = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    extra = materialize(
-        other_id.select("doc_id", "text_hash")
-        .unionByName(same_id.select("doc_id", "text_hash"))
-        .select(F.col("doc_id").alias(extra_id), F.col("text_hash").alias(extra_hash))
-        .distinct()
-    )
+    with scratch(docs.sparkSession):
+        found = materialize(_joined(docs))
+        several = materialize(
+            found.filter("doc_id = component_id and root is not null")
+            .groupBy("root")
+            .agg(F.min("text_hash").alias("kept_hash"), F.max("text_hash").alias("last_hash"))
+            .filter("kept_hash < last_hash")
+        )
+        same_id = found.join(sent(several), "root").filter("doc_id = component_id and text_hash <> kept_hash")
+        other_id = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        extra = materialize(
+            other_id.select("doc_id", "text_hash")
+            .unionByName(same_id.select("doc_id", "text_hash"))
+            .select(F.col("doc_id").alias(extra_id), F.col("text_hash").alias(extra_hash))
+            .distinct(),
+            keep=True,
+        )
+        repeated = not found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
     own = docs["doc_id"].eqNullSafe(F.col(extra_id)) & (F.xxhash64(docs["text"]) == F.col(extra_hash))
     kept = docs.join(sent(extra), own, "left_anti")
-    if found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept

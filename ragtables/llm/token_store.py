@@ -5,7 +5,8 @@ in ascending id order within a part, parts in ascending order), ``parts`` (where
 part starts in the whole sequence) and ``frequencies`` (the table that all blocks
 share). Blocks decode independently, and within a block every segment does.
 
-Texts are tokenised once, and ids go through Spark as binary cells. Where white space
+Texts are tokenised once, and ids go through Spark as binary cells; of rows that agree
+in id and text and lie side by side one cell goes, with their number. Where white space
 separates the tokenizer's words, which its file tells, a task encodes every distinct
 word once with the library and gathers the rest; any other tokenizer gets whole texts.
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from ragtables.llm import words
 from ragtables.llm.base import released, small_batches
 from ragtables.llm.rans import Decoder, Table, encode
-from ragtables.sources.storage import materialize
+from ragtables.sources.storage import materialize, scratch
 
 # A block is coded in arrays of 64-bit numbers, several of its length at once.
 BLOCK_IDS = 1 << 18
@@ -44,7 +45,6 @@ REMEMBERED_BYTES = 16_000_000
 # Texts whose words are looked up at a time, in bytes.
 PIECE_BYTES = 500_000
 
-
 # Fixed value: the word pattern of a public tokenizer's file. By it, a word also ends
 # between an ASCII letter and an ASCII mark other than the apostrophe.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -203,7 +203,8 @@ def _cut(flat: np.ndarray, sizes: np.ndarray, end: int) -> list[np.ndarray]:
 def _packed(ids: np.ndarray) -> bytes:
     """Ids in a cell between steps: their width, then compressed."""
     kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
-    return kind[-1].encode() + pa.compress(ids.astype(kind).tobytes(), "zstd", asbytes=True)
+    codec = pa.Codec("zstd", compression_level=6)
+    return kind[-1].encode() + codec.compress(ids.astype(kind).tobytes(), asbytes=True)
 
 
 def _unpacked(cell: bytes, n: int) -> np.ndarray:
@@ -220,19 +221,35 @@ def _groups(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]
     yield from zip(cuts[:-1], cuts[1:])
 
 
+def _runs(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The first row of each run of rows that agree in id and text, and the rows of each
+    run. A mix that takes a document twice has its copies side by side."""
+    n = batch.num_rows
+    first = np.ones(n, bool)
+    for row in ("doc_id", "text") if n > 1 else ():
+        column = batch[row]
+        same = pa.compute.fill_null(pa.compute.equal(column.slice(1), column.slice(0, n - 1)), False)
+        differs = ~same.to_numpy(zero_copy_only=False)
+        first[1:] = differs if row == "doc_id" else first[1:] | differs
+    starts = np.flatnonzero(first)
+    return batch.filter(pa.array(first)), np.diff(np.append(starts, n))
+
+
 def _tokenise(path: str, kind: Kind, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
             encoder = encoder or WordEncoder(path, kind)
+            batch, copies = _runs(batch)
             for start, ids in encoder.encode(batch["text"], end):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(start, len(ids)),
+                        pa.array(copies[start : start + len(ids)], pa.int64()),
                         pa.array([len(i) for i in ids], pa.int64()),
                         pa.array([_packed(i) for i in ids], pa.binary()),
                     ],
-                    ["doc_id", "n_tokens", "ids"],
+                    ["doc_id", "copies", "n_tokens", "ids"],
                 )
 
     return run
@@ -241,13 +258,16 @@ def _tokenise(path: str, kind: Kind, end: int):
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        sizes = batch["n_tokens"].to_pylist()
+        sizes, copies = batch["n_tokens"].to_pylist(), batch["copies"].to_numpy()
         for start in range(0, len(sizes), 500):
-            cells = zip(batch["ids"][start : start + 500], sizes[start : start + 500])
-            found = np.bincount(np.concatenate([_unpacked(c.as_py(), n) for c, n in cells]))
-            if len(found) > len(counts):
-                counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
-            counts[: len(found)] += found
+            times = copies[start : start + 500]
+            for often in np.unique(times):
+                rows = (start + np.flatnonzero(times == often)).tolist()
+                cells = [_unpacked(batch["ids"][r].as_py(), sizes[r]) for r in rows]
+                found = np.bincount(np.concatenate(cells)) * often
+                if len(found) > len(counts):
+                    counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
+                counts[: len(found)] += found
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["id", "n"])
 
@@ -281,15 +301,22 @@ def _blocks(table, block_ids: int):
         held = 0
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            cells = zip(batch["doc_id"].to_pylist(), batch["ids"], batch["n_tokens"].to_pylist())
-            for name, cell, n in cells:
-                names.append(name)
-                docs.append(_unpacked(cell.as_py(), n))
-                held += len(docs[-1])
-                if held >= block_ids:
-                    yield block()
-                    start, number, held = start + held, number + 1, 0
-                    names, docs = [], []
+            cells = zip(
+                batch["doc_id"].to_pylist(),
+                batch["copies"].to_pylist(),
+                batch["ids"],
+                batch["n_tokens"].to_pylist(),
+            )
+            for name, copies, cell, n in cells:
+                ids = _unpacked(cell.as_py(), n)
+                for _ in range(copies):
+                    names.append(name)
+                    docs.append(ids)
+                    held += n
+                    if held >= block_ids:
+                        yield block()
+                        start, number, held = start + held, number + 1, 0
+                        names, docs = [], []
         if docs:
             yield block()
 
@@ -302,32 +329,37 @@ def write_tokens(
     """Encodes ``doc_id, text`` with the tokenizer file and writes the store."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    with small_batches(spark):
-        tokens = materialize(
-            docs.select("doc_id", "text").mapInArrow(
-                released(_tokenise(tokenizer, kind_of(tokenizer), end)), f"doc_id {id_type}, n_tokens long, ids binary"
+    with scratch(spark):
+        with small_batches(spark):
+            tokens = materialize(
+                docs.select("doc_id", "text").mapInArrow(
+                    released(_tokenise(tokenizer, kind_of(tokenizer), end)),
+                    f"doc_id {id_type}, copies long, n_tokens long, ids binary",
+                )
             )
+        counted = (
+            tokens.select("ids", "n_tokens", "copies")
+            .mapInArrow(released(_histogram), "id long, n long")
+            .groupBy("id")
+            .agg(F.sum("n").alias("n"))
+        ).collect()  # a row per id of the vocabulary
+        counts = np.zeros(max([r["id"] for r in counted], default=0) + 1, np.int64)
+        for r in counted:
+            counts[r["id"]] = r["n"]
+        table = Table.from_counts(counts)
+        spark.createDataFrame(
+            [(table.crc, table.frequencies.astype("<u8").tobytes())], "crc long, frequencies binary"
+        ).coalesce(1).write.parquet(f"{path}/frequencies")
+        shared = spark.sparkContext.broadcast(table.frequencies)
+        kind = (
+            f"part int, block long, start long, n_tokens long, doc_ids array<{id_type}>,"
+            " sizes array<long>, payload binary"
         )
-    counted = (
-        tokens.select("ids", "n_tokens").mapInArrow(released(_histogram), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    ).collect()  # a row per id of the vocabulary
-    counts = np.zeros(max([r["id"] for r in counted], default=0) + 1, np.int64)
-    for r in counted:
-        counts[r["id"]] = r["n"]
-    table = Table.from_counts(counts)
-    spark.createDataFrame(
-        [(table.crc, table.frequencies.astype("<u8").tobytes())], "crc long, frequencies binary"
-    ).coalesce(1).write.parquet(f"{path}/frequencies")
-    shared = spark.sparkContext.broadcast(table.frequencies)
-    kind = (
-        f"part int, block long, start long, n_tokens long, doc_ids array<{id_type}>,"
-        " sizes array<long>, payload binary"
-    )
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(released(_blocks(shared, block_ids)), kind).write.option(
-        "compression", "none"
-    ).parquet(f"{path}/blocks")
-    shared.destroy()
+        ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+        ordered.mapInArrow(released(_blocks(shared, block_ids)), kind).write.option(
+            "compression", "none"
+        ).parquet(f"{path}/blocks")
+        shared.destroy()
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "n_tokens")
     sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -158,3 +158,31 @@ def test_empty_table(spark, none):
     path = fresh_path(spark, "test")
     write_tokens(none, path, PATH)
     assert read_tokens(spark, path).count() == 0
+
+
+def test_copies_side_by_side(spark, tokenizer):
+    """Runs of equal rows travel once and are stored as often as they stood there."""
+    again = [(4, "one two three")] * 7 + [(4, "one two")] + [(4, "one two three")] * 2
+    rows = again + [(None, "x y")] * 3 + [(5, None)] * 3 + [(5, "")] * 2 + [(6, "a " * 90)] * 40
+    path = fresh_path(spark, "test")
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, PATH, block_ids=500)
+    got = read_tokens(spark, path, with_ids=True).orderBy("start").collect()
+    want = [
+        (i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows
+    ]
+    found = [(r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got]
+    by_id = [r[0] for r in found]
+    assert by_id == sorted(by_id, key=lambda i: -1 if i is None else i)
+    key = lambda r: (-1 if r[0] is None else r[0], r[1])
+    assert sorted(found, key=key) == sorted(want, key=key)
+    assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got][:-1]]).tolist()
+
+
+def test_runs_of_rows():
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array([1, 1, 2, 2, None, None, 3]), "text": pa.array(["a", "a", "a", "b", "c", "c", None])}
+    )
+    first, copies = token_store._runs(batch)
+    assert first["doc_id"].to_pylist() == [1, 2, 2, None, None, 3]
+    assert copies.tolist() == [2, 1, 1, 1, 1, 1]
+    assert token_store._runs(batch.slice(0, 0))[1].tolist() == []
