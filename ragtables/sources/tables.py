@@ -155,13 +155,51 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULTS).json(path)
 
 
+def _write_chunks(chunks: DataFrame, path: str, mode: str, **options: str) -> None:
+    """Chunks with a ``cell`` are gathered by it first, so that a cell is a file or, if it
+    is large, a few: Spark splits a cell that exceeds its advised partition size."""
+    if "cell" in chunks.columns:
+        chunks.hint("rebalance", "cell").write.mode(mode).options(**options).partitionBy(
+            "cell"
+        ).parquet(path)
+    else:
+        chunks.write.mode(mode).options(**options).parquet(path)
+
+
+def _replace_in_cells(
+    stored: DataFrame, chunks: DataFrame, known: DataFrame, again: DataFrame, path: str
+) -> None:
+    """Replace documents in the cells that hold them; no other cell is read or written.
+
+    A cell's new content takes the old one's place when the whole job commits, and a run
+    that ends between the steps is mended by doing the same again.
+    """
+    spark = chunks.sparkSession
+    # A number per folder of the table, all of which Spark lists on the driver anyway.
+    met = {r["cell"] for r in known.select("cell").distinct().collect()}
+    cell = F.col("cell")
+    touched = cell.isin([c for c in met if c is not None])
+    if None in met:
+        touched = touched | cell.isNull()
+    touched = F.coalesce(touched, F.lit(False))
+    kept = stored.filter(touched).join(again, "doc_id", "left_anti").select(*chunks.columns)
+    content = storage.materialize(kept.union(chunks.filter(touched)))
+    filled = {r["cell"] for r in content.select("cell").distinct().collect()}
+    _write_chunks(content, path, "overwrite", partitionOverwriteMode="dynamic")
+    for empty in met - filled:
+        name = "__HIVE_DEFAULT_PARTITION__" if empty is None else empty
+        storage.delete(spark, f"{path}/cell={name}")
+    _write_chunks(chunks.filter(~touched), path, "append")
+
+
 def write_index(chunks: DataFrame, path: str, recreate: bool = False) -> None:
     """Store embedded chunks; ``recreate`` replaces what is there, else they are added.
 
     Chunks with a ``cell`` are stored by cell, so that a search reads only the cells
-    it probes. A document that is written again replaces its earlier chunks: where
-    the table has some of them, what stays and what is new are written as a whole
-    table, which then takes the old one's place.
+    it probes. A document that is written again replaces its earlier chunks: in a table
+    by cell, the cells that hold some of them are written anew and the others left as
+    they are; else what stays and what is new are written as a whole table, which then
+    takes the old one's place.
     """
     spark = chunks.sparkSession
     columns = ["chunk_id", "doc_id", "title", "content", "embedding"]
@@ -170,20 +208,23 @@ def write_index(chunks: DataFrame, path: str, recreate: bool = False) -> None:
     chunks = chunks.select(*columns, *by)
     storage.finish_replacing(spark, path)
     if recreate or not storage.is_complete(spark, path):
-        chunks.write.mode("overwrite").partitionBy(*by).parquet(path)
+        _write_chunks(chunks, path, "overwrite")
         return
     stored = read_index(spark, path)
     if stored.columns != chunks.columns:
         raise ValueError(f"the index has columns {stored.columns}, not {chunks.columns}")
     chunks = storage.materialize(chunks)
     again = chunks.select("doc_id").distinct()
-    if stored.join(again, "doc_id", "left_semi").isEmpty():
-        chunks.write.mode("append").partitionBy(*by).parquet(path)
-        return
-    kept = stored.join(again, "doc_id", "left_anti").select(*chunks.columns)
-    storage.replace(
-        spark, path, lambda to: kept.union(chunks).write.partitionBy(*by).parquet(to)
-    )
+    known = stored.join(again, "doc_id", "left_semi")
+    if known.isEmpty():
+        _write_chunks(chunks, path, "append")
+    elif by and isinstance(stored.schema["cell"].dataType, T.IntegralType):
+        _replace_in_cells(stored, chunks, known, again, path)
+    else:
+        kept = stored.join(again, "doc_id", "left_anti").select(*chunks.columns)
+        storage.replace(
+            spark, path, lambda to: _write_chunks(kept.union(chunks), to, "overwrite")
+        )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -101,6 +101,50 @@ def test_index_is_stored_by_cell(spark, tmp_path):
         tables.write_index(index, path)
 
 
+def _cells(path):
+    """The files of each cell, with their times."""
+    return {
+        name: {
+            f: os.stat(f"{path}/{name}/{f}").st_mtime_ns
+            for f in os.listdir(f"{path}/{name}")
+            if f.endswith(".parquet")
+        }
+        for name in os.listdir(path)
+        if name.startswith("cell=")
+    }
+
+
+def test_documents_are_replaced_in_their_cells(spark, tmp_path):
+    def chunks(rows):
+        kind = "doc_id string, cell int, title string"
+        return spark.createDataFrame(rows, kind).selectExpr(
+            "concat(doc_id, ':', coalesce(cell, -1)) AS chunk_id", "doc_id", "title",
+            "'words' AS content", "array(1f, 0f) AS embedding", "cell",
+        )
+
+    def stored():
+        rows = tables.read_index(spark, path).collect()
+        return sorted((r.doc_id, -1 if r.cell is None else r.cell, r.title) for r in rows)
+
+    path = str(tmp_path / "index")
+    first = [(f"d{i}", i % 20, "old") for i in range(400)] + [("n", None, "old"), ("alone", 77, "old")]
+    tables.write_index(chunks(first).repartition(8), path)
+    before = _cells(path)
+    assert len(before) == 22 and sum(map(len, before.values())) <= 30  # not one a task and cell
+    # One stays in its cell, one moves to another, one to a new one; two cells go empty.
+    moved = [("d3", 3, "new"), ("d4", 9, "new"), ("d5", 50, "new"), ("n", 7, "new"), ("alone", 9, "new")]
+    moved += [("d4", 60, "new"), ("fresh", None, "new")]
+    for _ in range(2):  # doing it again changes nothing
+        tables.write_index(chunks(moved), path)
+        names = {m[0] for m in moved}
+        want = [r for r in first if r[0] not in names] + moved
+        assert stored() == sorted((d, -1 if c is None else c, t) for d, c, t in want)
+    after = _cells(path)
+    assert "cell=77" not in after and {"cell=50", "cell=60"} <= set(after)
+    for name in (f"cell={c}" for c in (0, 1, 2, 6, 8, 10, 19)):
+        assert after[name] == before[name]
+
+
 def test_embedder(spark):
     df = spark.createDataFrame([("a b", "t"), ("", None), (None, "t")], "x string, t string")
 
