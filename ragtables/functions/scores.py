@@ -12,8 +12,10 @@ text and return numbers.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column
@@ -146,28 +148,62 @@ def label_class(label: Column | str, mapping: dict[str, int], other: int = 2) ->
     return result
 
 
-def _lcs_rows(across: list[str], down: list[str]) -> Iterator[int]:
-    """Rows of the common-subsequence table, one bit per token of ``across``.
+def _bits(tokens: list[str]) -> dict[str, int]:
+    """The positions of each token, as the bits of a number."""
+    where: dict[str, int] = {}
+    for position, token in enumerate(tokens):
+        where[token] = where.get(token, 0) | (1 << position)
+    return where
+
+
+def _lcs_rows(
+    down: list[str], across: dict[str, int], width: int, row: int | None = None
+) -> Iterator[int]:
+    """Rows of the common-subsequence table, one bit per token of ``across``, from the
+    first or, below a known ``row``, from that one.
 
     A clear bit marks a column where the length grows by one, so one Python
     integer holds a whole row (bit-parallel method of Hyyro 2004).
     """
-    where: dict[str, int] = {}
-    for position, token in enumerate(across):
-        where[token] = where.get(token, 0) | (1 << position)
-    everything = (1 << len(across)) - 1
-    row = everything
+    everything = (1 << width) - 1
+    row = everything if row is None else row
     yield row
     for token in down:
-        matched = row & where.get(token, 0)
+        matched = row & across.get(token, 0)
         row = ((row + matched) | (row - matched)) & everything
         yield row
 
 
+class _LcsTable:
+    """The rows of a table, by number, to be asked for from the last to the first.
+
+    Every so many rows one is kept, and the stretch below it is computed again when it
+    is reached, so about twice the square root of the number of rows is held.
+    """
+
+    def __init__(self, down: list[str], across: list[str]):
+        self.down, self.across, self.width = down, _bits(across), len(across)
+        self.step = math.isqrt(len(down)) + 1
+        self.kept = list(islice(self._rows(0, len(down)), 0, None, self.step))
+        self.first, self.stretch = len(down) + 1, []
+
+    def _rows(self, first: int, last: int, row: int | None = None) -> Iterator[int]:
+        return _lcs_rows(self.down[first:last], self.across, self.width, row)
+
+    def __getitem__(self, number: int) -> int:
+        if number < self.first:
+            block = number // self.step
+            self.first = block * self.step
+            self.stretch = list(
+                self._rows(self.first, self.first + self.step - 1, self.kept[block])
+            )
+        return self.stretch[number - self.first]
+
+
 def lcs_length(left: list[str], right: list[str]) -> int:
     """Length of the longest common subsequence."""
     row = 0
-    for row in _lcs_rows(left, right):
+    for row in _lcs_rows(right, _bits(left), len(left)):
         pass
     return len(left) - row.bit_count()
 
@@ -178,8 +214,7 @@ def lcs_positions(wanted: list[str], said: list[str]) -> list[int]:
     Walks back from both ends: take a match, else step to the larger neighbour;
     on a tie the wanted token is dropped.
     """
-    across = list(_lcs_rows(said, wanted))
-    down = list(_lcs_rows(wanted, said))
+    across, down = _LcsTable(wanted, said), _LcsTable(said, wanted)
     i, j, kept = len(wanted), len(said), []
     while i and j:
         if wanted[i - 1] == said[j - 1]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -127,6 +128,21 @@ def test_common_subsequences_equal_the_plain_table():
         assert scores.lcs_positions(a, b) == walk(a, b)
 
 
+def test_long_lines_need_little_memory():
+    """Of two lines of 12,000 words, both tables of bits would be 36 MB."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    a, b = rng.choices(words, k=12_000), rng.choices(words, k=12_000)
+    tracemalloc.start()
+    kept = scores.lcs_positions(a, b)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8_000_000
+    assert len(kept) == scores.lcs_length(a, b)
+    shared = iter(b)  # they are a subsequence of the other line
+    assert all(a[p] in shared for p in reversed(kept))
+
+
 def test_rouge_lsum_by_hand():
     # The first line shares "a b", the second "d": 3 hits of 4 wanted, 4 said.
     said, wanted = [["a", "b"], ["d", "x"]], [["a", "b"], ["c", "d"]]
