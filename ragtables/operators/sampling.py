@@ -27,7 +27,10 @@ from ragtables.sources.storage import materialize
 # Rows are numbered bucket by bucket. 65,536 buckets cut 100 TB into pieces of
 # about 1.5 GB, and the table of bucket sizes never has more rows than that.
 INDEX_BITS = 16
-KEY_BITS = 16
+KEY_BITS = 14
+# Keys that the splitters are chosen from: so many a range that none is far larger.
+SAMPLED_KEYS = 1 << 18
+_SAMPLE_SEED = 6_151
 
 
 def _hash_bucket(key: str, seed: int) -> tuple[Column, Column]:
@@ -35,22 +38,37 @@ def _hash_bucket(key: str, seed: int) -> tuple[Column, Column]:
     return h, F.shiftright(h, DRAW_BITS - INDEX_BITS).cast("int")
 
 
-def _numbers(values: Sequence, dtype: T.DataType) -> Column:
-    """A constant array. From one string, since thousands of literals would slow
-    every step of the optimizer."""
-    text = F.lit(",".join(map(str, values)))
-    return F.split(text, ",").cast(T.ArrayType(dtype))
+def _splitters(df: DataFrame, key: str) -> Column:
+    """A constant, ascending array of about ``2**KEY_BITS`` keys that part the table
+    into even ranges: every so many-th of a keyed sample.
+
+    The sample has about ``SAMPLED_KEYS`` keys of a table of any size and is ranked in
+    one task; the driver gets the splitters alone. They are sent as text, since thousands of
+    literals would slow every step of the optimizer. Where a type does not come back
+    from text as it was, they part the table a little elsewhere, which is as good.
+    """
+    keys = df.select(quoted(key).alias("k")).filter("k IS NOT NULL")
+    rows = keys.count()
+    if rows > SAMPLED_KEYS:
+        keys = keys.filter(keyed_uniform(_SAMPLE_SEED, F.col("k")) < SAMPLED_KEYS / rows)
+    ranked = keys.withColumn("n", F.row_number().over(Window.orderBy("k")))
+    step = -(-min(rows, SAMPLED_KEYS) // (1 << KEY_BITS)) or 1
+    chosen = ranked.filter(F.col("n") % step == 0).select(F.col("k").cast("string"))
+    found = [r[0] for r in chosen.collect()]
+    kind = T.ArrayType(df.schema[key].dataType)
+    if not found:
+        return F.array().cast(kind)
+    used = set("".join(found))
+    between = next(chr(c) for c in range(0xE000, 0x110000) if chr(c) not in used)
+    # Functions that the optimizer computes once, so that the rows meet a constant.
+    return F.sort_array(F.split(F.lit(between.join(found)), between).cast(kind))
 
 
 def _key_bucket(df: DataFrame, key: str) -> Column:
-    """Number of the quantile range a numeric key lies in, by binary search."""
-    count = 1 << KEY_BITS
-    shares = _numbers([i / count for i in range(1, count)], T.DoubleType())
-    found = df.select(F.percentile_approx(quoted(key), shares, 20 * count)).first()[0]
-    if not found:
-        return F.lit(0)
-    bounds = _numbers(found, df.schema[key].dataType)
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(KEY_BITS))])
+    """Number of the range a key lies in, by binary search."""
+    bounds = _splitters(df, key)
+    # One step more than KEY_BITS, for a sample that came out larger than meant.
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(KEY_BITS + 1))])
     return F.aggregate(
         steps,
         F.lit(0),
@@ -60,22 +78,6 @@ def _key_bucket(df: DataFrame, key: str) -> Column:
     )
 
 
-def _range_bucket(df: DataFrame, key: str) -> tuple[DataFrame, Column]:
-    """Number of the sorted range a key of any type lies in.
-
-    The keys alone are spread by range and written, so that their ranges stay
-    what they are; the rows find theirs by key. A null key finds none.
-    """
-    ranges = (
-        df.select(quoted(key).alias("_range_key"))
-        .repartitionByRange("_range_key")
-        .withColumn("_range", F.spark_partition_id())
-    )
-    ranges = materialize(ranges.distinct())
-    placed = df.join(ranges, quoted(key) == F.col("_range_key"), "left")
-    return placed.drop("_range_key"), F.col("_range")
-
-
 def _one_row(key: Column, repeated: Column, value: Column) -> Column:
     """``value``, or an error that names a key that is null or not the only one."""
     null = F.raise_error(F.lit("a row has no key")).cast("bigint")
@@ -113,15 +115,12 @@ def row_index(
         rank, bucket = _hash_bucket(key, seed)
     elif order == "key":
         rank = quoted(key)
-        if isinstance(df.schema[key].dataType, T.NumericType):
-            bucket = _key_bucket(df, key)
-        else:
-            df, bucket = _range_bucket(df, key)
+        bucket = _key_bucket(df, key)
     else:
         raise ValueError('order must be "hash" or "key"')
     bucket = F.coalesce(bucket, F.lit(0))
     sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
-    # At most 2**INDEX_BITS rows of two numbers (or one per range), for any input.
+    # At most 2**INDEX_BITS rows of two numbers (or one a range), for any input.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
@@ -138,7 +137,7 @@ def row_index(
                 F.col("_offset") + F.row_number().over(inside).cast("bigint") - 1,
             ),
         )
-        .drop("_bucket", "_rank", "_offset", "_range")
+        .drop("_bucket", "_rank", "_offset")
     )
 
 

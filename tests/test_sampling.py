@@ -57,6 +57,28 @@ def test_row_index_of_a_clustered_key(spark):
     assert [r.idx for r in rows] == list(range(len(keys)))
 
 
+@pytest.mark.parametrize("kind", ["string", "double", "date", "decimal(20,3)", "binary", "timestamp"])
+def test_row_index_of_any_ordered_key(spark, monkeypatch, kind):
+    """With far fewer splitters than rows, and a sample of the keys."""
+    monkeypatch.setattr(sampling, "KEY_BITS", 3)
+    monkeypatch.setattr(sampling, "SAMPLED_KEYS", 100)
+    ids = spark.range(3_000)
+    key = {
+        "string": "concat('\"a, b\\\\', hex(crc32(cast(id as string))), id)",
+        "binary": "cast(concat(char(id % 200), id) AS binary)",
+        "date": "date_add(date'1950-01-01', cast(id * 7 AS int))",
+        "timestamp": "timestamp_micros(id * 987654321)",
+    }.get(kind, f"cast((id * 7919 % 3001 - 1500) / 8 AS {kind})")
+    df = ids.selectExpr(f"{key} AS k")
+    bounds = sampling._splitters(df, "k")
+    assert 7 <= df.select(F.size(bounds)).first()[0] <= 15
+    plan = df.select(sampling._key_bucket(df, "k").alias("b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "sort_array" not in plan  # one constant
+    rows = sampling.row_index(df, "k", order="key").collect()
+    rows.sort(key=lambda r: bytes(r.k) if kind == "binary" else r.k.encode() if kind == "string" else r.k)
+    assert [r.idx for r in rows] == list(range(3_000))
+
+
 def test_row_index_of_nothing(spark, docs):
     empty = docs.filter("id < 0")
     assert sampling.row_index(empty, "id").count() == 0
