@@ -122,13 +122,17 @@ def row_index(
     sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     # At most 2**INDEX_BITS rows of two numbers (or one a range), for any input.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Matched by a cast number: of two plain columns that are equal the optimizer infers
+    # that the one here is the bucket of a key, which this side does not have, and with
+    # some numbers of columns it puts that filter here, where it ends the query.
     offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+        F.col("_bucket").cast("bigint").alias("_range"),
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
     )
     inside = Window.partitionBy("_bucket").orderBy("_rank", quoted(key))
     return (
         df.withColumns({"_bucket": bucket, "_rank": rank})
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), F.col("_bucket").cast("bigint") == F.col("_range"))
         .withColumn(
             output,
             _one_row(
@@ -137,7 +141,7 @@ def row_index(
                 F.col("_offset") + F.row_number().over(inside).cast("bigint") - 1,
             ),
         )
-        .drop("_bucket", "_rank", "_offset")
+        .drop("_bucket", "_range", "_rank", "_offset")
     )
 
 

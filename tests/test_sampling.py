@@ -1,4 +1,7 @@
 import math
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +52,34 @@ def test_row_index_is_dense_in_either_order(spark, docs):
     same_for_any_partitioning(spark, lambda: sampling.row_index(docs, "id", 3))
 
 
+NUMBERED_FIRST = """
+import sys, tempfile
+from pyspark.sql import functions as F
+from session import local_session
+from ragtables.operators import sampling
+spark = local_session("2")
+path = tempfile.mkdtemp() + "/table"
+spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a").alias("t")).write.parquet(path)
+names = spark.read.parquet(path).select("doc_id", F.col("doc_id").cast("string").alias("name"), "t")
+rows = sampling.row_index(names.select("name"), "name", order="key").collect()
+rows.sort(key=lambda r: r.idx)
+assert [r.name for r in rows] == sorted(str(i) for i in range(40)), rows
+"""
+
+
+def test_numbers_by_key_as_the_first_query_of_a_session():
+    """The optimizer's numbers of columns, small in a new session, must not matter."""
+    paths = [os.path.dirname(__file__), os.path.dirname(os.path.dirname(__file__))]
+    run = subprocess.run(
+        [sys.executable, "-c", NUMBERED_FIRST],
+        env=os.environ | {"PYTHONPATH": os.pathsep.join(paths)},
+        capture_output=True,
+        text=True,
+        timeout=120,
+    )
+    assert run.returncode == 0, run.stderr[-3000:]
+
+
 def test_row_index_of_a_clustered_key(spark):
     # Nearly all keys close together, a few far away.
     keys = list(range(3000)) + [10**15, -(10**15), 10**17]
