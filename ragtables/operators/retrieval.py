@@ -4,8 +4,8 @@ Scores come from block matrix products, and a block gives out no more than its
 own best ``k`` per query, so no pair of vectors ever becomes a row.
 
 * ``dense_topk`` is exact. A counted set of queries is sent to the corpus, which
-  then is scanned in place without a shuffle. More queries than may be sent at once
-  go in several sets, with one scan each.
+  then is scanned in place without a shuffle. With more queries than may be sent, both
+  sides are cut into blocks, and every block meets every other in one job.
 * ``cell_topk`` is approximate. Vectors belong to the cell of their nearest
   centre, and a query looks only into its nearest cells, and into further ones
   until they hold ``k`` documents. A cell is cut into blocks by its counted size, so
@@ -54,9 +54,10 @@ SENT_COMPONENTS = 4_000_000
 SENT_BYTES = 32_000_000
 # Pairs scored again at a time.
 _SLICE = 200_000
-# The matrix product may differ from the ordered sum by far less than this,
-# relative to the product of the vector lengths.
-_SLACK = 1e-9
+# Single precision is used for vectors no longer than this, whose products it holds. What
+# it takes for zero is, times the length of the other vector, far less than _LOST.
+_SINGLE_LENGTH = 1e15
+_LOST = 1e-20
 
 
 def _checked(
@@ -115,7 +116,12 @@ def block_topk(
 
     Documents that score below a query's ``floor`` are of no interest.
     """
-    scores = queries @ docs.T
+    query_lengths = np.linalg.norm(queries, axis=1)
+    doc_length = np.linalg.norm(docs, axis=1).max()
+    kind = np.float64
+    if max(query_lengths.max(), doc_length) < _SINGLE_LENGTH:
+        kind = np.float32
+    scores = queries.astype(kind, copy=False) @ docs.T.astype(kind, copy=False)
     if skip_equal_ids:
         own = pd.merge(
             pd.DataFrame({"id": query_ids, "row": np.arange(len(query_ids))}),
@@ -123,11 +129,24 @@ def block_topk(
             on="id",
         )
         scores[own["row"], own["column"]] = -np.inf
-    lengths = np.linalg.norm(queries, axis=1) * np.linalg.norm(docs, axis=1).max()
-    edge = np.maximum(_lower_edge(scores, k), floor) - _SLACK * lengths
+    # The product differs from the ordered sum by less than half of this: a rounding of
+    # each component and one an addition, and once more for the edge itself.
+    rounding = 2 * (docs.shape[1] + 4) * np.finfo(kind).eps
+    slack = rounding * query_lengths * doc_length + _LOST
     # Skipped pairs lie below every finite edge.
-    edge = np.maximum(edge, np.finfo(np.float64).min)
-    rows, columns = np.divmod(np.flatnonzero(scores >= edge[:, None]), len(doc_ids))
+    least = np.finfo(kind).min
+
+    def reaching(edge: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            edge = np.maximum(edge - slack, least).astype(kind)
+        return np.flatnonzero(scores >= edge[:, None])
+
+    floor = np.broadcast_to(np.asarray(floor, np.float64), len(queries))
+    # Where a floor lets little through, the edge of the block itself is not looked for.
+    pairs = reaching(floor) if np.isfinite(floor).all() else None
+    if pairs is None or len(pairs) > k * len(queries):
+        pairs = reaching(np.maximum(_lower_edge(scores, k), floor))
+    rows, columns = np.divmod(pairs, len(doc_ids))
     exact = np.empty(len(rows))
     for start in range(0, len(rows), _SLICE):
         part = slice(start, start + _SLICE)
@@ -260,7 +279,7 @@ def dense_topk(
     """Exact top ``k``: ``query_id, doc_id, score, rank``; ties go to the lower id.
 
     ``skip_equal_ids`` leaves out a document with the query's own id. With more
-    queries than may be sent at once, each set's hits are computed and stored here.
+    queries than may be sent at once, the hits are computed and stored here.
     """
     schema = _result_schema(queries, query_key, corpus, doc_key)
     left, right = _sides(
@@ -274,17 +293,25 @@ def dense_topk(
         return _ranked(corpus.sparkSession.createDataFrame([], schema), k)
     if few <= allowed:
         return _ranked(_scan(left, *options), k)
-    # Sets of even hash ranges, the numbers of which bound their sizes.
     numbered = materialize(row_index(left, "query_id"))
-    sets = math.ceil(numbered.count() / allowed)
+    if not skip_invalid:
+        _refuse(numbered, "query_id", "query_vector", dimension)
+    one = F.lit(0).alias("cell")
+    found = _grid(
+        numbered.select(one, "*"),
+        right.select(one, "*"),
+        k,
+        skip_equal_ids,
+        skip_invalid,
+        schema,
+        dimension,
+        query_number=F.col("idx"),
+        few_doc_blocks=True,
+    )
     path = fresh_path(corpus.sparkSession, "hits")
-    for number in range(sets):
-        first = number * allowed
-        part = numbered.filter((F.col("idx") >= first) & (F.col("idx") < first + allowed))
-        hits = _ranked(_scan(part.drop("idx"), *options), k)
-        hits.write.mode("append").parquet(path)
-    kind = _ranked(corpus.sparkSession.createDataFrame([], schema), k).schema
-    return corpus.sparkSession.read.schema(kind).parquet(path)
+    hits = _ranked(found, k)
+    hits.write.parquet(path)
+    return corpus.sparkSession.read.schema(hits.schema).parquet(path)
 
 
 # With fewer partitions than this, a floor for the scores is not worth a pass.
@@ -374,6 +401,8 @@ def _grid(
     skip_invalid: bool,
     schema: T.StructType,
     dimension: int,
+    query_number: Column | None = None,
+    few_doc_blocks: bool = False,
 ) -> DataFrame:
     """Cut each cell's queries and documents into blocks and match block with block.
 
@@ -382,11 +411,15 @@ def _grid(
     sent to each block of queries and the other way round, so blocks are as large
     as a task can hold; only small tables are cut finer, to use all cores. The
     counts have one row per cell, a number the caller chose.
+
+    Every block of documents gives ``k`` hits a query. With ``few_doc_blocks`` they are
+    never cut finer than a task needs, only the queries are. A ``query_number``, where
+    there is one, deals the queries out evenly instead of a hash of their id.
     """
-    tasks = 2 * corpus.sparkSession.sparkContext.defaultParallelism
+    tasks = (4 if few_doc_blocks else 2) * corpus.sparkSession.sparkContext.defaultParallelism
     most = max(1, BLOCK_COMPONENTS // dimension)
     docs = corpus.count()
-    doc_rows = min(most, max(DOC_ROWS, math.ceil(docs / tasks)))
+    doc_rows = most if few_doc_blocks else min(most, max(DOC_ROWS, math.ceil(docs / tasks)))
     share = queries.count() * math.ceil(docs / doc_rows) / tasks
     query_rows = min(most, max(QUERY_ROWS, math.ceil(share)))
 
@@ -399,15 +432,17 @@ def _grid(
         )
     )
 
-    def own_block(id_key: str, blocks: str) -> Column:
-        return F.pmod(F.xxhash64(id_key), F.col(blocks))
+    def own_block(number: Column, blocks: str) -> Column:
+        return F.pmod(number, F.col(blocks))
 
     def every_block(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
 
     left = queries.join(sizes, "cell").select(
         "cell",
-        own_block("query_id", "query_blocks").alias("query_block"),
+        own_block(
+            F.xxhash64("query_id") if query_number is None else query_number, "query_blocks"
+        ).alias("query_block"),
         every_block("doc_blocks").alias("doc_block"),
         "query_id",
         "query_vector",
@@ -415,7 +450,7 @@ def _grid(
     right = corpus.join(sizes, "cell").select(
         "cell",
         every_block("query_blocks").alias("query_block"),
-        own_block("doc_id", "doc_blocks").alias("doc_block"),
+        own_block(F.xxhash64("doc_id"), "doc_blocks").alias("doc_block"),
         "doc_id",
         "doc_vector",
     )

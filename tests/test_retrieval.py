@@ -52,6 +52,15 @@ def test_exact_search_in_both_ways(spark, vectors, monkeypatch, sent, k):
     assert rows(found) == search(ids, vectors, ids, vectors, k, True)
 
 
+def test_many_sets_of_queries_are_not_a_job_each(spark, vectors):
+    df = frame(spark, list(range(120)), vectors)
+    spark.sparkContext.setJobGroup("many sets", "")
+    found = retrieval.dense_topk(df, df, 5, "id", "id", sent_components=12 * 2)
+    assert found.count() == 600
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("many sets")) < 60
+    spark.sparkContext.setJobGroup("others", "")
+
+
 def test_string_ids_and_small_slices(spark, vectors, monkeypatch):
     monkeypatch.setattr(retrieval, "_SLICE", 5)
     names = [f"d{i:03}" for i in range(120)]
