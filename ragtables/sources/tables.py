@@ -12,6 +12,9 @@ from ragtables.operators.columns import require
 from ragtables.sources import storage
 from ragtables.sources.predictions import PredictionStore, prediction_schema
 
+# Ids of documents are sent to all tasks up to this many bytes.
+SENT_BYTES = 32_000_000
+
 RESULTS = T.StructType(
     [
         T.StructField("scope", T.StringType()),
@@ -182,8 +185,15 @@ def _replace_in_cells(
     if None in met:
         touched = touched | cell.isNull()
     touched = F.coalesce(touched, F.lit(False))
+    # Ids that are few enough are sent to the stored chunks, which then move only once.
+    width = F.coalesce(F.octet_length(F.col("doc_id").cast("string")), F.lit(0)) + 32
+    size = again.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    if size <= SENT_BYTES:
+        again = F.broadcast(again)
     kept = stored.filter(touched).join(again, "doc_id", "left_anti").select(*chunks.columns)
-    content = storage.materialize(kept.union(chunks.filter(touched)))
+    # Only the cells that are written change, and only when the whole job commits, so that
+    # the table may be read meanwhile.
+    content = kept.union(chunks.filter(touched))
     filled = {r["cell"] for r in content.select("cell").distinct().collect()}
     _write_chunks(content, path, "overwrite", partitionOverwriteMode="dynamic")
     for empty in met - filled:

@@ -346,3 +346,24 @@ def test_shared_folder_is_required_on_a_cluster():
     Session.sparkContext.master = "local[2]"
     local = storage.shared_dir(Session())
     assert os.path.isdir(local) and storage.shared_dir(Session()) == local
+
+
+def test_replacing_stores_no_copy_of_the_touched_cells(spark, tmp_path, monkeypatch):
+    def chunks(title, ids):
+        return spark.createDataFrame([(f"d{i}", i % 4, title) for i in ids], "doc_id string, cell int, title string").selectExpr(
+            "concat(doc_id, ':0') AS chunk_id", "doc_id", "title",
+            "'words' AS content", "array(1f, 0f) AS embedding", "cell",
+        )
+
+    path, kept = str(tmp_path / "index"), []
+    tables.write_index(chunks("old", range(200)), path)
+
+    def counting(df, *options, plain=storage.materialize):
+        kept.append(df.count())
+        return plain(df, *options)
+
+    monkeypatch.setattr(storage, "materialize", counting)
+    tables.write_index(chunks("new", range(0, 200, 5)), path)
+    assert sum(kept) == 40  # the new chunks alone
+    rows = {r.doc_id: r.title for r in tables.read_index(spark, path).collect()}
+    assert rows == {f"d{i}": "old" if i % 5 else "new" for i in range(200)}
