@@ -57,6 +57,8 @@ ITERATIONS = 15
 # of approximate scores.
 TABLE_NUMBERS = 4_000_000
 SCORES = 4_000_000
+# Candidates of all queries that a task holds (96 MB, and a few times that to sort them).
+HELD_CANDIDATES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -215,6 +217,7 @@ def _nearest_codes(
         ids, tables = shared.value
         step = max(1, SCORES // max(1, len(ids)))
         kept = None
+        floor = np.full(len(ids), np.finfo(np.float64).min)
         place = pd.Series(np.arange(len(ids)), index=ids)
         for batch in batches:
             names = batch["doc_id"].to_numpy(zero_copy_only=False)
@@ -228,13 +231,16 @@ def _nearest_codes(
                     at = place.reindex(name).to_numpy()
                     equal = np.flatnonzero(~np.isnan(at))
                     scores[at[equal].astype(np.int64), equal] = -np.inf
-                edge = np.maximum(_lower_edge(scores, many), np.finfo(np.float64).min)
+                edge = np.maximum(_lower_edge(scores, many), floor)
                 rows, columns = np.nonzero(scores >= edge[:, None])
                 found = pd.DataFrame(
                     {"row": rows, "doc_id": name[columns], "score": scores[rows, columns]}
                 )
                 both = found if kept is None else pd.concat([kept, found])
                 kept = best_per_row(both, many)
+                worst = kept.groupby("row")["score"].agg(["size", "min"])
+                worst = worst[worst["size"] == many]
+                floor[worst.index] = worst["min"]
         if kept is not None and len(kept):
             columns = [ids[kept["row"]], kept["doc_id"], kept["score"]]
             arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
@@ -323,7 +329,7 @@ def code_topk(
         return _ranked(_scored(sent, near, docs, dimension, schema, skip_invalid), k)
 
     numbers = sum(len(c) for c in book.centres) + dimension
-    allowed = max(1, min(SENT_ROWS, table_numbers // numbers))
+    allowed = max(1, min(SENT_ROWS, table_numbers // numbers, HELD_CANDIDATES // many))
     if left.limit(allowed + 1).count() <= allowed:
         return one_set(left)
     numbered = materialize(row_index(left, "query_id"))

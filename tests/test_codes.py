@@ -67,6 +67,23 @@ def test_candidates_are_those_of_plain_decoding(coded, vectors, monkeypatch, blo
         assert all(s == pytest.approx(scores[d]) for _, d, s in got)
 
 
+def test_a_task_holds_a_bounded_number_of_candidates(coded, vectors, monkeypatch):
+    sent = []
+
+    class Counted(codes._Sent):
+        def __init__(self, *given):
+            super().__init__(*given)
+            sent.append(len(self.ids))
+
+    monkeypatch.setattr(codes, "HELD_CANDIDATES", 240, raising=False)
+    monkeypatch.setattr(codes, "_Sent", Counted)
+    df, book, table = coded
+    asked = df.filter("id < 9")
+    found = codes.code_topk(asked, df, table, book, 6, 80, "id", "id", exact_scores=False)
+    assert len(found.collect()) == 9 * 80
+    assert sum(sent) == 9 and max(sent) * 80 <= 240
+
+
 @pytest.mark.parametrize("numbers", [codes.TABLE_NUMBERS, 50_000])
 def test_with_all_candidates_the_search_is_exact(coded, vectors, numbers):
     df, book, table = coded
