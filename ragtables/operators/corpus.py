@@ -111,7 +111,7 @@ class HashingEmbedder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         result = []
         for text in texts:
-            codes = np.array([self.codes[t] for t in text.lower().split()], np.int64)
+            codes = np.array(list(map(self.codes.__getitem__, text.lower().split())), np.int64)
             counts = np.bincount(codes, minlength=2 * self.dimension)
             signed = counts.reshape(-1, 2).astype(np.int64)
             vector = (signed[:, 1] - signed[:, 0]).astype(float)

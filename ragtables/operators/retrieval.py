@@ -5,7 +5,8 @@ own best ``k`` per query, so no pair of vectors ever becomes a row.
 
 * ``dense_topk`` is exact. A counted set of queries is sent to the corpus, which
   then is scanned in place without a shuffle. With more queries than may be sent, both
-  sides are cut into blocks, and every block meets every other in one job.
+  sides are cut into blocks, and every block meets every other in one job; of a large
+  corpus a share is searched first, and what it finds is a floor for the rest.
 * ``cell_topk`` is approximate. Vectors belong to the cell of their nearest
   centre, and a query looks only into its nearest cells, and into further ones
   until they hold ``k`` documents. A cell is cut into blocks by its counted size, so
@@ -22,6 +23,7 @@ infinite number ends the search with an error that names its id; with
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -42,11 +44,17 @@ from ragtables.operators.joins import lookup_join
 from ragtables.operators.sampling import row_index
 from ragtables.sources.storage import fresh_path, materialize
 
-# Rows on either side of one matrix product.
+# Rows on either side of one matrix product, whose scores stay near the processor.
 QUERY_ROWS = 1024
-DOC_ROWS = 8192
-# Vector components in one block of a side (64 MB in double precision).
+DOC_ROWS = 1024
+# A block of a cell's documents is not cut finer than this to use all cores.
+BLOCK_ROWS = 8192
+# Vector components in one block of a side (64 MB in double precision); twice as many of
+# documents in single precision.
 BLOCK_COMPONENTS = 8_000_000
+# With more than one block of documents, one in this many of them, or in the square root
+# of the number of blocks, is searched first.
+FLOOR_SHARE = 8
 # Queries are sent to all tasks up to this many rows and vector components (32 MB).
 SENT_ROWS = 16_384
 SENT_COMPONENTS = 4_000_000
@@ -65,18 +73,26 @@ def _checked(
     vectors: pa.Array | pa.ChunkedArray,
     dimension: int,
     skip_invalid: bool,
+    single: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and the matrix of their vectors, all of them whole."""
+    """Ids and the matrix of their vectors, all of them whole.
+
+    ``single`` leaves vectors in single precision as they are.
+    """
     if isinstance(vectors, pa.ChunkedArray):
         ids, vectors = ids.combine_chunks(), vectors.combine_chunks()
     size = pa.compute.fill_null(pa.compute.list_value_length(vectors), -1)
     fits = size.to_numpy(zero_copy_only=False) == dimension
-    kept = vectors.filter(pa.array(fits))
-    flat = kept.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    kept = vectors if fits.all() else vectors.filter(pa.array(fits))
+    flat = kept.flatten().to_numpy(zero_copy_only=False)
+    if not single or flat.dtype != np.float32:
+        flat = flat.astype(np.float64, copy=False)
     matrix = flat.reshape(-1, dimension)
     whole = np.isfinite(matrix).all(axis=1)
     names = ids.to_numpy(zero_copy_only=False)
-    if not skip_invalid and not (fits.all() and whole.all()):
+    if fits.all() and whole.all():
+        return names, matrix
+    if not skip_invalid:
         bad = names[~fits][0] if not fits.all() else names[fits][~whole][0]
         raise ValueError(f"the vector of {bad!r} is not {dimension} finite numbers")
     return names[fits][whole], matrix[whole]
@@ -84,7 +100,11 @@ def _checked(
 
 def _ordered_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Row-wise dot products, summed from the first component to the last."""
-    return np.cumsum(left * right, axis=1)[:, -1]
+    return np.cumsum(np.multiply(left, right, dtype=np.float64), axis=1)[:, -1]
+
+
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
 
 
 def _lower_edge(scores: np.ndarray, k: int) -> np.ndarray:
@@ -103,63 +123,34 @@ def _lower_edge(scores: np.ndarray, k: int) -> np.ndarray:
     return np.partition(scores, -k, axis=1)[:, -k]
 
 
-def block_topk(
-    query_ids: np.ndarray,
-    queries: np.ndarray,
-    doc_ids: np.ndarray,
-    docs: np.ndarray,
-    k: int,
-    skip_equal_ids: bool,
-    floor: np.ndarray | float = -np.inf,
-) -> pd.DataFrame:
-    """Best ``k`` documents of a block per query: position, id and exact score.
-
-    Documents that score below a query's ``floor`` are of no interest.
-    """
-    query_lengths = np.linalg.norm(queries, axis=1)
-    doc_length = np.linalg.norm(docs, axis=1).max()
-    kind = np.float64
-    if max(query_lengths.max(), doc_length) < _SINGLE_LENGTH:
-        kind = np.float32
-    scores = queries.astype(kind, copy=False) @ docs.T.astype(kind, copy=False)
-    if skip_equal_ids:
-        own = pd.merge(
-            pd.DataFrame({"id": query_ids, "row": np.arange(len(query_ids))}),
-            pd.DataFrame({"id": doc_ids, "column": np.arange(len(doc_ids))}),
-            on="id",
-        )
-        scores[own["row"], own["column"]] = -np.inf
-    # The product differs from the ordered sum by less than half of this: a rounding of
-    # each component and one an addition, and once more for the edge itself.
-    rounding = 2 * (docs.shape[1] + 4) * np.finfo(kind).eps
-    slack = rounding * query_lengths * doc_length + _LOST
-    # Skipped pairs lie below every finite edge.
-    least = np.finfo(kind).min
-
-    def reaching(edge: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            edge = np.maximum(edge - slack, least).astype(kind)
-        return np.flatnonzero(scores >= edge[:, None])
-
-    floor = np.broadcast_to(np.asarray(floor, np.float64), len(queries))
-    # Where a floor lets little through, the edge of the block itself is not looked for.
-    pairs = reaching(floor) if np.isfinite(floor).all() else None
-    if pairs is None or len(pairs) > k * len(queries):
-        pairs = reaching(np.maximum(_lower_edge(scores, k), floor))
-    rows, columns = np.divmod(pairs, len(doc_ids))
-    exact = np.empty(len(rows))
-    for start in range(0, len(rows), _SLICE):
-        part = slice(start, start + _SLICE)
-        exact[part] = _ordered_scores(queries[rows[part]], docs[columns[part]])
-    found = pd.DataFrame({"row": rows, "doc_id": doc_ids[columns], "score": exact})
-    return best_per_row(found, k)
+def _places(
+    rows: np.ndarray, scores: np.ndarray, doc_ids: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The order by row, falling score and id, and the place of each within its row."""
+    order = np.lexsort((-scores, rows))
+    row, score = rows[order], scores[order]
+    first = np.ones(len(row), bool)
+    first[1:] = row[1:] != row[:-1]
+    # Ids, which may be dear to compare, are looked at where scores are equal.
+    equal = ~(score[1:] < score[:-1]) & ~first[1:]
+    if equal.any():
+        tied = np.zeros(len(row), bool)
+        tied[1:] = equal
+        tied[:-1] |= equal
+        at = order[tied]
+        codes = pd.factorize(doc_ids[at], sort=True)[0]
+        rank = np.where(codes < 0, len(codes), codes)  # null comes last
+        order[tied] = at[np.lexsort((rank, -scores[at], rows[at]))]
+    starts = np.flatnonzero(first)
+    sizes = np.diff(np.append(starts, len(row)))
+    return order, np.arange(len(row)) - np.repeat(starts, sizes)
 
 
 def best_per_row(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    found = found.sort_values(
-        ["row", "score", "doc_id"], ascending=[True, False, True], kind="stable"
+    order, place = _places(
+        found["row"].to_numpy(), found["score"].to_numpy(), found["doc_id"].to_numpy()
     )
-    return found[found.groupby("row").cumcount() < k]
+    return found.iloc[order[place < k]]
 
 
 class _Search:
@@ -174,43 +165,148 @@ class _Search:
         floor: np.ndarray | None = None,
     ):
         self.ids, self.vectors, self.k, self.skip = ids, vectors, k, skip
-        self.floor = np.full(len(ids), -np.inf) if floor is None else floor
+        self.lengths = _lengths(vectors)
+        self.narrow = self._narrow(vectors, self.lengths)
+        # Documents that score below a query's floor are of no interest.
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor.copy()
         starts = range(0, len(ids), QUERY_ROWS)
         self.parts = [slice(start, start + QUERY_ROWS) for start in starts]
-        self.kept: list[pd.DataFrame | None] = [None] * len(self.parts)
-
-    def _floor(self, kept: pd.DataFrame | None, part: slice) -> np.ndarray:
-        """The worst score of each query that has ``k`` documents already."""
-        floor = self.floor[part].copy()
-        if kept is not None:
-            full = kept.groupby("row")["score"].agg(["size", "min"])
-            full = full[full["size"] == self.k]
-            floor[full.index] = np.maximum(floor[full.index], full["min"])
-        return floor
+        self.scores = np.full((len(ids), k), -np.inf)
+        self.docs: np.ndarray | None = None
+        self.waiting: list[list[tuple[np.ndarray, ...]]] = [[] for _ in self.parts]
+        self.space = np.empty(0, np.float32)
+
+    @staticmethod
+    def _narrow(vectors: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
+        """The vectors in single precision, where that holds their products."""
+        if lengths.max(initial=0) < _SINGLE_LENGTH:
+            return vectors.astype(np.float32, copy=False)
+        return None
 
     def see(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
         """Searches some documents, if any."""
+        if not len(doc_ids) or not len(self.ids):
+            return
+        if self.docs is None:
+            self.docs = np.empty(self.scores.shape, doc_ids.dtype)
+        elif self.docs.dtype != doc_ids.dtype:
+            self.docs = self.docs.astype(np.result_type(self.docs, doc_ids))
+        lengths = _lengths(docs)
+        narrow = self._narrow(docs, lengths)
+        own = self._own(doc_ids) if self.skip else None
         for start in range(0, len(doc_ids), DOC_ROWS):
             rows = slice(start, start + DOC_ROWS)
+            length = lengths[rows].max()
             for number, part in enumerate(self.parts):
-                ids, kept = self.ids[part], self.kept[number]
-                found = block_topk(
-                    ids,
-                    self.vectors[part],
-                    doc_ids[rows],
-                    docs[rows],
-                    self.k,
-                    self.skip,
-                    self._floor(kept, part),
-                )
-                if kept is not None:
-                    found = best_per_row(pd.concat([kept, found]), self.k)
-                self.kept[number] = found
+                if narrow is None or self.narrow is None:
+                    left = self.vectors[part].astype(np.float64, copy=False)
+                    scores = left @ docs[rows].T.astype(np.float64, copy=False)
+                else:
+                    left, right = self.narrow[part], narrow[rows]
+                    shape = len(left), len(right)
+                    if self.space.size < shape[0] * shape[1]:
+                        self.space = np.empty(shape[0] * shape[1], np.float32)
+                    scores = self.space[: shape[0] * shape[1]].reshape(shape)
+                    np.matmul(left, right.T, out=scores)
+                if own is not None:
+                    pair = own[start // DOC_ROWS, number]
+                    scores[pair["row"] - part.start, pair["column"] - start] = -np.inf
+                at, columns = self._reaching(scores, part, length)
+                self._score(number, at + part.start, columns + start, doc_ids, docs)
+        for number in range(len(self.parts)):
+            self._merge(number)
+
+    def _own(self, doc_ids: np.ndarray) -> dict[tuple[int, int], pd.DataFrame]:
+        """Pairs of a query and a document with one id, by their matrix product."""
+        own = pd.merge(
+            pd.DataFrame({"id": self.ids, "row": np.arange(len(self.ids))}),
+            pd.DataFrame({"id": doc_ids, "column": np.arange(len(doc_ids))}),
+            on="id",
+        )
+        none = own.iloc[:0]
+        by = [own["column"] // DOC_ROWS, own["row"] // QUERY_ROWS]
+        return defaultdict(lambda: none, iter(own.groupby(by)))
+
+    def _reaching(
+        self, scores: np.ndarray, part: slice, length: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Where a product may reach the floor or, where that lets too much through,
+        be among the block's best ``k``."""
+        kind = scores.dtype
+        # The product differs from the ordered sum by less than half of this: a rounding
+        # of each component and one an addition, and once more for the edge itself.
+        rounding = 2 * (self.vectors.shape[1] + 4) * np.finfo(kind).eps
+        slack = rounding * self.lengths[part] * length + _LOST
+        # Skipped pairs lie below every finite edge.
+        least = np.finfo(kind).min
+
+        def above(edge: np.ndarray) -> np.ndarray:
+            with np.errstate(over="ignore"):
+                return np.maximum(edge - slack, least).astype(kind)
+
+        floor = self.floor[part]
+        edge = above(floor)
+        if kind == np.float32:
+            # In most products few queries, if any, have a document that gets so far.
+            asked = np.flatnonzero(scores.max(axis=1) >= edge)
+            if len(asked) < len(scores):
+                scores, floor, edge, slack = scores[asked], floor[asked], edge[asked], slack[asked]
+        else:
+            asked = np.arange(len(scores))  # products may be undefined
+        near = scores >= edge[:, None] if np.isfinite(floor).all() else None
+        if near is None or np.count_nonzero(near) > self.k * len(scores):
+            edge = above(np.maximum(_lower_edge(scores, self.k), floor))
+            near = scores >= edge[:, None]
+        rows, columns = np.divmod(np.flatnonzero(near), scores.shape[1])
+        return asked[rows], columns
+
+    def _score(
+        self,
+        number: int,
+        rows: np.ndarray,
+        columns: np.ndarray,
+        doc_ids: np.ndarray,
+        docs: np.ndarray,
+    ) -> None:
+        """Scores pairs again, in order; those that reach the floor wait to be merged."""
+        for start in range(0, len(rows), _SLICE):
+            row, column = rows[start : start + _SLICE], columns[start : start + _SLICE]
+            score = _ordered_scores(self.vectors[row], docs[column])
+            reach = score >= self.floor[row]
+            found = row[reach], score[reach], doc_ids[column[reach]]
+            self.waiting[number].append(found)
+        part = self.parts[number]
+        if sum(len(f[0]) for f in self.waiting[number]) >= len(self.floor[part]):
+            self._merge(number)
+
+    def _merge(self, number: int) -> None:
+        """Puts what waits among the best and raises the floors."""
+        if not self.waiting[number]:
+            return
+        rows, scores, names = (np.concatenate(c) for c in zip(*self.waiting[number]))
+        self.waiting[number] = []
+        touched = np.unique(rows)
+        had, place = np.nonzero(self.scores[touched] > -np.inf)
+        kept = touched[had], place
+        rows = np.concatenate([kept[0], rows])
+        scores = np.concatenate([self.scores[kept], scores])
+        names = np.concatenate([self.docs[kept], names])
+        order, place = _places(rows, scores, names)
+        best = order[place < self.k]
+        at = rows[best], place[place < self.k]
+        self.scores[at], self.docs[at] = scores[best], names[best]
+        # The worst score of each query that has k documents already.
+        self.floor[touched] = np.maximum(self.floor[touched], self.scores[touched, -1])
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        for part, found in zip(self.parts, self.kept):
-            if found is not None and len(found):
-                columns = [self.ids[part][found["row"]], found["doc_id"], found["score"]]
+        for part in self.parts:
+            rows, place = np.nonzero(self.scores[part] > -np.inf)
+            if len(rows):
+                columns = [
+                    self.ids[part][rows],
+                    self.docs[part][rows, place],
+                    self.scores[part][rows, place],
+                ]
                 arrays = [pa.array(c, type=f.type) for c, f in zip(columns, schema)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -297,17 +393,33 @@ def dense_topk(
     if not skip_invalid:
         _refuse(numbered, "query_id", "query_vector", dimension)
     one = F.lit(0).alias("cell")
-    found = _grid(
-        numbered.select(one, "*"),
-        right.select(one, "*"),
-        k,
-        skip_equal_ids,
-        skip_invalid,
-        schema,
-        dimension,
-        query_number=F.col("idx"),
-        few_doc_blocks=True,
-    )
+
+    def every(asked: DataFrame, docs: DataFrame) -> DataFrame:
+        return _grid(
+            asked.select(one, "*"),
+            docs.select(one, "*"),
+            k,
+            skip_equal_ids,
+            skip_invalid,
+            schema,
+            dimension,
+            query_number=F.col("idx"),
+        )
+
+    blocks = math.ceil(right.count() / _doc_rows(right, dimension))
+    if blocks > 1:
+        # Documents of the first share are not searched again. The k-th best score there
+        # is a floor: the others hand out only what reaches it.
+        share = F.lit(max(FLOOR_SHARE, math.isqrt(blocks)))
+        is_first = F.pmod(F.xxhash64("doc_id", F.lit("floor")), share) == 0
+        first = materialize(_ranked(every(numbered, right.filter(is_first)), k))
+        last = first.filter(F.col("rank") == k)
+        floors = last.select("query_id", F.col("score").alias("floor"))
+        floored = materialize(numbered.join(floors, "query_id", "left"))
+        rest = every(floored, right.filter(~is_first))
+        found = rest.unionByName(first.drop("rank"))
+    else:
+        found = every(numbered, right)
     path = fresh_path(corpus.sparkSession, "hits")
     hits = _ranked(found, k)
     hits.write.parquet(path)
@@ -336,7 +448,7 @@ def _scan(
     # At most SENT_ROWS rows and SENT_COMPONENTS components: the caller counted.
     table = queries.toArrow()
     ids, vectors = _checked(
-        table["query_id"], table["query_vector"], dimension, skip_invalid
+        table["query_id"], table["query_vector"], dimension, skip_invalid, single=True
     )
     context = corpus.sparkSession.sparkContext
     sent = context.broadcast((ids, vectors))
@@ -355,6 +467,7 @@ def _scan(
                         batch.column("doc_vector"),
                         dimension,
                         skip_invalid,
+                        single=True,
                     )
                 )
             yield from search.batches(arrow)
@@ -393,6 +506,13 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     )
 
 
+def _doc_rows(corpus: DataFrame, dimension: int) -> int:
+    """The most documents in one block."""
+    kind = corpus.schema["doc_vector"].dataType
+    narrow = isinstance(kind, T.ArrayType) and kind.elementType == T.FloatType()
+    return max(1, (2 if narrow else 1) * BLOCK_COMPONENTS // dimension)
+
+
 def _grid(
     queries: DataFrame,
     corpus: DataFrame,
@@ -402,7 +522,6 @@ def _grid(
     schema: T.StructType,
     dimension: int,
     query_number: Column | None = None,
-    few_doc_blocks: bool = False,
 ) -> DataFrame:
     """Cut each cell's queries and documents into blocks and match block with block.
 
@@ -412,16 +531,29 @@ def _grid(
     as a task can hold; only small tables are cut finer, to use all cores. The
     counts have one row per cell, a number the caller chose.
 
-    Every block of documents gives ``k`` hits a query. With ``few_doc_blocks`` they are
-    never cut finer than a task needs, only the queries are. A ``query_number``, where
-    there is one, deals the queries out evenly instead of a hash of their id.
+    A ``query_number``, where there is one, says that all are of one cell, and deals the
+    queries out evenly instead of a hash of their id. Queries may have a ``floor``, below
+    which a score is of no interest.
     """
-    tasks = (4 if few_doc_blocks else 2) * corpus.sparkSession.sparkContext.defaultParallelism
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    most_docs = _doc_rows(corpus, dimension)
     most = max(1, BLOCK_COMPONENTS // dimension)
-    docs = corpus.count()
-    doc_rows = most if few_doc_blocks else min(most, max(DOC_ROWS, math.ceil(docs / tasks)))
-    share = queries.count() * math.ceil(docs / doc_rows) / tasks
-    query_rows = min(most, max(QUERY_ROWS, math.ceil(share)))
+    docs, asked = corpus.count(), queries.count()
+    floored = "floor" in queries.columns
+    if query_number is None:
+        tasks = 2 * cores
+        doc_rows = min(most_docs, max(BLOCK_ROWS, math.ceil(docs / tasks)))
+        share = asked * math.ceil(docs / doc_rows) / tasks
+        query_rows = min(most, max(QUERY_ROWS, math.ceil(share)))
+    else:
+        # A block of queries takes a copy of all documents; one of documents takes all
+        # queries and, without floors, hands out k hits for each.
+        tasks = 4 * cores
+        weight = 1 if floored else 1 + k
+        cuts = max(1, math.isqrt(tasks * asked * weight // max(1, docs)))
+        query_rows = min(most, max(QUERY_ROWS, math.ceil(asked / cuts)))
+        share = docs * math.ceil(asked / query_rows) / tasks
+        doc_rows = min(most_docs, max(BLOCK_ROWS, math.ceil(share)))
 
     def blocks(side: DataFrame, rows: int, name: str) -> DataFrame:
         return side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).alias(name))
@@ -446,6 +578,7 @@ def _grid(
         every_block("doc_blocks").alias("doc_block"),
         "query_id",
         "query_vector",
+        *(["floor"] if floored else []),
     )
     right = corpus.join(sizes, "cell").select(
         "cell",
@@ -459,14 +592,34 @@ def _grid(
     def match(one: pa.Table, other: pa.Table) -> pa.Table:
         if not one.num_rows or not other.num_rows:
             return arrow.empty_table()
+        # No query that is not whole is left here, but for those to be skipped.
+        rows, vectors = _checked(
+            pa.chunked_array([np.arange(one.num_rows)]),
+            one["query_vector"],
+            dimension,
+            skip_invalid,
+            single=True,
+        )
+        floor = None
+        if floored:
+            floor = pa.compute.fill_null(one["floor"], -np.inf).to_numpy()[rows]
         search = _Search(
-            *_checked(one["query_id"], one["query_vector"], dimension, skip_invalid),
-            k,
+            one["query_id"].to_numpy()[rows],
+            vectors,
+            min(k, other.num_rows),
             skip_equal_ids,
+            floor,
         )
-        search.see(
-            *_checked(other["doc_id"], other["doc_vector"], dimension, skip_invalid)
-        )
+        for batch in other.to_batches():  # without a copy of the whole block
+            search.see(
+                *_checked(
+                    batch.column("doc_id"),
+                    batch.column("doc_vector"),
+                    dimension,
+                    skip_invalid,
+                    single=True,
+                )
+            )
         return pa.Table.from_batches(search.batches(arrow), schema=arrow)
 
     on = ["cell", "query_block", "doc_block"]

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,59 @@ def test_many_sets_of_queries_are_not_a_job_each(spark, vectors):
     spark.sparkContext.setJobGroup("others", "")
 
 
+def test_later_blocks_hand_out_what_reaches_a_floor(spark, monkeypatch):
+    """Forty blocks of documents would hand out eighty hits a query or more."""
+    monkeypatch.setattr(retrieval, "BLOCK_COMPONENTS", 50 * 12)
+    made = np.random.default_rng(4).normal(size=(4000, 12))
+    docs = frame(spark, list(range(4000)), made)
+    queries = frame(spark, list(range(60)), made[:60])
+    handed, ranked = [], retrieval._ranked
+
+    def counted(found, k):
+        handed.append(found.count())
+        return ranked(found, k)
+
+    monkeypatch.setattr(retrieval, "_ranked", counted)
+    found = retrieval.dense_topk(queries, docs, 2, "id", "id", sent_components=12 * 20)
+    assert rows(found) == search(range(60), made[:60], range(4000), made, 2, False)
+    assert sum(handed) < 60 * 40
+
+
+def test_search_in_single_precision_is_exact(vectors, monkeypatch):
+    """Vectors stay as they are, products are small, and ties go to the lower id however
+    the documents come."""
+    monkeypatch.setattr(retrieval, "QUERY_ROWS", 16)
+    monkeypatch.setattr(retrieval, "DOC_ROWS", 10)
+    narrow = vectors.astype(np.float32)
+    ids = np.array([f"d{i % 119:03}" for i in range(120)], object)
+    for k, skip in ((1, False), (7, True), (200, False)):
+        seen = retrieval._Search(ids, narrow, k, skip)
+        assert seen.vectors is narrow and seen.narrow is narrow
+        order = np.random.default_rng(5).permutation(120)
+        for part in np.array_split(order, 5):
+            seen.see(ids[part], narrow[part])
+            assert seen.space.size <= 16 * 10
+        for i in range(120):
+            hits = search([ids[i]], vectors[i : i + 1], ids, vectors, k, skip)
+            hits.sort(key=lambda h: h[3])
+            kept = seen.scores[i] > -np.inf
+            assert list(zip(seen.docs[i][kept], seen.scores[i][kept])) == [h[1:3] for h in hits]
+
+
+def test_best_rows_with_equal_scores_and_without_ids():
+    found = pd.DataFrame(
+        {
+            "row": [1, 0, 0, 0, 1, 0],
+            "score": [2.0, 1.0, 1.0, 3.0, 2.0, 1.0],
+            "doc_id": ["b", None, "c", "z", "a", "b"],
+        }
+    )
+    best = retrieval.best_per_row(found, 3)
+    assert best["row"].tolist() == [0, 0, 0, 1, 1]
+    assert best["doc_id"].tolist() == ["z", "b", "c", "a", "b"]
+    assert retrieval.best_per_row(found, 4)["doc_id"].isna().tolist()[3]
+
+
 def test_string_ids_and_small_slices(spark, vectors, monkeypatch):
     monkeypatch.setattr(retrieval, "_SLICE", 5)
     names = [f"d{i:03}" for i in range(120)]
