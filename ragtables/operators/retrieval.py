@@ -4,9 +4,10 @@ Scores come from block matrix products, and a block gives out no more than its
 own best ``k`` per query, so no pair of vectors ever becomes a row.
 
 * ``dense_topk`` is exact. A counted set of queries is sent to the corpus, which
-  then is scanned in place without a shuffle. With more queries than may be sent, both
-  sides are cut into blocks, and every block meets every other in one job; of a large
-  corpus a share is searched first, and what it finds is a floor for the rest.
+  then is scanned in place without a shuffle. More queries are sent in several sets where
+  each gives a scan enough to do; of the corpus a share is searched first, and what it
+  finds is a floor for the rest. Otherwise both sides are cut into blocks, and every block
+  meets every other in one job.
 * ``cell_topk`` is approximate. Vectors belong to the cell of their nearest
   centre, and a query looks only into its nearest cells, and into further ones
   until they hold ``k`` documents. A cell is cut into blocks by its counted size, so
@@ -30,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -52,12 +53,13 @@ BLOCK_ROWS = 8192
 # Vector components in one block of a side (64 MB in double precision); twice as many of
 # documents in single precision.
 BLOCK_COMPONENTS = 8_000_000
-# With more than one block of documents, one in this many of them, or in the square root
-# of the number of blocks, is searched first.
-FLOOR_SHARE = 8
 # Queries are sent to all tasks up to this many rows and vector components (32 MB).
 SENT_ROWS = 16_384
 SENT_COMPONENTS = 4_000_000
+# A set of queries is worth a scan of its own from this many pairs with documents on, and
+# this part of the documents is searched first.
+SCAN_PAIRS = 4_000_000_000
+FLOOR_SHARE = 8
 # Hits are sent to all tasks up to this many bytes.
 SENT_BYTES = 32_000_000
 # Pairs scored again at a time.
@@ -392,34 +394,20 @@ def dense_topk(
     numbered = materialize(row_index(left, "query_id"))
     if not skip_invalid:
         _refuse(numbered, "query_id", "query_vector", dimension)
+    rows = max(1, sent_components // dimension)
+    if min(rows, numbered.count()) * right.count() >= SCAN_PAIRS:
+        return _scan_sets(numbered, rows, *options)
     one = F.lit(0).alias("cell")
-
-    def every(asked: DataFrame, docs: DataFrame) -> DataFrame:
-        return _grid(
-            asked.select(one, "*"),
-            docs.select(one, "*"),
-            k,
-            skip_equal_ids,
-            skip_invalid,
-            schema,
-            dimension,
-            query_number=F.col("idx"),
-        )
-
-    blocks = math.ceil(right.count() / _doc_rows(right, dimension))
-    if blocks > 1:
-        # Documents of the first share are not searched again. The k-th best score there
-        # is a floor: the others hand out only what reaches it.
-        share = F.lit(max(FLOOR_SHARE, math.isqrt(blocks)))
-        is_first = F.pmod(F.xxhash64("doc_id", F.lit("floor")), share) == 0
-        first = materialize(_ranked(every(numbered, right.filter(is_first)), k))
-        last = first.filter(F.col("rank") == k)
-        floors = last.select("query_id", F.col("score").alias("floor"))
-        floored = materialize(numbered.join(floors, "query_id", "left"))
-        rest = every(floored, right.filter(~is_first))
-        found = rest.unionByName(first.drop("rank"))
-    else:
-        found = every(numbered, right)
+    found = _grid(
+        numbered.select(one, "*"),
+        right.select(one, "*"),
+        k,
+        skip_equal_ids,
+        skip_invalid,
+        schema,
+        dimension,
+        query_number=F.col("idx"),
+    )
     path = fresh_path(corpus.sparkSession, "hits")
     hits = _ranked(found, k)
     hits.write.parquet(path)
@@ -445,44 +433,110 @@ def _scan(
     are searched first; their ``k``-th best score is a floor that the others need not
     go below. It skips what cannot win, so the result is the same.
     """
-    # At most SENT_ROWS rows and SENT_COMPONENTS components: the caller counted.
-    table = queries.toArrow()
-    ids, vectors = _checked(
-        table["query_id"], table["query_vector"], dimension, skip_invalid, single=True
-    )
     context = corpus.sparkSession.sparkContext
+    options = (k, skip_equal_ids, skip_invalid, schema, dimension)
+    # At most SENT_ROWS rows and SENT_COMPONENTS components: the caller counted.
+    ids, vectors = _collected(queries, dimension, skip_invalid)
     sent = context.broadcast((ids, vectors))
-    arrow = _arrow_schema(schema)
+    partitions = corpus.rdd.getNumPartitions()
+    if partitions < FLOOR_PARTITIONS:
+        return corpus.mapInArrow(_searching(sent, None, *options), schema)
+    step = math.isqrt(partitions)
+    some = corpus.mapInArrow(_searching(sent, None, *options, step), schema)
+    floors = context.broadcast(_floors(_ranked(some, k), ids, k))
+    return corpus.mapInArrow(_searching(sent, floors, *options), schema)
 
-    def searching(floors, step: int):
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if step and TaskContext.get().partitionId() % step:
-                return
-            floor = None if floors is None else floors.value
-            search = _Search(*sent.value, k, skip_equal_ids, floor)
-            for batch in batches:
-                search.see(
-                    *_checked(
-                        batch.column("doc_id"),
-                        batch.column("doc_vector"),
-                        dimension,
-                        skip_invalid,
-                        single=True,
-                    )
-                )
-            yield from search.batches(arrow)
 
-        return scan
+def _scan_sets(
+    numbered: DataFrame,
+    rows: int,
+    corpus: DataFrame,
+    k: int,
+    skip_equal_ids: bool,
+    skip_invalid: bool,
+    schema: T.StructType,
+    dimension: int,
+) -> DataFrame:
+    """The hits of all queries, a set of at most ``rows`` of them after the other, stored.
 
-    partitions = corpus.rdd.getNumPartitions()
-    if partitions < FLOOR_PARTITIONS:
-        return corpus.mapInArrow(searching(None, 0), schema)
-    some = corpus.mapInArrow(searching(None, math.isqrt(partitions)), schema)
-    last = _ranked(some, k).filter(F.col("rank") == k).select("query_id", "score")
+    Nothing but hits is shuffled. A share of the documents is searched by a few tasks;
+    the ``k``-th best score there is a floor, and from the other documents the many tasks
+    of a scan hand out only what reaches it. The corpus is read twice for each set.
+    """
+    spark = corpus.sparkSession
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    options = (k, skip_equal_ids, skip_invalid, schema, dimension)
+    if corpus.rdd.getNumPartitions() < tasks:
+        corpus = corpus.repartition(2 * tasks, "doc_id")
+    is_first = F.pmod(F.xxhash64("doc_id", F.lit("floor")), F.lit(FLOOR_SHARE)) == 0
+    paths = []
+    for number in range(math.ceil(numbered.count() / rows)):
+        one = numbered.filter(F.col("idx").between(number * rows, (number + 1) * rows - 1))
+        ids, vectors = _collected(one, dimension, skip_invalid)
+        sent = spark.sparkContext.broadcast((ids, vectors))
+        search = _searching(sent, None, *options)
+        share = corpus.filter(is_first).coalesce(tasks)
+        first = materialize(_ranked(share.mapInArrow(search, schema), k))
+        floors = spark.sparkContext.broadcast(_floors(first, ids, k))
+        search = _searching(sent, floors, *options)
+        rest = corpus.filter(~is_first).mapInArrow(search, schema)
+        hits = _ranked(rest.unionByName(first.drop("rank")), k)
+        paths.append(fresh_path(spark, "hits"))
+        hits.write.parquet(paths[-1])
+        floors.destroy()
+        sent.destroy()
+    return spark.read.schema(hits.schema).parquet(*paths)
+
+
+def _collected(
+    queries: DataFrame, dimension: int, skip_invalid: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of queries that the caller has counted."""
+    table = queries.select("query_id", "query_vector").toArrow()
+    return _checked(
+        table["query_id"], table["query_vector"], dimension, skip_invalid, single=True
+    )
+
+
+def _floors(ranked: DataFrame, ids: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th best score of each query, where it has so many hits."""
+    last = ranked.filter(F.col("rank") == k).select("query_id", "score")
     found = last.toArrow()  # a row per query sent
     known = dict(zip(found["query_id"].to_pylist(), found["score"].to_pylist()))
-    floor = np.array([known.get(i, -np.inf) for i in ids.tolist()], np.float64)
-    return corpus.mapInArrow(searching(context.broadcast(floor), 0), schema)
+    return np.array([known.get(i, -np.inf) for i in ids.tolist()], np.float64)
+
+
+def _searching(
+    sent: Broadcast,
+    floors: Broadcast | None,
+    k: int,
+    skip_equal_ids: bool,
+    skip_invalid: bool,
+    schema: T.StructType,
+    dimension: int,
+    step: int = 0,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A search of a task's documents, or of those of every ``step``-th task only."""
+    arrow = _arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if step and TaskContext.get().partitionId() % step:
+            return
+        floor = None if floors is None else floors.value
+        search = _Search(*sent.value, k, skip_equal_ids, floor)
+        for batch in batches:
+            search.see(
+                *_checked(
+                    batch.column("doc_id"),
+                    batch.column("doc_vector"),
+                    dimension,
+                    skip_invalid,
+                    single=True,
+                )
+            )
+        yield from search.batches(arrow)
+
+    return scan
 
 
 def _arrow_type(dtype: T.DataType) -> pa.DataType:
@@ -532,14 +586,12 @@ def _grid(
     counts have one row per cell, a number the caller chose.
 
     A ``query_number``, where there is one, says that all are of one cell, and deals the
-    queries out evenly instead of a hash of their id. Queries may have a ``floor``, below
-    which a score is of no interest.
+    queries out evenly instead of a hash of their id.
     """
     cores = corpus.sparkSession.sparkContext.defaultParallelism
     most_docs = _doc_rows(corpus, dimension)
     most = max(1, BLOCK_COMPONENTS // dimension)
     docs, asked = corpus.count(), queries.count()
-    floored = "floor" in queries.columns
     if query_number is None:
         tasks = 2 * cores
         doc_rows = min(most_docs, max(BLOCK_ROWS, math.ceil(docs / tasks)))
@@ -547,10 +599,9 @@ def _grid(
         query_rows = min(most, max(QUERY_ROWS, math.ceil(share)))
     else:
         # A block of queries takes a copy of all documents; one of documents takes all
-        # queries and, without floors, hands out k hits for each.
+        # queries and hands out k hits for each.
         tasks = 4 * cores
-        weight = 1 if floored else 1 + k
-        cuts = max(1, math.isqrt(tasks * asked * weight // max(1, docs)))
+        cuts = max(1, math.isqrt(tasks * asked * (1 + k) // max(1, docs)))
         query_rows = min(most, max(QUERY_ROWS, math.ceil(asked / cuts)))
         share = docs * math.ceil(asked / query_rows) / tasks
         doc_rows = min(most_docs, max(BLOCK_ROWS, math.ceil(share)))
@@ -578,7 +629,6 @@ def _grid(
         every_block("doc_blocks").alias("doc_block"),
         "query_id",
         "query_vector",
-        *(["floor"] if floored else []),
     )
     right = corpus.join(sizes, "cell").select(
         "cell",
@@ -592,24 +642,10 @@ def _grid(
     def match(one: pa.Table, other: pa.Table) -> pa.Table:
         if not one.num_rows or not other.num_rows:
             return arrow.empty_table()
-        # No query that is not whole is left here, but for those to be skipped.
-        rows, vectors = _checked(
-            pa.chunked_array([np.arange(one.num_rows)]),
-            one["query_vector"],
-            dimension,
-            skip_invalid,
-            single=True,
-        )
-        floor = None
-        if floored:
-            floor = pa.compute.fill_null(one["floor"], -np.inf).to_numpy()[rows]
-        search = _Search(
-            one["query_id"].to_numpy()[rows],
-            vectors,
-            min(k, other.num_rows),
-            skip_equal_ids,
-            floor,
+        queries = _checked(
+            one["query_id"], one["query_vector"], dimension, skip_invalid, single=True
         )
+        search = _Search(*queries, min(k, other.num_rows), skip_equal_ids)
         for batch in other.to_batches():  # without a copy of the whole block
             search.see(
                 *_checked(

@@ -62,12 +62,14 @@ def test_many_sets_of_queries_are_not_a_job_each(spark, vectors):
     spark.sparkContext.setJobGroup("others", "")
 
 
-def test_later_blocks_hand_out_what_reaches_a_floor(spark, monkeypatch):
-    """Forty blocks of documents would hand out eighty hits a query or more."""
+@pytest.mark.parametrize("k", [1, 2, 600])
+def test_large_sets_of_queries_scan_with_floors(spark, monkeypatch, k):
+    """Of forty partitions each would hand out k hits a query, and blocks would do so too."""
+    monkeypatch.setattr(retrieval, "SCAN_PAIRS", 0, raising=False)
     monkeypatch.setattr(retrieval, "BLOCK_COMPONENTS", 50 * 12)
-    made = np.random.default_rng(4).normal(size=(4000, 12))
-    docs = frame(spark, list(range(4000)), made)
-    queries = frame(spark, list(range(60)), made[:60])
+    made = np.random.default_rng(4).normal(size=(2000, 12))
+    docs = frame(spark, list(range(2000)), made).repartition(40)
+    queries = frame(spark, list(range(30)), made[:30])
     handed, ranked = [], retrieval._ranked
 
     def counted(found, k):
@@ -75,9 +77,27 @@ def test_later_blocks_hand_out_what_reaches_a_floor(spark, monkeypatch):
         return ranked(found, k)
 
     monkeypatch.setattr(retrieval, "_ranked", counted)
-    found = retrieval.dense_topk(queries, docs, 2, "id", "id", sent_components=12 * 20)
-    assert rows(found) == search(range(60), made[:60], range(4000), made, 2, False)
-    assert sum(handed) < 60 * 40
+    found = retrieval.dense_topk(
+        queries, docs, k, "id", "id", skip_equal_ids=True, sent_components=12 * 20
+    )
+    assert rows(found) == search(range(30), made[:30], range(2000), made, k, True)
+    assert k == 600 or sum(handed) < 30 * 30 * k
+
+
+def test_sets_of_queries_without_enough_documents_or_partitions(spark, vectors, monkeypatch):
+    monkeypatch.setattr(retrieval, "SCAN_PAIRS", 0)
+    names = [f"d{i:03}" for i in range(120)]
+    docs, queries = frame(spark, names, vectors).coalesce(1), frame(spark, [1, 2, 3], vectors[:3], "q")
+    for k in (5, 200):
+        found = retrieval.dense_topk(queries, docs, k, "q", "id", sent_components=12)
+        assert rows(found) == search([1, 2, 3], vectors[:3], names, vectors, k, False)
+    bad = docs.withColumn("embedding", F.when(F.col("id") != "d007", F.col("embedding")))
+    with pytest.raises(Exception, match="d007"):
+        retrieval.dense_topk(queries, bad, 5, "q", "id", sent_components=12)
+    found = retrieval.dense_topk(queries, bad, 5, "q", "id", sent_components=12, skip_invalid=True)
+    left = [i for i in range(120) if i != 7]
+    want = search([1, 2, 3], vectors[:3], [names[i] for i in left], vectors[left], 5, False)
+    assert rows(found) == want
 
 
 def test_search_in_single_precision_is_exact(vectors, monkeypatch):
